@@ -147,3 +147,89 @@ SECONDARY_NAMES = {
     "mode_sortie": "discharge_disposition",
     "mode_hospit": "admission_type",
 }
+
+# --- Files of the table cohort: name -> CSV file, and their columns ---------------------------------------
+
+TABLE_FILES = {
+    "dp": "PMSI_DP.csv",
+    "ccam": "PMSI_CCAM_DP.csv",
+    "das": "PMSI_DAS.csv",
+    "dms": "PMSI_DMS.csv",
+    "rghm": "ALL_CLASSIF_PMSI.csv",
+    "cim10": "ALL_CIM10.csv",
+    "ccam_ref": "ALL_CCAM.csv",
+}
+TABLE_SCHEMAS = {
+    "dp": "AGE string, SEXE string, GHM5 string, DP string, P_DP double",
+    "ccam": "GHM5 string, DP string, CCAM string, P_CCAM double",
+    "das": "GHM5 string, AGE string, SEXE string, DP string, DAS string, P_DAS double",
+    "dms": "GHM5 string, DMS_P25 double, DMS_P50 double, DMS_P75 double",
+    "rghm": "champ string, version string, type_code string, code string, lib string",
+    "cim10": "code string, liblong string, en_cours int",
+    "ccam_ref": "code string, liblong string, en_cours int",
+}
+
+# --- Files of the profile cohort --------------------------------------------------------------------------
+
+CODE_LIST_FILES = {
+    "icd_codes_chronic_attack": "icd_codes_chronic_attack.csv",
+    "procedure_botulic_toxin": "procedure_botulic_toxine.csv",
+    "icd_codes_prophylactic_intervention": "icd_codes_prophylactic_intervention.csv",
+    "attention_artificial_openings_external_prosthetic_device": "attention_artificial_openings_external_prosthetic_device.csv",
+    "icd_codes_iron_deficiency_anemia": "icd_codes_iron_deficiency_anemia.csv",
+    "icd_codes_sessions": "icd_codes_sessions.csv",
+    "icd_codes_diabetes_chronic": "icd_codes_diabetes_chronic.csv",
+    "icd_codes_spontaneous_vertex_delivery": "icd_codes_spontaneous_vertex_delivery.csv",
+    "icd_codes_liveborn_infants": "icd_codes_liveborn_infants.csv",
+    "icd_codes_medical_abortion": "icd_codes_medical_abortion.csv",
+    "icd_codes_legal_abortion": "icd_codes_legal_abortion.csv",
+    "icd_codes_supervision": "icd_codes_supervision.csv",
+    "icd_codes_supervision_chronic_disease": "icd_codes_supervision_chronic_disease.csv",
+    "icd_codes_surgical_followup": "icd_codes_surgical_followup.csv",
+    "icd_codes_supervision_pregnancy": "icd_codes_supervision_pregnancy.csv",
+    "icd_codes_supervision_post_partum": "icd_codes_supervision_post_partum.csv",
+    "icd_codes_cardic_vascular_implants": "icd_codes_cardic_vascular_implants.csv",
+    "icd_codes_overnight_study": "icd_codes_overnight_study.csv",
+    "icd_codes_sensitization_tests": "icd_codes_sensitization_tests.csv",
+    "icd_codes_preoperative_assessment": "icd_codes_preoperative_assessment.csv",
+    "icd_codes_family_history": "icd_codes_family_history.csv",
+    "icd_codes_personnel_history": "icd_codes_personnel_history.csv",
+}
+REFERENCE_PARQUET = {
+    "icd_official": ("CIM_ATIH_2025/LIBCIM10MULTI.parquet", {}),
+    "drg_statistics": ("stat_racines.parquet", {"racine": "drg_parent_code", "dms": "los_mean", "dsd": "los_sd"}),
+    "drg_parents_groups": (
+        "ghm_rghm_regroupement_2024.parquet",
+        {"racine": "drg_parent_code", "libelle_racine": "drg_parent_description"},
+    ),
+    "chronic": ("Affections chroniques.parquet", {}),
+    "specialty": (
+        "dictionnaire_spe_racine.parquet",
+        {"racine": "drg_parent_code", "lib_spe_uma": "specialty", "ratio_spe_racine": "ratio"},
+    ),
+    "procedure_official": ("ccam_actes_2024.parquet", {"code": "procedure", "libelle_long": "procedure_description"}),
+    "cancer_codes": ("REFERENTIEL_METHODE_DIM_CANCER_20140411__CODES_CIM-10_CANCER.parquet", {}),
+    "cancer_treatment": (
+        "Tableau récapitulatif traitement cancer__Feuille_1.parquet",
+        {
+            "Code CIM": "icd_parent_code",
+            "Localisation": "primary_site",
+            "Type Histologique": "histological_type",
+            "Stade": "stage",
+            "Marqueurs Tumoraux": "biomarkers",
+            "Traitement": "treatment_recommandation",
+            "Protocole de Chimiothérapie": "chemotherapy_regimen",
+        },
+    ),
+}
+SYNONYM_FILE, SYNONYM_NAMES = "cim_synonymes.csv", {"dictionary_keys": "icd_code_description", "code": "icd_code"}
+COMPLICATION_FILE, EXCLUSION_FILE = "cma.csv", "exclusions"
+NAME_FILE, HOSPITAL_FILE = "prenoms_nom_sexe.csv", "chu"
+WEIGHT_FILE, WEIGHT_NAMES = "ponderation_code_categ.csv", {"diag": "icd_code", "ponderation": "weight"}
+EXTRACT_PATTERNS = {
+    "profiles": ["scenarios_*.parquet", "scenarios_*"],
+    "secondary_icd": ["bn_pmsi_related_diag_*.csv"],
+    "procedures": ["bn_pmsi_procedures_*.csv"],
+}
+DICTIONARY_COLUMNS = ["icd_code", "aut_mco", "pos", "aut_ssr", "icd_code_description_short", "icd_code_description"]
+RULE_FIELDS = {"list": "regles", "id": "id", "text": "clinical_coding_scenario", "criteria": "classification_profile_criteria"}
