@@ -141,12 +141,13 @@ def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, n_das:
             taken = F.when(same_level, grown).otherwise(taken)
         out = out.withColumn("das_taken", taken)
         left = plan["total"] - taken_length(F.col("das_taken"))
-        short = F.when(F.col("das_wanted") >= pick, position_below(uniform(seed, f"das_{pick}", id_col), left))
+        short = F.when(F.col("das_wanted") >= pick, position_below(uniform(seed, f"das_{pick}", id_col), F.col("das_left")))
+        out = out.withColumn("das_left", left).withColumn("das_at", short)
         out = find(
             out,
             slots,
             {"pool": plan["pool"]},
-            F.when(short.isNotNull(), skip_taken(short, F.col("das_taken"))),
+            skip_taken(F.col("das_at"), F.col("das_taken")),
             plan["step"],
             {
                 f"das_code_{pick}": "DAS",
@@ -155,6 +156,7 @@ def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, n_das:
                 f"das_hi_{pick}": "g_hi",
             },
             id_col,
+            large=True,
         )
     picks = range(1, n_das + 1)
 
@@ -163,5 +165,5 @@ def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, n_das:
 
     drop = [f"das_{part}_{j}" for part in ("code", "shown", "lo", "hi") for j in picks]
     return out.withColumns({"DAS": gathered("das_shown"), "DAS_CODE": gathered("das_code")}).drop(
-        "das_plans", "das_wanted", "das_taken", *drop
+        "das_plans", "das_wanted", "das_taken", "das_left", "das_at", *drop
     )

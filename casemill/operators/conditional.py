@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.functions.uniform import position_below, uniform, uniform_int
-from casemill.operators.positions import find, skip_taken, slotted, span
+from casemill.operators.positions import find, no_spans, skip_taken, slotted, span, taken_length
 
 ANY = "*"
 
@@ -68,6 +68,7 @@ def draw_some(
     salt: str,
     seed: int,
     distinct_groups: bool = False,
+    large: bool = False,
 ) -> DataFrame:
     """Draw up to ``wanted`` (at most ``picks``) rows of a pool without replacement.
 
@@ -77,15 +78,20 @@ def draw_some(
     """
     bounds = {"lo": "g_lo", "hi": "g_hi"} if distinct_groups else {"lo": "lo", "unit": "unit"}
     slots = slotted(positions.select(*dict.fromkeys(["pool", "lo", "hi", "step", *bounds.values(), *take.values()])))
-    out = stays.withColumn(f"{salt}_taken", F.array().cast("array<struct<lo:bigint,hi:bigint>>"))
+    out = stays.withColumn(f"{salt}_taken", no_spans())
     for pick in range(1, picks + 1):
         taken = F.col(f"{salt}_taken")
-        free = facts["total"] - F.aggregate(taken, F.lit(0).cast("bigint"), lambda a, s: a + s["hi"] - s["lo"])
+        free = facts["total"]
+        if pick > 1:
+            out = out.withColumn(f"{salt}_free", free - taken_length(taken))
+            free = F.col(f"{salt}_free")
         short = F.when(wanted >= pick, position_below(uniform(seed, f"{salt}_{pick}", id_col), free))
-        out = out.withColumn(f"{salt}_at", F.when(short.isNotNull(), skip_taken(short, taken)) if pick > 1 else short)
+        out = out.withColumn(f"{salt}_at", short)
+        if pick > 1:
+            out = out.withColumn(f"{salt}_at", skip_taken(F.col(f"{salt}_at"), taken))
         names = {f"{salt}_{name}_{pick}": source for name, source in take.items()}
         edges = {f"{salt}_{edge}": source for edge, source in bounds.items()} if pick < picks else {}
-        out = find(out, slots, {"pool": pool}, F.col(f"{salt}_at"), facts["step"], {**names, **edges}, id_col)
+        out = find(out, slots, {"pool": pool}, F.col(f"{salt}_at"), facts["step"], {**names, **edges}, id_col, large)
         if pick < picks:
             if distinct_groups:
                 closed = span(f"{salt}_lo", f"{salt}_hi")
@@ -95,4 +101,4 @@ def draw_some(
                 closed = span(start, start + F.col(f"{salt}_unit"))
             grown = F.when(F.col(f"{salt}_at").isNotNull(), F.concat(taken, F.array(closed))).otherwise(taken)
             out = out.withColumn(f"{salt}_taken", grown).drop(*edges)
-    return out.drop(f"{salt}_taken", f"{salt}_at")
+    return out.drop(f"{salt}_taken", f"{salt}_at", f"{salt}_free")

@@ -43,7 +43,7 @@ def draw_rows(
     draws = ids.withColumns({"draw_total": total, "draw_step": whole.select("step").scalar()})
     take = [c for c in positions.columns if c not in ("grp", "w", *POSITION_COLUMNS)]
     position = position_below(uniform(seed, salt, id_col), F.col("draw_total"))
-    drawn = find(draws, slotted(positions), {}, position, F.col("draw_step"), {c: c for c in take}, id_col)
+    drawn = find(draws, slotted(positions), {}, position, F.col("draw_step"), {c: c for c in take}, id_col, large=True)
     return drawn.drop("draw_total", "draw_step")
 
 

@@ -144,18 +144,20 @@ def find(
     step: Column,
     take: dict[str, str],
     spread_on: str,
+    large: bool = False,
 ) -> DataFrame:
     """Attach to each draw the item that holds ``position``; null columns where position is null.
 
     ``key`` maps a pool key column to the draw's value, ``take`` maps an output name to a pool column.
     Draws that look nothing up get a slot of their own below zero, so they neither match nor crowd
-    into one task.
+    into one task. ``large`` marks pool rows that grow with the input: compressed files look smaller than
+    the rows they hold, so these are joined by sorting and never broadcast; other pools are broadcast
+    only if Spark finds them small enough.
     """
     idle = -1 - F.pmod(F.xxhash64(spread_on), F.lit(4096))
-    draws = draws.withColumns(
+    draws = draws.withColumn("at_position", position).withColumns(
         {
-            "at_position": position,
-            "at_slot": F.coalesce(F.call_function("div", position, step), idle),
+            "at_slot": F.coalesce(F.call_function("div", "at_position", step), idle),
             **{f"at_{name}": value for name, value in key.items()},
         }
     )
@@ -170,6 +172,8 @@ def find(
     for name in key:
         same = same & (F.col(f"at_{name}") == F.col(f"in_{name}"))
     same = same & (F.col("at_position") >= F.col("in_lo")) & (F.col("at_position") < F.col("in_hi"))
+    if large:
+        picked = picked.hint("merge")
     return draws.join(picked, same, "left").drop(
         "at_position",
         "at_slot",
@@ -186,9 +190,9 @@ def taken_length(taken: Column) -> Column:
 
 
 def skip_taken(position: Column, taken: Column) -> Column:
-    """Map a position on the line without the taken spans back to the full line."""
+    """Map a position on the line without the taken spans back to the full line; null stays null."""
     return F.aggregate(
-        F.array_sort(taken),
+        F.sort_array(taken),
         position,
         lambda at, span: F.when(at >= span["lo"], at + span["hi"] - span["lo"]).otherwise(at),
     )

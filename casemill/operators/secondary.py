@@ -172,7 +172,7 @@ def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, seed: in
     chronic = _facts("chronic")
     wanted = wanted_count(seed, "chronic", id_col, chronic["copies"])
     out = draw_some(
-        stays, id_col, secondary, chronic["pool"], chronic, wanted, 2, {**take, "cancer": "is_cancer"}, "chronic", seed, distinct_groups=True
+        stays, id_col, secondary, chronic["pool"], chronic, wanted, 2, {**take, "cancer": "is_cancer"}, "chronic", seed, distinct_groups=True, large=True
     )
     drawn_cancer = F.coalesce("chronic_cancer_1", F.lit(False)) | F.coalesce("chronic_cancer_2", F.lit(False))
     out = out.withColumn("cancer_stay", F.col("primary_is_cancer") | F.col("preset")["any_cancer"] | drawn_cancer)
@@ -181,15 +181,15 @@ def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, seed: in
     with_nodes = F.col("cancer_stay") & staged & F.col("score_TNM").rlike("N[123x+]")
     spread = F.col("cancer_stay") & (~staged | F.col("score_TNM").rlike("M[123x+]"))
     nodes = _facts("nodes")
-    out = draw_some(out, id_col, secondary, nodes["pool"], nodes, F.when(with_nodes, 1), 1, take, "nodes", seed)
+    out = draw_some(out, id_col, secondary, nodes["pool"], nodes, F.when(with_nodes, 1), 1, take, "nodes", seed, large=True)
     out = out.withColumn("metastases", F.when(spread, F.when(staged, _facts("distant")).otherwise(_facts("any_metastasis"))))
     metastases = F.col("metastases")
     wanted = wanted_count(seed, "metastases", id_col, metastases["copies"])
-    out = draw_some(out, id_col, secondary, metastases["pool"], metastases, wanted, 2, take, "metastasis", seed)
+    out = draw_some(out, id_col, secondary, metastases["pool"], metastases, wanted, 2, take, "metastasis", seed, large=True)
 
     acute = _facts("acute")
     wanted = wanted_count(seed, "acute", id_col, acute["copies"])
-    out = draw_some(out, id_col, secondary, acute["pool"], acute, wanted, 2, take, "acute", seed)
+    out = draw_some(out, id_col, secondary, acute["pool"], acute, wanted, 2, take, "acute", seed, large=True)
 
     stages = [("chronic", 2), ("nodes", 1), ("metastasis", 2), ("acute", 2)]
 
