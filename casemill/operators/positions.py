@@ -155,12 +155,7 @@ def find(
     only if Spark finds them small enough.
     """
     idle = -1 - F.pmod(F.xxhash64(spread_on), F.lit(4096))
-    draws = draws.withColumn("at_position", position).withColumns(
-        {
-            "at_slot": F.coalesce(F.call_function("div", "at_position", step), idle),
-            **{f"at_{name}": value for name, value in key.items()},
-        }
-    )
+    draws = draws.withColumn("at_position", position)
     picked = pool_rows.select(
         *[F.col(name).alias(f"in_{name}") for name in key],
         F.col("slot").alias("in_slot"),
@@ -168,21 +163,14 @@ def find(
         F.col("hi").alias("in_hi"),
         *[F.col(source).alias(name) for name, source in take.items()],
     )
-    same = F.col("at_slot") == F.col("in_slot")
-    for name in key:
-        same = same & (F.col(f"at_{name}") == F.col(f"in_{name}"))
-    same = same & (F.col("at_position") >= F.col("in_lo")) & (F.col("at_position") < F.col("in_hi"))
     if large:
         picked = picked.hint("merge")
-    return draws.join(picked, same, "left").drop(
-        "at_position",
-        "at_slot",
-        "in_slot",
-        "in_lo",
-        "in_hi",
-        *[f"at_{name}" for name in key],
-        *[f"in_{name}" for name in key],
-    )
+    same = F.coalesce(F.call_function("div", "at_position", step), idle) == F.col("in_slot")
+    for name, value in key.items():
+        same = same & (value == F.col(f"in_{name}"))
+    same = same & (F.col("at_position") >= F.col("in_lo")) & (F.col("at_position") < F.col("in_hi"))
+    gone = ["at_position", "in_slot", "in_lo", "in_hi", *[f"in_{name}" for name in key]]
+    return draws.join(picked, same, "left").drop(*gone)
 
 
 def taken_length(taken: Column) -> Column:

@@ -93,9 +93,11 @@ def treatment_positions(treatment: DataFrame) -> DataFrame:
     return _laid(rows, fields, None, nomenclature=False)
 
 
-def attach_pools(profiles: DataFrame, profile_key: str, is_cancer: Column, *families: DataFrame) -> DataFrame:
-    """Add ``pools``: for each kind the pool key with its mass, rows and slot width, null where empty."""
+def attach_pools(profiles: DataFrame, is_cancer: Column, *families: DataFrame) -> DataFrame:
+    """Add ``pools``: for each kind the pool key with its mass, rows and slot width, null where empty.
+    Profiles that ask for the same pools are looked up once."""
     by_dp, by_drg = shared_columns(BY_DIAGNOSIS, profiles), shared_columns(BY_GROUP, profiles)
+    treated = F.col("case_management_type").isin(V.TREATED_CASE_TYPES)
     keys = {
         "chronic": profile_pool(F.when(is_cancer, "chronic").otherwise("chronic_or_cancer"), by_dp),
         "nodes": profile_pool("nodes", by_dp),
@@ -103,20 +105,21 @@ def attach_pools(profiles: DataFrame, profile_key: str, is_cancer: Column, *fami
         "any_metastasis": profile_pool("any_metastasis", by_dp),
         "acute": profile_pool("acute", by_drg),
         "procedure": profile_pool("procedure", shared_columns(BY_PROCEDURE, profiles)),
-        "treatment": F.when(
-            F.col("case_management_type").isin(V.TREATED_CASE_TYPES), F.concat(F.lit("treatment|"), parent_code("icd_primary_code"))
-        ),
+        "treatment": F.when(treated, F.concat(F.lit("treatment|"), parent_code("icd_primary_code"))),
     }
+    asked = F.concat_ws("/", keys["chronic"], keys["procedure"], F.coalesce(keys["treatment"], F.lit("")))
     pairs = [F.struct(F.lit(kind).alias("kind"), key.alias("pool")) for kind, key in keys.items()]
-    wanted = profiles.select(profile_key, F.inline(F.array(*pairs))).where("pool is not null")
+    profiles = profiles.withColumn("asked", asked)
+    distinct = profiles.withColumn("pairs", F.array(*pairs)).select("asked", "pairs").distinct()
+    wanted = distinct.select("asked", F.inline("pairs")).where("pool is not null")
     totals = pool_totals(families[0], ["pool"])
     for family in families[1:]:
         totals = totals.unionByName(pool_totals(family, ["pool"]))
     facts = F.struct("pool", "total", "copies", "step")
-    found = wanted.join(totals, "pool").groupBy(profile_key).agg(
+    found = wanted.join(totals, "pool").groupBy("asked").agg(
         F.struct(*[F.max(F.when(F.col("kind") == kind, facts)).alias(kind) for kind in POOLS]).alias("pools")
     )
-    return profiles.join(found, profile_key, "left")
+    return profiles.join(found, "asked", "left").drop("asked")
 
 
 def _facts(kind: str) -> Column:

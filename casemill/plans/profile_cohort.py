@@ -105,20 +105,25 @@ def with_group_facts(profiles: DataFrame, data: dict[str, DataFrame]) -> DataFra
 
 
 def with_preset(profiles: DataFrame, key: str, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add ``preset``: the profile's own secondary codes in order, their lines, and whether one is a cancer code."""
-    codes = profiles.select(key, F.posexplode("icd_secondary_code").alias("pos", "code"))
+    """Add ``preset``: the profile's own secondary codes in order, their lines, and whether one is a cancer
+    code. Equal lists are worked out once; profiles without a list are spread over keys that match none."""
+    none = F.array().cast("array<string>")
+    idle = F.concat(F.lit("none|"), F.pmod(F.xxhash64(key), F.lit(4096)).cast("string"))
+    own = F.array_join("icd_secondary_code", ",")
+    profiles = profiles.withColumn("own", F.when(F.size("icd_secondary_code") > 0, own).otherwise(idle))
+    lists = profiles.where(F.size("icd_secondary_code") > 0).select("own", "icd_secondary_code").distinct()
+    codes = lists.select("own", F.posexplode("icd_secondary_code").alias("pos", "code"))
     codes = with_label(with_sets(codes, "code", members, "sets"), "code", labels, "label", default="")
     entry = F.struct("pos", "code", secondary_line("label", "code").alias("line"))
-    known = codes.groupBy(key).agg(
-        F.array_sort(F.collect_list(entry)).alias("own"), F.max(F.array_contains("sets", "cancer")).alias("own_cancer")
+    known = codes.groupBy("own").agg(
+        F.array_sort(F.collect_list(entry)).alias("entries"), F.max(F.array_contains("sets", "cancer")).alias("own_cancer")
     )
-    none = F.array().cast("array<string>")
     preset = F.struct(
-        F.coalesce(F.transform("own", lambda x: x["code"]), none).alias("codes"),
-        F.coalesce(F.transform("own", lambda x: x["line"]), none).alias("lines"),
+        F.coalesce(F.transform("entries", lambda x: x["code"]), none).alias("codes"),
+        F.coalesce(F.transform("entries", lambda x: x["line"]), none).alias("lines"),
         F.coalesce("own_cancer", F.lit(False)).alias("any_cancer"),
     )
-    return profiles.join(known, key, "left").withColumn("preset", preset).drop("own", "own_cancer")
+    return profiles.join(known, "own", "left").withColumn("preset", preset).drop("own", "entries", "own_cancer")
 
 
 def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str, DataFrame]:
@@ -153,7 +158,7 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
         "people": written(people_positions(data["names"], data["hospitals"]), "people-positions"),
     }
     of_profile = [families[name] for name in ("secondary", "procedures", "treatments")]
-    profiles = attach_pools(profiles, "profile_key", F.col("primary_is_cancer"), *of_profile)
+    profiles = attach_pools(profiles, F.col("primary_is_cancer"), *of_profile)
     profiles = with_preset(profiles, "profile_key", members, labels).drop("profile_key")
     return {**families, "profiles": written(profiles, "case-profiles")}
 
