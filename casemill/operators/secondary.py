@@ -65,7 +65,8 @@ def secondary_positions(
     part = ["pool", "icd_secondary_code", "unit", "rows"]
     of_dp = pooled_rows(rows.where("type <> 'Acute'"), pool_kinds(F.col("type")), by_dp, profiles).select(part)
     of_drg = pooled_rows(rows.where("type = 'Acute'"), F.array(F.lit("acute")), by_drg, profiles).select(part)
-    laid = _laid(of_dp.unionByName(of_drg), ["icd_secondary_code"], parent_code("icd_secondary_code", 1))
+    chapter = parent_code("icd_secondary_code", 1)
+    laid = _laid(of_dp.unionByName(of_drg), ["icd_secondary_code"], chapter, nomenclature=weight is None)
     laid = with_sets(laid, "icd_secondary_code", members, "das_sets")
     laid = with_label(laid, "icd_secondary_code", labels, "das_label", default="")
     return laid.withColumns(

@@ -29,7 +29,7 @@ from casemill.operators.secondary import (
     treatment_positions,
 )
 from casemill.operators.stay_length import normal_days
-from casemill.sources.scratch import written
+from casemill.sources.scratch import all_written, written
 
 PROFILE_TYPES = {
     "drg_parent_code": "string",
@@ -147,16 +147,14 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
     profiles = with_label(profiles, "case_management_type", labels, "case_management_type_description", default="")
     profiles = profiles.withColumn("primary_is_cancer", F.array_contains("primary_sets", "cancer"))
 
-    families = {
-        "secondary": written(
-            secondary_positions(data["secondary_icd"], source, members, labels, weight), "secondary-positions"
-        ),
-        "procedures": written(
-            procedure_positions(data["procedures"], source, members, procedure_labels), "procedure-positions"
-        ),
-        "treatments": written(treatment_positions(data["cancer_treatment"]), "treatment-positions"),
-        "people": written(people_positions(data["names"], data["hospitals"]), "people-positions"),
-    }
+    families = all_written(
+        {
+            "secondary": secondary_positions(data["secondary_icd"], source, members, labels, weight),
+            "procedures": procedure_positions(data["procedures"], source, members, procedure_labels),
+            "treatments": treatment_positions(data["cancer_treatment"]),
+            "people": people_positions(data["names"], data["hospitals"]),
+        }
+    )
     of_profile = [families[name] for name in ("secondary", "procedures", "treatments")]
     profiles = attach_pools(profiles, F.col("primary_is_cancer"), *of_profile)
     profiles = with_preset(profiles, "profile_key", members, labels).drop("profile_key")

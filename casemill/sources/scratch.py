@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,9 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def all_written(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``written`` for several independent frames, as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as jobs:
+        return dict(zip(frames, jobs.map(lambda name: written(frames[name], name), frames)))

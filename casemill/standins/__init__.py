@@ -8,6 +8,7 @@ Placeholders in braces name other views or the given tables.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -220,6 +221,14 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(_WRITTEN[slot])
 
 
+def views(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
+    """Several views; what they have in common is written first, the rest as concurrent jobs."""
+    for shared in sorted({dep for name in names if name in VIEWS for dep in PLACEHOLDER.findall(VIEWS[name])}):
+        view(spark, sf_dir, shared)
+    with ThreadPoolExecutor(max_workers=4) as jobs:
+        return dict(zip(names, jobs.map(lambda name: view(spark, sf_dir, name), names)))
+
+
 def view_plan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     needs = {dep: view(spark, sf_dir, dep) for dep in PLACEHOLDER.findall(VIEWS[name])}
     return spark.sql(VIEWS[name], **needs)

@@ -9,7 +9,7 @@ from casemill.operators.care import with_care_management
 from casemill.operators.draws import draw_rows
 from casemill.plans import profile_cohort
 from casemill.plans.prompts import long_scenario
-from casemill.standins import view
+from casemill.standins import view, views
 from catalog.sql import SEED
 from catalog.table_queries import stay_ids
 
@@ -35,7 +35,7 @@ def case_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def data(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = {key: view(spark, sf_dir, name) for key, name in INPUTS.items()}
+    tables = dict(zip(INPUTS, views(spark, sf_dir, list(INPUTS.values())).values()))
     return {**tables, "profiles": case_profiles(spark, sf_dir)}
 
 

@@ -10,7 +10,7 @@ from casemill.operators.draws import draw_rows, draw_with_replacement
 from casemill.operators.procedures import drawn_procedures
 from casemill.operators.stay_length import triangular_days
 from casemill.plans import table_cohort
-from casemill.standins import view
+from casemill.standins import view, views
 from catalog.sql import SEED
 
 INPUTS = {"dp": "pmsi_dp", "das": "pmsi_das", "ccam": "pmsi_ccam", "dms": "pmsi_dms", "rghm": "rghm", "cim10": "cim10", "ccam_ref": "ccam_ref"}
@@ -19,7 +19,7 @@ _PREPARED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {key: view(spark, sf_dir, name) for key, name in INPUTS.items()}
+    return dict(zip(INPUTS, views(spark, sf_dir, list(INPUTS.values())).values()))
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
