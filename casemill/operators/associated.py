@@ -20,6 +20,7 @@ from casemill.operators.positions import (
     no_spans,
     pool_groups,
     pool_totals,
+    salted,
     skip_taken,
     slotted,
     span,
@@ -95,18 +96,26 @@ def pool_facts(positions: DataFrame, n_das: int) -> DataFrame:
     return pool_totals(positions, ["pool"]).drop("copies").join(taken, "pool", "left")
 
 
-def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame, n_das: int) -> DataFrame:
+def asked_pools(profiles: DataFrame) -> DataFrame:
+    """pool, w, table_total: the pools of each profile of a laid-out table, with the profile's mass."""
+    pools = profiles.withColumn("DP3", parent_code("DP")).select(F.inline(pool_keys()), "w", F.col("total").alias("table_total"))
+    return pools.where("pool is not null")
+
+
+def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame, n_das: int, hot: DataFrame | None = None) -> DataFrame:
     """Add ``das_plans``: for pick 1..n_das the pool it comes from and the spans taken on entering it;
     picks beyond the last category of the widest pool are null."""
+    facts = pool_facts(positions, n_das)
+    facts = salted(facts, hot) if hot is not None else facts.withColumn("salts", F.lit(1))
     wanted = (
         profiles.withColumn("DP3", parent_code("DP"))
         .select(profile_key, F.inline(pool_keys()))
         .where("pool is not null")
         .drop("wider")
     )
-    entry = F.struct("level", "pool", "total", "n_groups", "step", "taken_in_wider")
+    entry = F.struct("level", "pool", "total", "n_groups", "step", "salts", "taken_in_wider")
     levels = (
-        wanted.join(pool_facts(positions, n_das), "pool")
+        wanted.join(facts, "pool")
         .groupBy(profile_key)
         .agg(F.array_sort(F.collect_list(entry)).alias("levels"))
     )
@@ -118,7 +127,7 @@ def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame
         return F.struct(usable.alias("from"), entered.alias("taken"))
 
     plans = levels.select(profile_key, F.array(*[plan(j) for j in range(1, n_das + 1)]).alias("das_plans"))
-    fields = ("level", "pool", "total", "step")
+    fields = ("level", "pool", "total", "step", "salts")
     slim = F.transform(
         "das_plans",
         lambda p: F.when(
@@ -128,9 +137,9 @@ def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame
     return profiles.join(plans.withColumn("das_plans", slim), profile_key, "left")
 
 
-def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, n_das: int, seed: int) -> DataFrame:
+def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, hot: DataFrame, n_das: int, seed: int) -> DataFrame:
     """Add ``DAS`` (displays) and ``DAS_CODE`` in draw order; ``das_plans`` is consumed."""
-    slots = slotted(positions.select("pool", "DAS", "shown", "lo", "hi", "g_lo", "g_hi", "step"))
+    slots = slotted(salted(positions.select("pool", "DAS", "shown", "lo", "hi", "g_lo", "g_hi", "step"), hot))
     out = stays.withColumn("das_wanted", uniform_int(uniform(seed, "das_count", id_col), 0, n_das))
     for pick in range(1, n_das + 1):
         plan = F.get("das_plans", F.lit(pick - 1))
@@ -157,6 +166,7 @@ def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, n_das:
             },
             id_col,
             large=True,
+            salts=plan["salts"],
         )
     picks = range(1, n_das + 1)
 

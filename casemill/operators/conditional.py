@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.functions.uniform import position_below, uniform, uniform_int
-from casemill.operators.positions import find, no_spans, skip_taken, slotted, span, taken_length
+from casemill.operators.positions import find, no_spans, salted, skip_taken, slotted, span, taken_length
 
 ANY = "*"
 
@@ -69,15 +69,18 @@ def draw_some(
     seed: int,
     distinct_groups: bool = False,
     large: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Draw up to ``wanted`` (at most ``picks``) rows of a pool without replacement.
 
-    ``facts`` is the struct (total, step) of the stay's pool. With ``distinct_groups`` each pick also
+    ``facts`` is the struct (total, step) of the stay's pool, with its salts where ``hot`` lists hot pools. With ``distinct_groups`` each pick also
     closes its group, so every row comes from another one. Adds ``{salt}_{name}_{pick}`` for each name
     in ``take``.
     """
     bounds = {"lo": "g_lo", "hi": "g_hi"} if distinct_groups else {"lo": "lo", "unit": "unit"}
-    slots = slotted(positions.select(*dict.fromkeys(["pool", "lo", "hi", "step", *bounds.values(), *take.values()])))
+    rows = positions.select(*dict.fromkeys(["pool", "lo", "hi", "step", *bounds.values(), *take.values()]))
+    slots = slotted(rows if hot is None else salted(rows, hot))
+    salts = None if hot is None else facts["salts"]
     out = stays.withColumn(f"{salt}_taken", no_spans())
     for pick in range(1, picks + 1):
         taken = F.col(f"{salt}_taken")
@@ -91,7 +94,7 @@ def draw_some(
             out = out.withColumn(f"{salt}_at", skip_taken(F.col(f"{salt}_at"), taken))
         names = {f"{salt}_{name}_{pick}": source for name, source in take.items()}
         edges = {f"{salt}_{edge}": source for edge, source in bounds.items()} if pick < picks else {}
-        out = find(out, slots, {"pool": pool}, F.col(f"{salt}_at"), facts["step"], {**names, **edges}, id_col, large)
+        out = find(out, slots, {"pool": pool}, F.col(f"{salt}_at"), facts["step"], {**names, **edges}, id_col, large, salts)
         if pick < picks:
             if distinct_groups:
                 closed = span(f"{salt}_lo", f"{salt}_hi")

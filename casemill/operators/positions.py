@@ -20,6 +20,8 @@ from casemill.functions.uniform import as_column, key_hash
 
 FRACTION_GRAIN = 10**9
 MIN_SLOTS = 64
+HOT_SHARE = 1024
+SALTED_SLOTS = 256
 
 
 def int_weight(df: DataFrame, name: str) -> Column:
@@ -130,10 +132,32 @@ def pool_groups(positions: DataFrame, key: list[str], *also: str) -> DataFrame:
     return positions.where("lo = g_lo").select(*key, *also, "grp", "g_lo", "g_hi", "n_groups")
 
 
+def hot_pools(asked: DataFrame, totals: DataFrame) -> DataFrame:
+    """pool, salts: pools that a large share of the table's mass asks for but that have few slots.
+
+    ``asked`` has pool, w and table_total, one row per profile and pool. At most HOT_SHARE pools of each
+    kind can be hot, so the result is small whatever the input. With its salts a hot pool has about
+    SALTED_SLOTS places that draws spread over.
+    """
+    mass = asked.groupBy("pool").agg(F.sum("w").alias("asked_w"), F.max("table_total").alias("table_total"))
+    hot = mass.where(F.col("asked_w") * HOT_SHARE > F.col("table_total"))
+    slots = F.ceil(F.col("total") / F.col("step"))
+    salts = F.ceil(F.lit(SALTED_SLOTS) / slots).cast("int")
+    return hot.join(totals, "pool").select("pool", salts.alias("salts")).where("salts > 1")
+
+
+def salted(positions: DataFrame, hot: DataFrame) -> DataFrame:
+    """Positions with the number of ``salts`` of their pool, 1 for most."""
+    return positions.join(F.broadcast(hot), "pool", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+
+
 def slotted(rows: DataFrame) -> DataFrame:
-    """One row per slot that an item's interval touches."""
+    """One row per slot that an item's interval touches, and per salt of the pool."""
     first, last = (F.call_function("div", F.expr(edge), F.col("step")) for edge in ("lo", "hi - 1"))
-    return rows.withColumn("slot", F.explode(F.sequence(first, last)))
+    rows = rows.withColumn("slot", F.explode(F.sequence(first, last)))
+    if "salts" in rows.columns:
+        rows = rows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    return rows
 
 
 def find(
@@ -145,6 +169,7 @@ def find(
     take: dict[str, str],
     spread_on: str,
     large: bool = False,
+    salts: Column | None = None,
 ) -> DataFrame:
     """Attach to each draw the item that holds ``position``; null columns where position is null.
 
@@ -152,7 +177,7 @@ def find(
     Draws that look nothing up get a slot of their own below zero, so they neither match nor crowd
     into one task. ``large`` marks pool rows that grow with the input: compressed files look smaller than
     the rows they hold, so these are joined by sorting and never broadcast; other pools are broadcast
-    only if Spark finds them small enough.
+    only if Spark finds them small enough. ``salts`` is the number of salts of the draw's pool.
     """
     idle = -1 - F.pmod(F.xxhash64(spread_on), F.lit(4096))
     draws = draws.withColumn("at_position", position)
@@ -161,6 +186,7 @@ def find(
         F.col("slot").alias("in_slot"),
         F.col("lo").alias("in_lo"),
         F.col("hi").alias("in_hi"),
+        *([] if salts is None else [F.col("salt").alias("in_salt")]),
         *[F.col(source).alias(name) for name, source in take.items()],
     )
     if large:
@@ -169,7 +195,10 @@ def find(
     for name, value in key.items():
         same = same & (value == F.col(f"in_{name}"))
     same = same & (F.col("at_position") >= F.col("in_lo")) & (F.col("at_position") < F.col("in_hi"))
-    gone = ["at_position", "in_slot", "in_lo", "in_hi", *[f"in_{name}" for name in key]]
+    if salts is not None:
+        own = F.pmod(F.xxhash64(F.lit("salt"), spread_on), F.coalesce(salts, F.lit(1)))
+        same = same & (own == F.col("in_salt"))
+    gone = ["at_position", "in_slot", "in_salt", "in_lo", "in_hi", *[f"in_{name}" for name in key]]
     return draws.join(picked, same, "left").drop(*gone)
 
 

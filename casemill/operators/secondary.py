@@ -9,7 +9,7 @@ from casemill.functions.text import parent_code
 from casemill.operators.codesets import diagnosis_type, with_sets
 from casemill.operators.conditional import draw_some, pooled_rows, profile_pool, shared_columns, wanted_count
 from casemill.operators.lookups import with_label
-from casemill.operators.positions import lay_out, pool_totals
+from casemill.operators.positions import lay_out, pool_totals, salted
 
 BY_DIAGNOSIS = ["icd_primary_code", "cage2", "sexe"]
 BY_GROUP = ["drg_parent_code", "cage2", "sexe"]
@@ -94,9 +94,8 @@ def treatment_positions(treatment: DataFrame) -> DataFrame:
     return _laid(rows, fields, None, nomenclature=False)
 
 
-def attach_pools(profiles: DataFrame, is_cancer: Column, *families: DataFrame) -> DataFrame:
-    """Add ``pools``: for each kind the pool key with its mass, rows and slot width, null where empty.
-    Profiles that ask for the same pools are looked up once."""
+def with_pool_keys(profiles: DataFrame, is_cancer: Column) -> DataFrame:
+    """Add ``asked``, one text for all pools of a profile, and ``pairs`` of kind and pool key."""
     by_dp, by_drg = shared_columns(BY_DIAGNOSIS, profiles), shared_columns(BY_GROUP, profiles)
     treated = F.col("case_management_type").isin(V.TREATED_CASE_TYPES)
     keys = {
@@ -110,28 +109,42 @@ def attach_pools(profiles: DataFrame, is_cancer: Column, *families: DataFrame) -
     }
     asked = F.concat_ws("/", keys["chronic"], keys["procedure"], F.coalesce(keys["treatment"], F.lit("")))
     pairs = [F.struct(F.lit(kind).alias("kind"), key.alias("pool")) for kind, key in keys.items()]
-    profiles = profiles.withColumn("asked", asked)
-    distinct = profiles.withColumn("pairs", F.array(*pairs)).select("asked", "pairs").distinct()
-    wanted = distinct.select("asked", F.inline("pairs")).where("pool is not null")
+    return profiles.withColumns({"asked": asked, "pairs": F.array(*pairs)})
+
+
+def family_totals(*families: DataFrame) -> DataFrame:
     totals = pool_totals(families[0], ["pool"])
     for family in families[1:]:
         totals = totals.unionByName(pool_totals(family, ["pool"]))
-    facts = F.struct("pool", "total", "copies", "step")
-    found = wanted.join(totals, "pool").groupBy("asked").agg(
+    return totals
+
+
+def asked_pools(profiles: DataFrame) -> DataFrame:
+    """pool, w, table_total of profiles that carry their pool keys; equal requests are added up first."""
+    requests = profiles.groupBy("asked", "pairs").agg(F.sum("w").alias("w"), F.max("total").alias("table_total"))
+    return requests.select(F.inline("pairs"), "w", "table_total").where("pool is not null")
+
+
+def attach_pools(profiles: DataFrame, totals: DataFrame, hot: DataFrame) -> DataFrame:
+    """Add ``pools``: for each kind the pool key with its mass, rows, slot width and salts, null where
+    empty. Profiles that ask for the same pools are looked up once."""
+    wanted = profiles.select("asked", "pairs").distinct().select("asked", F.inline("pairs")).where("pool is not null")
+    facts = F.struct("pool", "total", "copies", "step", "salts")
+    found = wanted.join(salted(totals, hot), "pool").groupBy("asked").agg(
         F.struct(*[F.max(F.when(F.col("kind") == kind, facts)).alias(kind) for kind in POOLS]).alias("pools")
     )
-    return profiles.join(found, "asked", "left").drop("asked")
+    return profiles.join(found, "asked", "left").drop("asked", "pairs")
 
 
 def _facts(kind: str) -> Column:
     return F.col("pools")[kind]
 
 
-def draw_treatment(stays: DataFrame, id_col: str, treatments: DataFrame, seed: int) -> DataFrame:
+def draw_treatment(stays: DataFrame, id_col: str, treatments: DataFrame, hot: DataFrame, seed: int) -> DataFrame:
     """One treatment row for the parent code of the main diagnosis; stage and TNM only where they say something."""
     take = {name: name for name in TREATMENT_FIELDS if name in treatments.columns}
     facts = _facts("treatment")
-    out = draw_some(stays, id_col, treatments, facts["pool"], facts, F.lit(1), 1, take, "treatment", seed)
+    out = draw_some(stays, id_col, treatments, facts["pool"], facts, F.lit(1), 1, take, "treatment", seed, hot=hot)
 
     def got(name: str) -> Column:
         return F.col(f"treatment_{name}_1") if name in take else F.lit(None).cast("string")
@@ -151,11 +164,11 @@ def draw_treatment(stays: DataFrame, id_col: str, treatments: DataFrame, seed: i
     ).drop(*[f"treatment_{name}_1" for name in take])
 
 
-def draw_procedure(stays: DataFrame, id_col: str, procedures: DataFrame, seed: int) -> DataFrame:
+def draw_procedure(stays: DataFrame, id_col: str, procedures: DataFrame, hot: DataFrame, seed: int) -> DataFrame:
     """One procedure; empty texts where the profile has none."""
     facts = _facts("procedure")
     take = {"code": "procedure", "label": "text_procedure", "sets": "procedure_sets"}
-    out = draw_some(stays, id_col, procedures, facts["pool"], facts, F.lit(1), 1, take, "procedure", seed)
+    out = draw_some(stays, id_col, procedures, facts["pool"], facts, F.lit(1), 1, take, "procedure", seed, large=True, hot=hot)
     return out.withColumns(
         {
             "procedure": F.coalesce("procedure_code_1", F.lit("")),
@@ -165,7 +178,7 @@ def draw_procedure(stays: DataFrame, id_col: str, procedures: DataFrame, seed: i
     ).drop("procedure_code_1", "procedure_label_1", "procedure_sets_1")
 
 
-def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, seed: int) -> DataFrame:
+def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, hot: DataFrame, seed: int) -> DataFrame:
     """Add ``icd_secondary_code`` and ``text_secondary_icd_official``: the profile's own codes, then chronic
     diagnoses of distinct chapters, metastases of cancer stays, acute complications.
 
@@ -176,7 +189,7 @@ def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, seed: in
     chronic = _facts("chronic")
     wanted = wanted_count(seed, "chronic", id_col, chronic["copies"])
     out = draw_some(
-        stays, id_col, secondary, chronic["pool"], chronic, wanted, 2, {**take, "cancer": "is_cancer"}, "chronic", seed, distinct_groups=True, large=True
+        stays, id_col, secondary, chronic["pool"], chronic, wanted, 2, {**take, "cancer": "is_cancer"}, "chronic", seed, distinct_groups=True, large=True, hot=hot
     )
     drawn_cancer = F.coalesce("chronic_cancer_1", F.lit(False)) | F.coalesce("chronic_cancer_2", F.lit(False))
     out = out.withColumn("cancer_stay", F.col("primary_is_cancer") | F.col("preset")["any_cancer"] | drawn_cancer)
@@ -185,15 +198,15 @@ def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, seed: in
     with_nodes = F.col("cancer_stay") & staged & F.col("score_TNM").rlike("N[123x+]")
     spread = F.col("cancer_stay") & (~staged | F.col("score_TNM").rlike("M[123x+]"))
     nodes = _facts("nodes")
-    out = draw_some(out, id_col, secondary, nodes["pool"], nodes, F.when(with_nodes, 1), 1, take, "nodes", seed, large=True)
+    out = draw_some(out, id_col, secondary, nodes["pool"], nodes, F.when(with_nodes, 1), 1, take, "nodes", seed, large=True, hot=hot)
     out = out.withColumn("metastases", F.when(spread, F.when(staged, _facts("distant")).otherwise(_facts("any_metastasis"))))
     metastases = F.col("metastases")
     wanted = wanted_count(seed, "metastases", id_col, metastases["copies"])
-    out = draw_some(out, id_col, secondary, metastases["pool"], metastases, wanted, 2, take, "metastasis", seed, large=True)
+    out = draw_some(out, id_col, secondary, metastases["pool"], metastases, wanted, 2, take, "metastasis", seed, large=True, hot=hot)
 
     acute = _facts("acute")
     wanted = wanted_count(seed, "acute", id_col, acute["copies"])
-    out = draw_some(out, id_col, secondary, acute["pool"], acute, wanted, 2, take, "acute", seed, large=True)
+    out = draw_some(out, id_col, secondary, acute["pool"], acute, wanted, 2, take, "acute", seed, large=True, hot=hot)
 
     stages = [("chronic", 2), ("nodes", 1), ("metastasis", 2), ("acute", 2)]
 

@@ -18,15 +18,19 @@ from casemill.operators.people import (
     people_positions,
     stay_dates,
 )
+from casemill.operators.positions import hot_pools
 from casemill.operators.secondary import (
+    asked_pools,
     attach_pools,
     draw_procedure,
     draw_secondary,
     draw_treatment,
+    family_totals,
     procedure_positions,
     secondary_line,
     secondary_positions,
     treatment_positions,
+    with_pool_keys,
 )
 from casemill.operators.stay_length import normal_days
 from casemill.sources.scratch import all_written, written
@@ -138,10 +142,9 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
     source = typed_profiles(data["profiles"])
     identity = [c for c in source.columns if c != "nb"]
     profiles = sum_duplicates(source, "nb", identity).withColumn("profile_key", profile_key(identity))
-    profiles = table_positions(profiles, ["profile_key"])
-    profiles = profiles.withColumn("icd_parent_code", F.coalesce(parent_code("icd_primary_code"), F.lit("")))
+    laid = with_sets(table_positions(profiles, ["profile_key"]), "icd_primary_code", members, "primary_sets")
+    profiles = laid.withColumn("icd_parent_code", F.coalesce(parent_code("icd_primary_code"), F.lit("")))
     profiles = with_group_facts(profiles, data)
-    profiles = with_sets(profiles, "icd_primary_code", members, "primary_sets")
     profiles = with_sets(profiles, "case_management_type", members, "mdp_sets")
     profiles = with_label(profiles, "icd_primary_code", labels, "icd_primary_description", default="")
     profiles = with_label(profiles, "case_management_type", labels, "case_management_type_description", default="")
@@ -156,9 +159,12 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
         }
     )
     of_profile = [families[name] for name in ("secondary", "procedures", "treatments")]
-    profiles = attach_pools(profiles, F.col("primary_is_cancer"), *of_profile)
+    totals = family_totals(*of_profile)
+    keyed = with_pool_keys(laid, F.array_contains("primary_sets", "cancer"))
+    hot = written(hot_pools(asked_pools(keyed), totals), "hot-pools")
+    profiles = attach_pools(with_pool_keys(profiles, F.col("primary_is_cancer")), totals, hot)
     profiles = with_preset(profiles, "profile_key", members, labels).drop("profile_key")
-    return {**families, "profiles": written(profiles, "case-profiles")}
+    return {**families, "hot": hot, "profiles": written(profiles, "case-profiles")}
 
 
 def with_administration(stays: DataFrame, id_col: str, people: DataFrame, reference_year: int, seed: int) -> DataFrame:
@@ -178,9 +184,9 @@ def draw_prepared(
 ) -> DataFrame:
     """One stay per row of ``ids``."""
     stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile to draw from")
-    stays = draw_treatment(stays, id_col, prepared["treatments"], seed)
-    stays = draw_secondary(stays, id_col, prepared["secondary"], seed)
-    stays = draw_procedure(stays, id_col, prepared["procedures"], seed).drop("pools", "preset")
+    stays = draw_treatment(stays, id_col, prepared["treatments"], prepared["hot"], seed)
+    stays = draw_secondary(stays, id_col, prepared["secondary"], prepared["hot"], seed)
+    stays = draw_procedure(stays, id_col, prepared["procedures"], prepared["hot"], seed).drop("pools", "preset")
     stays = with_administration(stays, id_col, prepared["people"], reference_year, seed)
     stays = with_care_management(stays, id_col, seed)
     return stays.withColumn("generation_id", generation_id(seed, id_col)).select(id_col, *COLUMNS)

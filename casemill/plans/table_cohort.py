@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.functions.uniform import generation_id, uniform
-from casemill.operators.associated import attach_das_plans, das_positions, draw_associated
+from casemill.operators.associated import asked_pools, attach_das_plans, das_positions, draw_associated
 from casemill.operators.draws import draw_rows, sum_duplicates, table_positions
 from casemill.operators.lookups import active_labels, group_root_labels, with_label
+from casemill.operators.positions import hot_pools, pool_totals
 from casemill.operators.procedures import attach_procedure_pools, drawn_procedures
 from casemill.operators.stay_length import triangular_days, triangular_parameters
 from casemill.sources.scratch import written
@@ -34,13 +35,14 @@ def prepare(tables: dict[str, DataFrame], n_das: int = 3, ghm5_pattern: str | No
     codes = active_labels(tables["cim10"])
     das = written(das_positions(tables["das"], codes), "das-positions")
     profiles = table_positions(eligible_profiles(tables["dp"], ghm5_pattern), ORDER)
+    hot = written(hot_pools(asked_pools(profiles), pool_totals(das, ["pool"])), "hot-pools")
     profiles = profiles.withColumn("profile_key", profile_key())
-    profiles = attach_das_plans(profiles, "profile_key", das, n_das)
+    profiles = attach_das_plans(profiles, "profile_key", das, n_das, hot)
     profiles = attach_procedure_pools(profiles, tables["ccam"], active_labels(tables["ccam_ref"]))
     profiles = profiles.join(triangular_parameters(tables["dms"]), "GHM5", "left")
     profiles = with_label(profiles, "GHM5", group_root_labels(tables["rghm"]), "ghm5_label")
     profiles = with_label(profiles, "DP", codes, "dp_label").drop("profile_key", "ccam_level")
-    return {"das": das, "profiles": written(profiles, "profiles")}
+    return {"das": das, "hot": hot, "profiles": written(profiles, "profiles")}
 
 
 def draw_prepared(
@@ -48,7 +50,7 @@ def draw_prepared(
 ) -> DataFrame:
     """One stay per row of ``ids``: one lookup for the profile and one per associated diagnosis."""
     stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile matches the request")
-    stays = draw_associated(stays, id_col, prepared["das"], n_das, seed)
+    stays = draw_associated(stays, id_col, prepared["das"], prepared["hot"], n_das, seed)
     return stays.select(
         id_col,
         generation_id(seed, id_col).alias("generation_id"),

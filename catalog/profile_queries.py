@@ -46,6 +46,10 @@ def prepared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _PREPARED[slot]
 
 
+def hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepared(spark, sf_dir)["hot"]
+
+
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "rule_rows").groupBy("id").agg(F.max_by("text", "ordinal").alias("text"))
 
@@ -71,7 +75,7 @@ TREATED = ["histological_type", "score_TNM", "cancer_stage", "biomarkers", "trea
 
 
 def treated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secondary.draw_treatment(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["treatments"], SEED)
+    return secondary.draw_treatment(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["treatments"], hot(spark, sf_dir), SEED)
 
 
 def treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,12 +83,12 @@ def treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secondary.draw_secondary(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["secondary"], SEED)
+    out = secondary.draw_secondary(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["secondary"], hot(spark, sf_dir), SEED)
     return out.select("stay_id", F.array_join("icd_secondary_code", ",").alias("icd_secondary_code"), "text_secondary_icd_official")
 
 
 def procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secondary.draw_procedure(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["procedures"], SEED)
+    out = secondary.draw_procedure(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["procedures"], hot(spark, sf_dir), SEED)
     return out.select("stay_id", "procedure", "text_procedure")
 
 
@@ -103,7 +107,7 @@ def people_of_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def care(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secondary.draw_procedure(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["procedures"], SEED)
+    out = secondary.draw_procedure(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["procedures"], hot(spark, sf_dir), SEED)
     return with_care_management(out, "stay_id", SEED).select("stay_id", "situa", "coding_rule", "template_name")
 
 

@@ -171,9 +171,10 @@ def test_cascaded_diagnoses_follow_the_sequential_law(spark):
     from casemill.operators.associated import draw_associated
 
     prepared = table_cohort.prepare(table_inputs(spark), n_das=4)
+    assert prepared["hot"].where("salts > 1").count() == 5  # a profile with two thirds of the mass: its pools are salted
     plans = prepared["profiles"].where("GHM5 = 'G1'").select("das_plans").scalar()
     stays = stay_ids(spark, 4 * N).withColumn("das_plans", plans)
-    drawn = draw_associated(stays, "stay_id", prepared["das"], 4, 11).collect()
+    drawn = draw_associated(stays, "stay_id", prepared["das"], prepared["hot"], 4, 11).collect()
     by_size = Counter(len(r["DAS_CODE"]) for r in drawn)
     assert set(by_size) <= {0, 1, 2, 3}  # three categories in all: a fourth pick finds nothing
     for n in (1, 2):
