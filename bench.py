@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from casemill.operators.draws import stay_ids  # noqa: E402
-from casemill.plans import profile_cohort, prompts, table_cohort  # noqa: E402
+from casemill.plans import prompts, table_cohort  # noqa: E402
 from catalog import operator_queries as ops, profile_queries as cases, table_queries as tabled  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
