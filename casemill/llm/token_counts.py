@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from casemill.llm.shipping import ship
 from casemill.llm.words import slices
 
 #: Words whose counts a worker keeps; beyond it starts anew, which costs time and changes no count.
@@ -120,6 +121,7 @@ def counted(path: str) -> Counted:
 
 def token_counts(documents: DataFrame, path: str, limit: int = 512, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, ``n_bytes``, ``n_tokens`` as the tokenizer file at ``path`` gives them, ``over_limit``."""
+    ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
 
     def count(batches):
