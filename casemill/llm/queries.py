@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import pieces, quality_rules, token_counts, token_files, toxicity
+from casemill.llm import pieces, quality_classifier, quality_rules, token_counts, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_classifier.scored(documents, quality_classifier.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -36,7 +41,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_pieces, op3_toxicity, op4_quality_rules, op7_token_counts, op9_token_files]
+    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op7_token_counts, op9_token_files]
     return {query.__name__: query for query in found}
 
 
