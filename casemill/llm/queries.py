@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import pieces, quality_classifier, quality_rules, token_counts, token_files, toxicity
+from casemill.llm import pages, pieces, quality_classifier, quality_rules, token_counts, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,12 +36,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op7_token_counts, op9_token_files]
+    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op7_token_counts, op8_main_text, op9_token_files]
     return {query.__name__: query for query in found}
 
 
