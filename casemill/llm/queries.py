@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import pages, pieces, quality_classifier, quality_rules, token_counts, token_files, toxicity
+from casemill.llm import pages, pieces, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scored(documents, quality_classifier.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), sharding.SHARDS)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -45,7 +49,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op7_token_counts, op8_main_text, op9_token_files]
+    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files]
     return {query.__name__: query for query in found}
 
 
