@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import pages, pieces, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
+from casemill.llm import decontamination, pages, pieces, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,8 +48,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files]
+    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files, op10_decontamination]
     return {query.__name__: query for query in found}
 
 

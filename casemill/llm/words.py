@@ -1,6 +1,6 @@
 """Words and word windows of many texts at once, as numpy arrays.
 
-A word is a maximal run of bytes outside ``0x20`` and ``0x09-0x0D``. Hashes have 64 bits and depend on the bytes alone,
+A word is a maximal run of bytes outside ``0x20`` and ``0x09-0x0D``, or outside another set that is asked for. Hashes have 64 bits and depend on the bytes alone,
 so every task, run and machine gives the same.
 """
 
@@ -14,15 +14,18 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are handled at once; a single longer text is still handled whole, its words in parts.
 SLICE_BYTES = 8 << 20
-_PART = 1 << 22
+_PART = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _draw = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _draw.integers(0, 2**64, 256, dtype=np.uint64)
 _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]
 _PLACE = _draw.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
-_WHITE = np.zeros(256, bool)
-_WHITE[[32, 9, 10, 11, 12, 13]] = True
+WHITE = np.zeros(256, bool)
+WHITE[[32, 9, 10, 11, 12, 13]] = True
+#: Every ASCII byte but letters and digits ends a word.
+SIGNS = np.zeros(256, bool)
+SIGNS[:128] = [not chr(b).isalnum() for b in range(128)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,10 +62,10 @@ def slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
 class Words:
     """Where the words of a column of texts lie, and their hashes."""
 
-    def __init__(self, column: pa.Array, fold: bool = False):
+    def __init__(self, column: pa.Array, fold: bool = False, between: np.ndarray = WHITE):
         self.data, self.offsets = text_buffer(column)
         self.fold = fold
-        inside = ~_WHITE[self.data]
+        inside = ~between[self.data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         begins = self.offsets[:-1][self.offsets[:-1] < self.offsets[1:]]
@@ -122,7 +125,7 @@ def windows(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndar
     total = np.maximum(count - width + 1, (count > 0).astype(count.dtype))
     ends = np.concatenate(([0], np.cumsum(total)))
     sums = np.zeros(len(hashes), np.uint64)
-    for k in range(width):
+    for k in range(min(width, len(hashes))):
         sums[: len(hashes) - k] += hashes[k:] * _PLACE[k]
     at = np.arange(ends[-1]) - np.repeat(ends[:-1] - bounds[:-1], total)
     out = sums[at] + np.uint64(width)
