@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from casemill.llm import decontamination, pages, pieces, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
+from casemill.llm import decontamination, ngram_join, pages, pieces, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -53,7 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files, op10_decontamination]
+    found = [op1_ngram_join, op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files, op10_decontamination]
     return {query.__name__: query for query in found}
 
 
