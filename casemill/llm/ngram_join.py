@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from casemill.llm.components import components
 from casemill.llm.keys import bounded
@@ -244,9 +245,13 @@ def rest_links(pairs: DataFrame, labels: DataFrame, sizes: DataFrame, sets: Data
 
 def joined(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, ``n_shingles``, ``component_id``."""
-    spark = documents.sparkSession
-    ship(spark)
-    rows = documents.select(documents[key].alias("key"), documents[text].alias("text"))
+    found = _classed(documents.select(documents[key].alias("key"), documents[text].alias("text")))
+    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
+
+
+def _classed(rows: DataFrame) -> DataFrame:
+    """(``key``, ``n``, ``cls``, ``component``: least key of the linked classes) for each of ``rows`` (``key``, ``text``)."""
+    ship(rows.sparkSession)
     both = written(classes(rows), "classes")
     docs = both.where("n IS NOT NULL").select("key", "n", "cls")
     frequent = frequent_tokens(both, docs.count())
@@ -267,5 +272,28 @@ def joined(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     named = sizes.join(label, "cls", "left").select("cls", "first", F.coalesce("label", "cls").alias("label"))
     least = named.groupBy("label").agg(F.min("first").alias("component"))
     named = written(named.join(least, "label").select("cls", "component"), "class-components")
-    found = docs.join(named, "cls", "left")
-    return found.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
+    return docs.join(named, "cls", "left")
+
+
+def representatives(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group of linked documents, that of the least key, with all its columns; of rows that repeat a
+    key and its tokens, one. Documents without words all stay."""
+    found = written(_classed(documents.select(documents[key].alias("key"), documents[text].alias("text"))).where("cls IS NOT NULL"), "components")
+    gone = found.where(~F.col("key").eqNullSafe(F.col("component"))).select("key", "cls").distinct()
+    again = found.groupBy("key", "cls").agg(F.count("*").alias("n")).where("n > 1").select("key", "cls")
+
+    def named(batches):
+        for rows in slices(batches):
+            yield pa.record_batch({"_row": rows["_row"], "_cls": pa.array([_class(s) for s in _sets(rows["text"])], pa.int64())})
+
+    packed = documents.select(F.struct("*").alias("_row"), documents[text].alias("text"))
+    rows = packed.mapInArrow(named, StructType([packed.schema["_row"], StructField("_cls", LongType())]))
+    match = lambda keys: F.col(f"_row.{key}").eqNullSafe(keys["key"]) & (F.col("_cls") == keys["cls"])
+    gone = written(gone, "linked-away")
+    rows = rows.join(bounded(gone), match(gone), "left_anti")
+    again = written(again, "repeated")
+    if again.limit(1).count():
+        rows = rows.withColumn("_key", F.col(f"_row.{key}"))
+        once = rows.join(bounded(again), match(again), "left_semi").dropDuplicates(["_key", "_cls"])
+        rows = rows.join(bounded(again), match(again), "left_anti").unionByName(once)
+    return rows.select("_row.*")

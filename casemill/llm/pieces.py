@@ -357,9 +357,9 @@ def decoded(frame: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
     return frame.select(frame[key].alias("key"), frame[ids].alias("ids")).mapInArrow(decode, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
-def digests(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, ``n_pieces``, ``ids_crc32`` (of the ids as little-endian unsigned 32-bit integers) and
-    ``round_trip``: whether decoding gives the text back (null: empty)."""
+def digests(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Per document: key, ``n_pieces``, ``ids_crc32`` (of the ids as little-endian unsigned 32-bit integers),
+    ``round_trip``: whether decoding gives the text back (null: empty), and with ``with_ids`` the ``ids``."""
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
 
@@ -370,14 +370,15 @@ def digests(documents: DataFrame, path: str, key: str = "doc_id", text: str = "t
             ids, counts = coder.encode(texts)
             ends = np.concatenate(([0], np.cumsum(counts)))
             each = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.record_batch(
-                {
-                    "key": rows["key"],
-                    "n_pieces": pa.array(counts, pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in each], pa.int64()),
-                    "round_trip": pa.array([coder.model.decode(x) == (t or "") for x, t in zip(each, texts)], pa.bool_()),
-                }
-            )
-
-    schema = f"key {kind}, n_pieces long, ids_crc32 long, round_trip boolean"
+            columns = {
+                "key": rows["key"],
+                "n_pieces": pa.array(counts, pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in each], pa.int64()),
+                "round_trip": pa.array([coder.model.decode(x) == (t or "") for x, t in zip(each, texts)], pa.bool_()),
+            }
+            if with_ids:
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+            yield pa.record_batch(columns)
+
+    schema = f"key {kind}, n_pieces long, ids_crc32 long, round_trip boolean" + ", ids array<int>" * with_ids
     return documents.select(documents[key].alias("key"), documents[text].alias("text")).mapInArrow(digest, schema).withColumnRenamed("key", key)

@@ -201,3 +201,16 @@ def scored(documents: DataFrame, model: Attention, key: str = "doc_id", text: st
 
     found = documents.select(documents[key].alias("key"), documents[text].alias("text")).mapInArrow(score, f"key {kind}, score double")
     return found.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def kept(documents: DataFrame, model: Attention, text: str = "text", cut: float = 0.3) -> DataFrame:
+    """The documents that score ``cut`` or more, with all their columns."""
+    ship(documents.sparkSession)
+    sent = documents.sparkSession.sparkContext.broadcast(model)  # of fixed size
+
+    def keep(batches):
+        for rows in slices(batches, text, limit=TEXT_BYTES):
+            made, counts = _passages.of(rows[text].to_pylist())
+            yield rows.filter(pa.array(sent.value.forward(made, counts)["score"] >= cut))
+
+    return documents.mapInArrow(keep, documents.schema)

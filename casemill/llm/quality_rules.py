@@ -67,14 +67,19 @@ def repeated_words(words: Column, width: int = 5) -> Column:
 
 def signals(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_lines``, ``n_repeat_words``."""
-    rows = documents.select(documents[key].alias(key), F.coalesce(documents[text], F.lit("")).alias("text"))
+    return _signals(documents.select(documents[key].alias("_key"), documents[text].alias("text")), "_key").withColumnRenamed("_key", key)
+
+
+def _signals(rows: DataFrame, carried: str) -> DataFrame:
+    """The signals of ``text`` beside one other column."""
+    rows = rows.select(carried, F.coalesce("text", F.lit("")).alias("text"))
     trimmed = F.btrim("text", F.lit(WHITE))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACES))
     lines = F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "")
-    rows = rows.select(key, "text", words.alias("words"), lines.alias("lines"))
+    rows = rows.select(carried, "text", words.alias("words"), lines.alias("lines"))
     long = lambda column, name: column.cast("long").alias(name)
     return rows.select(
-        key,
+        carried,
         long(F.size("words"), "n_words"),
         long(F.char_length(F.array_join("words", "")), "word_chars"),
         long(F.char_length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")), "n_symbols"),
@@ -158,10 +163,24 @@ def judged(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     """One row per document: key, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
     ``base_failed``, ``kept``, and the names of the rules it broke."""
     rows = rule_signals(written(signals(documents, key, text), "quality-signals"))
-    chosen = cutoffs(rows, labels, key, label, risk, doubt)
+    rows = _broken(rows, cutoffs(rows, labels, key, label, risk, doubt))
+    return rows.select(
+        key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & (F.size("broken") == 0)).alias("kept"), "broken"
+    )
+
+
+def _broken(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``rows`` with the names of the rules that each breaks."""
     wide = chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))  # a row per stratum, an entry per rule
     rows = rows.join(F.broadcast(wide), "stratum", "left")
     broken = F.filter(F.array(*[F.when(F.col(rule) > F.col("cutoffs")[rule], F.lit(rule)) for rule in GRID]), lambda rule: rule.isNotNull())
-    return rows.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), broken.alias("broken")).select(
-        key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.size("broken") == 0)).alias("kept"), "broken"
-    )
+    return rows.withColumn("broken", broken).drop("cutoffs")
+
+
+def kept(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
+    """The documents that no rule rejects, with all their columns. Their signals are worked out again rather than joined,
+    so that no text is shuffled."""
+    chosen = written(cutoffs(rule_signals(written(signals(documents, key, text), "quality-signals")), labels, key, label, risk, doubt), "quality-cutoffs")
+    rows = _signals(documents.select(F.struct("*").alias("_row"), documents[text].alias("text")), "_row")
+    rows = _broken(rule_signals(rows), chosen)
+    return rows.where(~base_failed() & (F.size("broken") == 0)).select("_row.*")
