@@ -32,3 +32,19 @@ def sex_label(sexe: Column | str) -> Column:
 def line(prefix: str, value: Column, suffix: str = "\n") -> Column:
     """One text line; null where the value is null, so that ``concat_ws`` leaves the line out."""
     return F.concat(F.lit(prefix), value.cast("string"), F.lit(suffix))
+
+
+def row_key(*values: Column | str) -> Column:
+    """Several values as one text that tells any two rows apart: null is ``~``, anything else follows a ``=`` with the
+    separator doubled. Lists are written the same way, with commas."""
+
+    def marked(text: Column, separator: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.replace(text, F.lit(separator), F.lit(2 * separator))), F.lit("~"))
+
+    return F.concat_ws("|", *[marked(F.col(v).cast("string") if isinstance(v, str) else v, "|") for v in values])
+
+
+def list_text(values: Column | str) -> Column:
+    """A list of texts as one text; null for a null list."""
+    item = lambda x: F.coalesce(F.concat(F.lit("="), F.replace(x, F.lit(","), F.lit(",,"))), F.lit("~"))
+    return F.array_join(F.transform(values, item), ",")

@@ -34,9 +34,15 @@ def uniform_int(u: Column, low: Column | int, high: Column | int) -> Column:
     return (F.floor(u * (high - low + 1)) + low).cast("bigint")
 
 
-def position_below(u: Column, size: Column) -> Column:
-    """Integer in [0, size), null where there is nothing to choose from."""
-    return F.when(size > 0, F.floor(u * size).cast("bigint"))
+def position_below(size: Column, seed: int, salt: str, *keys: Column | str) -> Column:
+    """Integer in [0, size), null where there is nothing to choose from: 60 hash bits times the size, less 60 bits.
+    The product is taken in halves, so sizes up to 2**62 need no more than 64-bit integers and every position is
+    reachable."""
+    digest = key_hash(F.lit(f"{seed}|{salt}"), *keys)
+    high, low = (F.shiftright(F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint"), 2) for start in (1, 9))
+    size_high, size_low = F.shiftright(size, 31), size.bitwiseAND(F.lit(2**31 - 1).cast("bigint"))
+    rest = high * size_low + 2 * low * size_high + F.shiftright(low * size_low, 30)
+    return F.when(size > 0, 2 * high * size_high + F.shiftright(rest, 30))
 
 
 def generation_id(seed: int, *keys: Column | str) -> Column:

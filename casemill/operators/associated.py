@@ -150,7 +150,7 @@ def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, hot: Da
             taken = F.when(same_level, grown).otherwise(taken)
         out = out.withColumn("das_taken", taken)
         left = plan["total"] - taken_length(F.col("das_taken"))
-        short = F.when(F.col("das_wanted") >= pick, position_below(uniform(seed, f"das_{pick}", id_col), F.col("das_left")))
+        short = F.when(F.col("das_wanted") >= pick, position_below(F.col("das_left"), seed, f"das_{pick}", id_col))
         out = out.withColumn("das_left", left).withColumn("das_at", short)
         out = find(
             out,

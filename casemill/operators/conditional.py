@@ -40,13 +40,13 @@ def pooled_rows(rows: DataFrame, kinds: Column, columns: list[str], profiles: Da
         parts = [F.lit(ANY) if mask >> i & 1 else F.col(c).cast("string") for i, c in enumerate(columns)]
         tail = [piece for part in parts for piece in (F.lit("|"), part)]
         keys.append(F.struct(F.lit(mask).alias("mask"), F.concat(F.col("kind"), *tail).alias("pool")))
-    in_use = profiles.select(open_mask(columns).alias("mask")).distinct()  # at most 2**len(columns) rows
+    in_use = profiles.agg(F.collect_set(open_mask(columns)).alias("masks"))  # at most 2**len(columns) numbers
+    used = F.filter(F.array(*keys), lambda key: F.array_contains(F.col("masks_in_use"), key["mask"]))
     return (
-        rows.withColumn("kind", F.explode(kinds))
-        .select("*", F.inline(F.array(*keys)))
+        rows.withColumns({"kind": F.explode(kinds), "masks_in_use": in_use.scalar()})
+        .select("*", F.inline(used))
         .where("pool is not null")
-        .join(F.broadcast(in_use), "mask", "left_semi")
-        .drop("mask", "kind")
+        .drop("mask", "kind", "masks_in_use")
     )
 
 
@@ -88,7 +88,7 @@ def draw_some(
         if pick > 1:
             out = out.withColumn(f"{salt}_free", free - taken_length(taken))
             free = F.col(f"{salt}_free")
-        short = F.when(wanted >= pick, position_below(uniform(seed, f"{salt}_{pick}", id_col), free))
+        short = F.when(wanted >= pick, position_below(free, seed, f"{salt}_{pick}", id_col))
         out = out.withColumn(f"{salt}_at", short)
         if pick > 1:
             out = out.withColumn(f"{salt}_at", skip_taken(F.col(f"{salt}_at"), taken))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casemill.functions.uniform import position_below, uniform
+from casemill.functions.uniform import position_below
 from casemill.operators.positions import POSITION_COLUMNS, find, int_weight, lay_out, slotted, spread
 
 TABLE_SPREAD_DIGITS = 3
@@ -42,7 +42,7 @@ def draw_rows(
     total = F.coalesce(whole.select("total").scalar(), F.raise_error(F.lit(empty_message)).cast("bigint"))
     draws = ids.withColumns({"draw_total": total, "draw_step": whole.select("step").scalar()})
     take = [c for c in positions.columns if c not in ("grp", "w", *POSITION_COLUMNS)]
-    position = position_below(uniform(seed, salt, id_col), F.col("draw_total"))
+    position = position_below(F.col("draw_total"), seed, salt, id_col)
     drawn = find(draws, slotted(positions), {}, position, F.col("draw_step"), {c: c for c in take}, id_col, large=True)
     return drawn.drop("draw_total", "draw_step")
 

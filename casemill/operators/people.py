@@ -25,9 +25,8 @@ def calendar_positions(spark: SparkSession, years: list[int]) -> DataFrame:
     """Days of each year, all of them and weekdays only; every month has the same mass, shared by its days.
     The weekday pool carries the law of drawing a month, then a day, until a weekday comes up."""
     first, last = F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31))
-    days = spark.createDataFrame([(y,) for y in sorted(set(years))], "year int").select(
-        "year", F.explode(F.sequence(first, last)).alias("day")
-    )
+    few = spark.range(1).select(F.explode(F.array(*[F.lit(y) for y in sorted(set(years))])).alias("year"))
+    days = few.select("year", F.explode(F.sequence(first, last)).alias("day"))
     flags = F.when(F.weekday("day") < 5, F.array(F.lit("0"), F.lit("1"))).otherwise(F.array(F.lit("0")))
     pools = days.withColumn("flag", F.explode(flags)).select(F.concat_ws("|", "year", "flag").alias("pool"), "day")
     mass = F.call_function("div", F.lit(MONTH_MASS).cast("bigint"), F.dayofmonth(F.last_day("day")).cast("bigint"))
@@ -48,7 +47,7 @@ def draw_one(
     slots = slotted(positions.select(*dict.fromkeys(["pool", "lo", "hi", "step", *take.values()])))
     stays = stays.withColumn("one_pool", pool)
     stays = stays.withColumn("one_facts", F.try_element_at(F.col(facts), F.col("one_pool")))
-    at = position_below(uniform(seed, salt, id_col), F.col("one_facts")["total"])
+    at = position_below(F.col("one_facts")["total"], seed, salt, id_col)
     out = find(stays, slots, {"pool": F.col("one_pool")}, at, F.col("one_facts")["step"], take, id_col)
     return out.drop("one_pool", "one_facts")
 

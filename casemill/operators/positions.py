@@ -18,19 +18,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casemill.functions.uniform import as_column, key_hash
 
-FRACTION_GRAIN = 10**9
+#: Bits of a table's total mass on the integer line.
+MASS_BITS = 61
 MIN_SLOTS = 64
 HOT_SHARE = 1024
 SALTED_SLOTS = 256
 
 
+def mass_scale(df: DataFrame, name: str) -> Column:
+    """A power of two that brings the sum of the finite positive weights of ``df`` just below 2**MASS_BITS. The sum is
+    bounded from the numbers of weights between powers of two, added in their order, so it is the same on every run."""
+    weight = F.col(name).cast("double")
+    bins = df.where((weight > 0) & (weight < float("inf"))).groupBy(F.floor(F.log2(weight)).cast("int").alias("e")).agg(F.count(F.lit(1)).alias("n"))
+    some = F.sort_array(F.collect_list(F.struct("e", "n")))  # one entry per power of two that occurs
+    bound = F.aggregate(some, F.lit(0.0), lambda total, bin_: total + bin_["n"] * F.pow(F.lit(2.0), bin_["e"] + 1))
+    return bins.agg(F.pow(F.lit(2.0), F.lit(MASS_BITS) - F.ceil(F.log2(bound))).alias("scale")).scalar()
+
+
 def int_weight(df: DataFrame, name: str) -> Column:
-    """Exact integer weight. Fractions are counted in billionths; a positive weight never becomes zero."""
+    """Integer weight. Fractions and very large weights are scaled by one power of two for the whole table, so shares
+    stay as they are down to 2**-MASS_BITS of the table; a positive weight never becomes zero. Integers whose sum
+    fits are taken as they are. Null, NaN, infinite and negative weights are zero."""
     kind = df.schema[name].dataType.typeName()
-    if kind in ("byte", "short", "integer", "long"):
-        return F.col(name).cast("bigint")
-    scaled = F.round(F.col(name).cast("double") * FRACTION_GRAIN).cast("bigint")
-    return F.when(F.col(name) > 0, F.greatest(scaled, F.lit(1).cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
+    weight, scale = F.col(name).cast("double"), F.coalesce(mass_scale(df, name), F.lit(1.0))
+    whole = kind in ("byte", "short", "integer", "long")
+    scaled = F.greatest(F.floor(weight * (F.least(scale, F.lit(1.0)) if whole else scale)).cast("bigint"), F.lit(1).cast("bigint"))
+    if whole:
+        scaled = F.when(scale >= 1, F.col(name).cast("bigint")).otherwise(scaled)
+    return F.when((weight > 0) & (weight < float("inf")), scaled).otherwise(F.lit(0).cast("bigint"))
 
 
 def spread(*items: Column | str, digits: int = 2) -> Column:
@@ -140,7 +155,7 @@ def hot_pools(asked: DataFrame, totals: DataFrame) -> DataFrame:
     SALTED_SLOTS places that draws spread over.
     """
     mass = asked.groupBy("pool").agg(F.sum("w").alias("asked_w"), F.max("table_total").alias("table_total"))
-    hot = mass.where(F.col("asked_w") * HOT_SHARE > F.col("table_total"))
+    hot = mass.where(F.col("asked_w") > F.call_function("div", F.col("table_total"), F.lit(HOT_SHARE).cast("bigint")))
     slots = F.ceil(F.col("total") / F.col("step"))
     salts = F.ceil(F.lit(SALTED_SLOTS) / slots).cast("int")
     return hot.join(totals, "pool").select("pool", salts.alias("salts")).where("salts > 1")

@@ -9,7 +9,7 @@ from casemill.functions.text import parent_code
 from casemill.operators.codesets import diagnosis_type, with_sets
 from casemill.operators.conditional import draw_some, pooled_rows, profile_pool, shared_columns, wanted_count
 from casemill.operators.lookups import with_label
-from casemill.operators.positions import lay_out, pool_totals, salted
+from casemill.operators.positions import int_weight, lay_out, pool_totals, salted
 
 BY_DIAGNOSIS = ["icd_primary_code", "cage2", "sexe"]
 BY_GROUP = ["drg_parent_code", "cage2", "sexe"]
@@ -38,14 +38,13 @@ def pool_kinds(kind: Column) -> Column:
     return out
 
 
-def _row_unit(rows: DataFrame, weight: str | None) -> Column:
-    """Weight of one row: 1, or its own ``weight`` (missing counts as 1)."""
-    return F.coalesce(F.col(weight).cast("bigint"), F.lit(1)) if weight and weight in rows.columns else F.lit(1).cast("bigint")
-
-
 def _counted(rows: DataFrame, columns: list[str], weight: str | None) -> DataFrame:
-    """Equal rows as one row with their number; pools keep the multiplicity."""
-    unit = _row_unit(rows, weight).cast("bigint")
+    """Equal rows as one row with their number; pools keep the multiplicity. A row's ``unit`` is 1, or its own ``weight``
+    (missing counts as 1)."""
+    unit = F.lit(1).cast("bigint")
+    if weight and weight in rows.columns:
+        rows = rows.withColumn(weight, F.coalesce(F.col(weight), F.lit(1).cast(rows.schema[weight].dataType)))
+        unit = int_weight(rows, weight)
     return rows.withColumn("unit", unit).groupBy(*columns, "unit").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.fixed_values import DISTANT_METASTASES
-from casemill.functions.uniform import position_below, uniform
+from casemill.functions.uniform import position_below
 from casemill.operators.positions import find, lay_out, pool_totals, slotted
 
 
@@ -32,7 +32,7 @@ def draw_phrase(rows: DataFrame, id_col: str, code: str, positions: DataFrame, l
     )
     official = labels.select(F.col("code").alias("official_code"), F.col("label").alias("official"))
     asked = rows.join(totals, F.col(code) == F.col("phrase_code"), "left").join(official, F.col(code) == F.col("official_code"), "left")
-    at: Column = position_below(uniform(seed, "phrase", id_col, code), F.col("phrase_total"))
+    at: Column = position_below(F.col("phrase_total"), seed, "phrase", id_col, code)
     slots = slotted(positions.select("icd_code", "icd_code_description", "lo", "hi", "step"))
     found = find(asked, slots, {"icd_code": F.col(code)}, at, F.col("phrase_step"), {"drawn": "icd_code_description"}, id_col)
     phrase = F.coalesce("drawn", "official", F.lit(""))

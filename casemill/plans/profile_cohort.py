@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casemill.functions.text import parent_code
+from casemill.functions.text import list_text, parent_code, row_key
 from casemill.functions.uniform import generation_id, uniform
 from casemill.operators.care import with_care_management
 from casemill.operators.codesets import cancer_set, chronic_set, memberships, with_sets
@@ -66,17 +66,12 @@ def typed_profiles(profiles: DataFrame) -> DataFrame:
     known = {
         name: (F.col(name) if name in profiles.columns else F.lit(None)).cast(kind) for name, kind in PROFILE_TYPES.items()
     }
-    return profiles.withColumns(known)
+    return profiles.withColumns(known | {"icd_secondary_code": F.array_compact(known["icd_secondary_code"])})
 
 
 def profile_key(columns: list[str]) -> Column:
     """All identifying values of a profile as one text."""
-
-    def value(name: str) -> Column:
-        text = F.array_join(name, ",") if name == "icd_secondary_code" else F.col(name).cast("string")
-        return F.coalesce(text, F.lit("~"))
-
-    return F.concat_ws("|", *[value(c) for c in sorted(columns)])
+    return row_key(*[list_text(c) if c == "icd_secondary_code" else c for c in sorted(columns)])
 
 
 def group_descriptions(groups: DataFrame) -> DataFrame:
@@ -113,7 +108,7 @@ def with_preset(profiles: DataFrame, key: str, members: DataFrame, labels: DataF
     code. Equal lists are worked out once; profiles without a list are spread over keys that match none."""
     none = F.array().cast("array<string>")
     idle = F.concat(F.lit("none|"), F.pmod(F.xxhash64(key), F.lit(4096)).cast("string"))
-    own = F.array_join("icd_secondary_code", ",")
+    own = list_text("icd_secondary_code")
     profiles = profiles.withColumn("own", F.when(F.size("icd_secondary_code") > 0, own).otherwise(idle))
     lists = profiles.where(F.size("icd_secondary_code") > 0).select("own", "icd_secondary_code").distinct()
     codes = lists.select("own", F.posexplode("icd_secondary_code").alias("pos", "code"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casemill.functions.text import row_key
 from casemill.functions.uniform import generation_id, uniform
 from casemill.operators.associated import asked_pools, attach_das_plans, das_positions, draw_associated
 from casemill.operators.draws import draw_rows, sum_duplicates, table_positions
@@ -25,10 +26,10 @@ def eligible_profiles(dp: DataFrame, ghm5_pattern: str | None = None) -> DataFra
 
 
 def profile_key() -> Column:
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in ORDER])
+    return row_key(*ORDER)
 
 
-def prepare(tables: dict[str, DataFrame], n_das: int = 3, ghm5_pattern: str | None = None) -> dict[str, DataFrame]:
+def prepare(tables: dict[str, DataFrame], n_das: int = 3, ghm5_pattern: str | None = None) -> dict[str, DataFrame | int]:
     """Everything that depends on the input tables alone, written once and shared by any number of draws:
     the positions of the associated diagnoses, and the distinct profiles with their positions, labels,
     procedure pool, plan of associated diagnoses and length-of-stay shape."""
@@ -42,13 +43,16 @@ def prepare(tables: dict[str, DataFrame], n_das: int = 3, ghm5_pattern: str | No
     profiles = profiles.join(triangular_parameters(tables["dms"]), "GHM5", "left")
     profiles = with_label(profiles, "GHM5", group_root_labels(tables["rghm"]), "ghm5_label")
     profiles = with_label(profiles, "DP", codes, "dp_label").drop("profile_key", "ccam_level")
-    return {"das": das, "hot": hot, "profiles": written(profiles, "profiles")}
+    return {"das": das, "hot": hot, "profiles": written(profiles, "profiles"), "n_das": n_das}
 
 
 def draw_prepared(
-    prepared: dict[str, DataFrame], ids: DataFrame, id_col: str = "stay_id", n_ccam: int = 3, n_das: int = 3, seed: int = 0
+    prepared: dict[str, DataFrame | int], ids: DataFrame, id_col: str = "stay_id", n_ccam: int = 3, n_das: int = 3, seed: int = 0
 ) -> DataFrame:
-    """One stay per row of ``ids``: one lookup for the profile and one per associated diagnosis."""
+    """One stay per row of ``ids``: one lookup for the profile and one per associated diagnosis. ``n_das`` may be at
+    most what the tables were prepared for."""
+    if n_das > prepared["n_das"]:
+        raise ValueError(f"prepared for {prepared['n_das']} associated diagnoses, {n_das} asked for")
     stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile matches the request")
     stays = draw_associated(stays, id_col, prepared["das"], prepared["hot"], n_das, seed)
     return stays.select(

@@ -34,6 +34,12 @@ def parquet(spark: SparkSession, path: str, names: dict[str, str] | None = None)
     return opened(path, spark.read.parquet).withColumnsRenamed(names or {})
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of part files has the mark that Spark leaves when all of them are written."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def complete_rows(spark: SparkSession, path: str, sep: str = ",", names: dict[str, str] | None = None) -> DataFrame:
     """CSV rows without any missing value."""
     return csv(spark, path, sep).dropna("any").withColumnsRenamed(names or {})

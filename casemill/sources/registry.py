@@ -17,22 +17,20 @@ REQUIRED_COLUMNS = {
 
 def ingest(spark: SparkSession, folder: str, target: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
     """Convert the semicolon latin-1 CSV files of the table cohort to Parquet, each once: a table that is
-    already there is kept. All missing files are reported together."""
+    already there whole is kept, one that was left half-written is written again. All missing files are reported together."""
     names = tables or list(V.TABLE_FILES)
     done, missing = {}, []
     for name in names:
         path = f"{target}/{name}.parquet"
-        try:
+        if files.finished(spark, path):
             done[name] = files.parquet(spark, path)
             continue
-        except FileNotFoundError:
-            pass
         try:
             rows = files.csv(spark, f"{folder}/{V.TABLE_FILES[name]}", ";", encoding=files.LATIN1)
         except FileNotFoundError:
             missing.append(V.TABLE_FILES[name])
             continue
-        by_name(rows, V.TABLE_SCHEMAS[name]).write.mode("ignore").parquet(path)
+        by_name(rows, V.TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(path)
         done[name] = files.parquet(spark, path)
     if missing:
         raise FileNotFoundError(f"missing in {folder}: {', '.join(missing)}")

@@ -53,7 +53,7 @@ FROM {stay_lines} GROUP BY 1, 2, 3, 4, 5"""
 VIEWS["pmsi_ccam"] = """
 SELECT ghm5 AS GHM5, CASE WHEN p_partkey % 16 < 4 THEN substr(dp, 1, 3) || '9' ELSE dp END AS DP,
        'JQGA' || lpad(CAST(l_suppkey % 1000 AS STRING), 3, '0') AS CCAM, count(*) AS P_CCAM
-FROM {stay_lines} WHERE p_partkey % 32 >= 2 GROUP BY 1, 2, 3"""
+FROM {stay_lines} GROUP BY 1, 2, 3"""
 
 VIEWS["pmsi_dms"] = """
 SELECT ghm5 AS GHM5, percentile_cont(0.25) WITHIN GROUP (ORDER BY CAST(qty AS DOUBLE)) AS DMS_P25,
@@ -125,7 +125,7 @@ FROM {case_lines} GROUP BY 1, 2, 3, 4, 5, 6, 7"""
 
 VIEWS["case_procedures"] = """
 SELECT procedure, drg_parent_code, icd_primary_code, cage2, sexe, admission_type, count(*) AS nb
-FROM {case_lines} WHERE p_partkey % 5 <> 0 GROUP BY 1, 2, 3, 4, 5, 6"""
+FROM {case_lines} GROUP BY 1, 2, 3, 4, 5, 6"""
 
 VIEWS["case_codes"] = """
 SELECT icd_primary_code AS code FROM {case_lines}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from casemill.standins import with_views
 from catalog import profile_sql as P, table_sql as T
-from catalog.sql import below, between, generation_id, laid_out, spread, u
+from catalog.sql import below, between, bits, generation_id, laid_out, spread, u
 
 MEMBERS = [
     *P.SETS,
@@ -50,7 +50,7 @@ def cascade_sql() -> str:
         pool = f"SELECT {named}, CAST(sum(P_DAS) AS BIGINT) AS total, count(DISTINCT substr(DAS, 1, 2)) AS cats FROM pmsi_das GROUP BY ALL"
         grouped = pool.replace("GROUP BY ALL", "GROUP BY " + ", ".join(str(i + 1) for i in range(len(key) + 1)))
         parts.append(f"SELECT s.*, {n} AS lvl, x.total, x.cats FROM profiles s JOIN ({grouped}) x ON {on}")
-    key = "GHM5 || '|' || DP || '|' || AGE || '|' || SEXE"
+    key = "'=' || GHM5 || '|=' || DP || '|=' || AGE || '|=' || SEXE"
     found = " UNION ALL ".join(parts)
     return with_views(
         ["pmsi_dp", "pmsi_das"],
@@ -105,7 +105,7 @@ def operator_checks() -> dict[str, str]:
     both = "SELECT s.stay_id, f.das AS first_code, g.das AS second_code FROM stays s LEFT JOIN {0}_1 f USING (stay_id) LEFT JOIN {0}_2 g USING (stay_id)"
     acute = [*P.SECONDARY_POOLS, *P.two_rows("acute", f"SELECT s.stay_id, p.das, p.w FROM stays s JOIN drg_pools p ON {P.same(P.BY_DRG, 's', 'p')}")]
     line_id = "concat_ws('-', l_orderkey, l_linenumber, p_partkey, l_suppkey, qty)"
-    phrase_t = below(u("phrase", line_id, "icd_secondary_code"), "total")
+    phrase_t = below(bits("phrase", line_id, "icd_secondary_code"), "total")
     procedures = dict(T.procedures())
     return {
         "filter_active_codes": simple(["cim10"], "SELECT code, max(liblong) AS label FROM cim10 WHERE en_cours = 1 GROUP BY code"),
@@ -246,7 +246,7 @@ def operator_checks() -> dict[str, str]:
                 "asked",
                 f"SELECT o_orderkey AS stay_id, o_orderstatus = 'O' AS weekday_only, {P.YEAR - 2} + {between(u('year', 'o_orderkey'), 0, 2)} AS year FROM orders",
             ),
-            final=f"SELECT stay_id, strftime(day, '%Y-%m-%d') AS day FROM (SELECT *, {below(u('entry', 'stay_id'), 'total')} AS t FROM asked"
+            final=f"SELECT stay_id, strftime(day, '%Y-%m-%d') AS day FROM (SELECT *, {below(bits('entry', 'stay_id'), 'total')} AS t FROM asked"
             " JOIN calendar_laid USING (year, weekday_only)) WHERE t >= lo AND t < lo + w",
         ),
         "draw_day_between": "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) + CAST(floor("

@@ -6,7 +6,7 @@ from __future__ import annotations
 from casemill import fixed_values as V
 from casemill.fixed_values import PROMPT, SITUATION as S
 from casemill.standins import with_views
-from catalog.sql import below, between, generation_id, laid_out, spread, u
+from catalog.sql import below, between, bits, generation_id, laid_out, spread, u
 
 INPUTS = [
     "case_profiles", "case_secondary", "case_procedures", "icd_official", "drg_statistics", "drg_parents_groups", "specialty",
@@ -18,7 +18,8 @@ IDENTITY = [
     "admission_mode", "admission_type", "age2", "cage", "cage2", "case_management_type", "discharge_disposition",
     "drg_parent_code", "icd_primary_code", "preset_codes", "los", "sexe",
 ]
-KEY = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in IDENTITY) + ")"
+TEXT = {"preset_codes": "'=' || replace(preset_codes, ',', ',=')"}
+KEY = "concat_ws('|', " + ", ".join(f"coalesce('=' || replace({TEXT.get(c, f'CAST({c} AS VARCHAR)')}, '|', '||'), '~')" for c in IDENTITY) + ")"
 
 
 def quoted(text: str) -> str:
@@ -46,7 +47,7 @@ SETS = [
 STAYS = [
     ("cases", f"SELECT {', '.join(IDENTITY)}, {KEY} AS key, CAST(sum(coalesce(nb, 1)) AS BIGINT) AS w FROM case_profiles GROUP BY ALL"),
     ("cases_laid", laid_out("cases", [], [spread("key", digits=3), "key"])),
-    ("asked", f"SELECT o_orderkey AS stay_id, {below(u('profile', 'o_orderkey'), '(SELECT max(total) FROM cases_laid)')} AS t FROM orders"),
+    ("asked", f"SELECT o_orderkey AS stay_id, {below(bits('profile', 'o_orderkey'), '(SELECT max(total) FROM cases_laid)')} AS t FROM orders"),
     (
         "stays",
         f"SELECT stay_id, {', '.join(IDENTITY)}, coalesce(icd_primary_code IN (SELECT code FROM cancer), FALSE) AS is_cancer"
@@ -71,7 +72,7 @@ def picked(name: str, source: str, key: list[str], order: list[str], salt: str,
         (f"{name}_laid", laid_out(source, key, order, weight)),
         (
             name,
-            f"SELECT {keep} FROM (SELECT *, {below(u(salt, 'stay_id'), 'total')} AS t FROM {name}_laid WHERE {when})"
+            f"SELECT {keep} FROM (SELECT *, {below(bits(salt, 'stay_id'), 'total')} AS t FROM {name}_laid WHERE {when})"
             f" WHERE t >= lo AND t < lo + {weight}",
         ),
     ]
@@ -221,7 +222,7 @@ TITLE = "upper(substr({0}, 1, 1)) || lower(substr({0}, 2))"
 def person(name: str, pool: str) -> list[tuple[str, str]]:
     total = f"(SELECT max(total) FROM people_laid p WHERE p.pool = {pool})"
     return [
-        (f"at_{name}", f"SELECT stay_id, {pool} AS pool, {below(u(name, 'stay_id'), total)} AS t FROM stays"),
+        (f"at_{name}", f"SELECT stay_id, {pool} AS pool, {below(bits(name, 'stay_id'), total)} AS t FROM stays"),
         (f"got_{name}", f"SELECT stay_id, name AS {name} FROM at_{name} a JOIN people_laid p ON p.pool = a.pool AND a.t >= p.lo AND a.t < p.lo + p.w"),
     ]
 
@@ -260,7 +261,7 @@ DATES = [
     (
         "stay_at",
         f"SELECT f.*, CASE WHEN outpatient THEN 0 ELSE coalesce(los, CAST(floor(abs(coalesce(los_mean, 1) + coalesce(los_sd, 1) * {GAUSS})) AS INT)) END AS days,"
-        f" {below(u('entry', 'stay_id'), 'c.total')} AS t, NOT outpatient AND NOT emergency AS weekday_only FROM stay_facts f"
+        f" {below(bits('entry', 'stay_id'), 'c.total')} AS t, NOT outpatient AND NOT emergency AS weekday_only FROM stay_facts f"
         " JOIN (SELECT DISTINCT year, weekday_only, total FROM calendar_laid) c ON c.year = f.year AND c.weekday_only = (NOT outpatient AND NOT emergency)",
     ),
     (

@@ -18,8 +18,15 @@ def spread(*keys: str, digits: int = 2) -> str:
     return f"substr(md5(concat_ws('|', {parts})), 1, {digits})"
 
 
-def below(uniform: str, size: str) -> str:
-    return f"CAST(floor({uniform} * {size}) AS BIGINT)"
+def bits(salt: str, *keys: str, seed: int = SEED) -> str:
+    """60 hash bits."""
+    parts = ", ".join([f"'{seed}|{salt}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
+    half = [f"CAST(CAST('0x' || substr(md5(concat_ws('|', {parts})), {at}, 8) AS BIGINT) // 4 AS HUGEINT)" for at in (1, 9)]
+    return f"({half[0]} * 1073741824 + {half[1]})"
+
+
+def below(bits: str, size: str) -> str:
+    return f"CAST({bits} * CAST({size} AS HUGEINT) // {2**60} AS BIGINT)"
 
 
 def between(uniform: str, low: int, high: int) -> str:

@@ -44,6 +44,24 @@ def weighted_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw_with_replacement(dp, "P_DP", table_cohort.ORDER, ids, "stay_id", SEED)
 
 
+SHARES = [1e-12, 1e-9, 1e-6, 1e-3, 0.1, 1.0, 30.0, 1e4, 1e7, 1e9]
+
+
+def fractional_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with weights from 1e-10 to 1e12; one scale of ten in each group of ten parts."""
+    share = F.get(F.array(*[F.lit(x) for x in SHARES]), (F.col("p_partkey") % 10).cast("int"))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return parts.select(F.col("p_partkey").alias("item"), (F.col("p_retailprice").cast("double") * share).alias("P"))
+
+
+def weighted_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One draw from all parts and one from the parts of each scale: an order's own number says which."""
+    parts, ids = fractional_parts(spark, sf_dir), stay_ids(spark, sf_dir)
+    every = draw_with_replacement(parts, "P", ["item"], ids, "stay_id", SEED, "every").withColumnRenamed("item", "every_item")
+    small = draw_with_replacement(parts.where("item % 10 = 0"), "P", ["item"], ids, "stay_id", SEED, "small")
+    return every.join(small.withColumnRenamed("item", "small_item"), "stay_id")
+
+
 def drawn_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw_rows(stay_ids(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["profiles"], SEED)
 
@@ -80,6 +98,7 @@ def short_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_queries() -> dict:
     return {
         "draw_weighted_with_replacement": weighted_with_replacement,
+        "draw_weighted_fractional": weighted_fractional,
         "draw_procedures": procedures,
         "draw_associated_diagnoses": associated,
         "draw_triangular_days": triangular,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from casemill.standins import with_views
-from catalog.sql import below, between, generation_id, laid_out, spread, u
+from catalog.table_queries import SHARES
+from catalog.sql import below, between, bits, generation_id, laid_out, spread, u
 
 ORDER = ["GHM5", "DP", "AGE", "SEXE"]
 INPUTS = ["pmsi_dp", "pmsi_das", "pmsi_ccam", "pmsi_dms", "rghm", "cim10", "ccam_ref"]
@@ -15,10 +16,28 @@ STAYS = [
         " WHERE GHM5 IS NOT NULL AND DP IS NOT NULL GROUP BY 1, 2, 3, 4",
     ),
     ("laid", laid_out("profiles", [], [spread(*ORDER, digits=3), *ORDER])),
-    ("asked", f"SELECT o_orderkey AS stay_id, {below(u('profile', 'o_orderkey'), '(SELECT max(total) FROM laid)')} AS t FROM orders"),
+    ("asked", f"SELECT o_orderkey AS stay_id, {below(bits('profile', 'o_orderkey'), '(SELECT max(total) FROM laid)')} AS t FROM orders"),
     ("stays", "SELECT stay_id, GHM5, DP, AGE, SEXE FROM asked ASOF JOIN laid ON asked.t >= laid.lo"),
 ]
 
+def fractional() -> str:
+    """Each weight floored on a line of 61 bits, for all parts and for those of the smallest scale."""
+    shares = "[" + ", ".join(f"CAST({x!r} AS DOUBLE)" for x in SHARES) + "]"
+    parts = f"SELECT p_partkey AS item, CAST(p_retailprice AS DOUBLE) * {shares}[p_partkey % 10 + 1] AS p FROM part"
+    out = []
+    for name, rows in (("every", "TRUE"), ("small", "item % 10 = 0")):
+        bins = f"(SELECT CAST(floor(log2(p)) AS INT) AS e, count(*) AS n FROM parts WHERE {rows} GROUP BY 1)"
+        out += [
+            (f"{name}_scale", f"SELECT pow(CAST(2 AS DOUBLE), 61 - ceil(log2(sum(n * pow(CAST(2 AS DOUBLE), e + 1))))) AS s FROM {bins}"),
+            (f"{name}_w", f"SELECT item, greatest(CAST(floor(p * s) AS BIGINT), 1) AS w FROM parts, {name}_scale WHERE {rows}"),
+            (f"{name}_laid", laid_out(f"{name}_w", [], [spread("item", digits=3), "item"])),
+            (f"{name}_at", f"SELECT o_orderkey AS stay_id, {below(bits(name, 'o_orderkey'), f'(SELECT max(total) FROM {name}_laid)')} AS t FROM orders"),
+            (name, f"SELECT stay_id, item FROM {name}_at a ASOF JOIN {name}_laid l ON a.t >= l.lo"),
+        ]
+    ctes = ", ".join(f"{name} AS ({body})" for name, body in [("parts", parts), *out])
+    return f"WITH {ctes} SELECT stay_id, e.item AS every_item, s.item AS small_item FROM every e JOIN small s USING (stay_id)"
+
+
 CODE_LABELS = [
     ("dp_labels", "SELECT code, max(liblong) AS label FROM cim10 WHERE en_cours = 1 GROUP BY code"),
     ("ccam_labels", "SELECT code, max(liblong) AS label FROM ccam_ref WHERE en_cours = 1 GROUP BY code"),
@@ -95,7 +114,7 @@ def associated(n_das: int = 3) -> list[tuple[str, str]]:
             (f"das_laid_{j}", laid_out(f"das_at_{j}", ["stay_id"], ["cat", "DAS"])),
             (
                 f"das_pick_{j}",
-                f"SELECT stay_id, {j} AS pos, lvl, DAS, cat FROM (SELECT *, {below(u(f'das_{j}', 'stay_id'), 'total')} AS t"
+                f"SELECT stay_id, {j} AS pos, lvl, DAS, cat FROM (SELECT *, {below(bits(f'das_{j}', 'stay_id'), 'total')} AS t"
                 f" FROM das_laid_{j}) WHERE t >= lo AND t < lo + w",
             ),
         ]
@@ -155,6 +174,7 @@ COHORT = [
 def table_checks() -> dict[str, str]:
     return {
         "draw_weighted_with_replacement": with_views(["pmsi_dp"], *STAYS, final="SELECT * FROM stays"),
+        "draw_weighted_fractional": fractional(),
         "draw_procedures": with_views(
             INPUTS, *STAYS, *CODE_LABELS, *procedures(), final="SELECT s.stay_id, coalesce(ccam, '') AS ccam FROM stays s LEFT JOIN proc_drawn USING (stay_id)"
         ),

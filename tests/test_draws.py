@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from collections import Counter
 
@@ -9,11 +10,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from casemill.functions.uniform import uniform, uniform_int
+from casemill.functions.text import list_text, row_key
+from casemill.functions.uniform import position_below, uniform, uniform_int
 from casemill.operators.conditional import draw_some
 from casemill.operators.draws import draw_with_replacement, stay_ids
 from casemill.operators.positions import lay_out, pool_totals, skip_taken, slotted, span
-from casemill.plans import table_cohort
+from casemill.operators.secondary import _counted
+from casemill.plans import profile_cohort, table_cohort
 
 N = 6000
 
@@ -48,6 +51,61 @@ def test_fractional_and_absent_weights(spark):
     close(even, {k: 1 / 3 for k in "abc"}, N)
 
 
+@pytest.mark.parametrize("unit", [1e-12, 1e-3, 1e10])
+def test_shares_hold_at_any_size_of_weight(spark, unit):
+    table = spark.createDataFrame([("a", unit), ("b", 100 * unit), ("c", 300 * unit)], "k string, w double")
+    counts = Counter(r["k"] for r in draw_with_replacement(table, "w", ["k"], stay_ids(spark, N), "stay_id", 5).collect())
+    close(counts, {"a": 1 / 401, "b": 100 / 401, "c": 300 / 401}, N)
+
+
+def test_masses_beyond_the_line_are_scaled(spark):
+    table = spark.createDataFrame([("a", 2**62), ("b", 2**62), ("c", 2**61)], "k string, w bigint")
+    counts = Counter(r["k"] for r in draw_with_replacement(table, "w", ["k"], stay_ids(spark, N), "stay_id", 6).collect())
+    close(counts, {"a": 0.4, "b": 0.4, "c": 0.2}, N)
+    odd = spark.createDataFrame([("a", 0.5), ("b", float("nan")), ("c", float("inf")), ("d", -1.0)], "k string, w double")
+    assert {r["k"] for r in draw_with_replacement(odd, "w", ["k"], stay_ids(spark, 50), "stay_id", 6).collect()} == {"a"}
+
+
+def test_positions_reach_all_of_a_long_line(spark):
+    at = spark.range(N).select(position_below(F.lit(2**62).cast("bigint"), 1, "far", "id").alias("at")).collect()
+    assert all(0 <= r["at"] < 2**62 for r in at) and len({r["at"] % 64 for r in at}) > 8
+    for size in (1, 7, 1000, 2**40 + 3):
+        found = spark.range(200).select(position_below(F.lit(size).cast("bigint"), 1, "s", "id").alias("at")).collect()
+        for i, row in enumerate(found):
+            digest = hashlib.md5(f"1|s|{i}".encode()).hexdigest()
+            bits = (int(digest[:8], 16) >> 2) << 30 | int(digest[8:16], 16) >> 2
+            assert row["at"] == bits * size >> 60
+
+
+def test_fractional_row_weights_of_conditional_pools(spark):
+    rows = spark.createDataFrame([("x", "A01", 0.4), ("x", "B01", 0.9), ("x", "C01", None)], "k string, code string, nb double")
+    units = _counted(rows, ["k", "code"], "nb").collect()
+    total = sum(r["unit"] * r["rows"] for r in units)
+    assert {r["code"]: round(r["unit"] * r["rows"] / total, 6) for r in units} == {"A01": round(0.4 / 2.3, 6), "B01": round(0.9 / 2.3, 6), "C01": round(1 / 2.3, 6)}
+
+
+def test_asking_beyond_what_was_prepared_raises(spark):
+    with pytest.raises(ValueError, match="prepared for 2"):
+        table_cohort.draw_prepared({"n_das": 2}, stay_ids(spark, 1), n_das=3)
+
+
+def test_profiles_with_nulls_and_separators_stay_apart(spark):
+    lists = [["A", "B"], ["A", None, "B"], ["A,B"], ["~"], [None], [], None, ["=A", "B"], ["A,", "B"], ["A", ",B"]]
+    frame = spark.createDataFrame([(i, x, y) for i, x in enumerate(lists) for y in ("u", None, "~", "u|=v")], "i int, codes array<string>, other string")
+    keys = [r["key"] for r in frame.select(row_key(list_text("codes"), "other").alias("key")).collect()]
+    assert len(set(keys)) == len(keys)
+    pair = spark.createDataFrame([("~", None), (None, "~"), ("a|=b", "c"), ("a", "b|=c")], "a string, b string")
+    assert pair.select(row_key("a", "b")).distinct().count() == 4
+
+
+def test_preset_lists_do_not_run_into_each_other(spark):
+    profiles = spark.createDataFrame([("p", ["A", "B"]), ("q", ["A", None, "B"]), ("r", ["A,B"]), ("s", None)], "profile_key string, icd_secondary_code array<string>")
+    members = spark.createDataFrame([], "code string, sets array<string>")
+    labels = spark.createDataFrame([("A", "la"), ("B", "lb")], "code string, label string")
+    found = {r["profile_key"]: r["preset"]["codes"] for r in profile_cohort.with_preset(profile_cohort.typed_profiles(profiles), "profile_key", members, labels).collect()}
+    assert found == {"p": ["A", "B"], "q": ["A", "B"], "r": ["A,B"], "s": []}
+
+
 def test_empty_table_raises_when_it_runs(spark):
     table = spark.createDataFrame([("a", 0)], "k string, w bigint")
     with pytest.raises(PySparkException, match="positive weight"):
@@ -200,7 +258,7 @@ def test_no_category_twice_and_partition_invariance(spark, sf):
     ids = tabled.stay_ids(spark, sf)
     prepared = tabled.prepared(spark, sf)
     one = table_cohort.draw_prepared(prepared, ids.repartition(1), seed=9)
-    scattered = {k: v.repartition(13) for k, v in prepared.items()}
+    scattered = {k: v if isinstance(v, int) else v.repartition(13) for k, v in prepared.items()}
     many = table_cohort.draw_prepared(scattered, ids.repartition(8), seed=9)
     first, second = sorted(one.collect()), sorted(many.collect())
     assert first == second
