@@ -15,70 +15,130 @@ are all written; other columns are not read. An empty table gives empty files.
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.llm.shipping import ship
-from casemill.llm.words import slices
+from casemill.llm.words import Words, slices, text_buffer
 from casemill.sources.scratch import new_folder
 
-#: Distinct words whose ids a worker keeps; beyond it starts anew.
-KEPT_WORDS = 1_500_000
-#: Bytes of ids in a segment, about; a longer document makes a longer segment.
-SEGMENT_IDS = 1 << 20
+#: Distinct words, or parts of words, whose ids a worker keeps; beyond it starts anew.
+KEPT_UNITS = 1_500_000
+#: Words for one call of the library, whose results take a few hundred times their size.
+LIBRARY_WORDS = 4096
+#: Bytes of text that are encoded at once.
+TEXT_BYTES = 1 << 20
+#: Ids in a segment, about; a longer document makes a longer segment.
+SEGMENT_IDS = 1 << 18
+#: Fixed value: the pattern of tokenizers that part letters, single digits and signs.
+PARTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: ASCII letters, and ASCII signs but the apostrophe.
+_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = True
+#: Long binary values fill a writer's buffer fast; smaller row groups keep it small.
+WRITING = {"compression": "zstd", "parquet.block.size": 16 << 20}
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file that splits at white space; every distinct word goes to the library once."""
+    """Ids of texts by a tokenizer file that splits at white space; a distinct word goes to the library once."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        #: whether the file lowers case and parts letters from signs by the pattern that this class knows
+        self.parts_signs = "Lowercase" in str(spec["normalizer"]) and bool(steps) and steps[0].get("pattern") == {"Regex": PARTING}
         self.forget()
 
+    def size(self, end: int) -> int:
+        return max(self.library.get_vocab_size(), end + 1)
+
+    def kind(self, end: int) -> np.dtype:
+        return np.dtype("<u2" if self.size(end) <= 1 << 16 else "<u4")
+
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.ids, self.ends = np.zeros(0, np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32), np.zeros(1, np.int32)
 
-    def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Index of each word of the texts, and the number of words of each text."""
-        if len(self.index) > KEPT_WORDS:
+    def numbers(self, units: Words) -> np.ndarray:
+        """For each unit its number among the units that are kept, told apart by 64-bit hashes."""
+        if len(self.known) > KEPT_UNITS:
             self.forget()
-        split = [text.split() for text in texts]
-        index = self.index
-        new = {word: None for words in split for word in words if word not in index}
-        if new:
-            found = self.library.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            for word in new:
-                index[word] = len(index)
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for each in ids for i in each), np.uint32, int(lengths.sum()))])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        return np.fromiter((index[word] for words in split for word in words), np.int64, int(counts.sum())), counts
-
-    def counts(self, texts: list[bytes], size: int) -> np.ndarray:
-        """How often each id occurs."""
-        words, _ = self.words(texts)
-        times = np.bincount(words, minlength=len(self.ends) - 1)
-        return np.bincount(self.ids, weights=np.repeat(times, np.diff(self.ends)), minlength=size).astype(np.int64)
-
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each followed by ``end``, and the ids of each."""
-        words, counts = self.words(texts)
-        first, size = self.ends[words], np.diff(self.ends)[words]
-        ends = np.concatenate(([0], np.cumsum(size)))
+        hashes, first, which = np.unique(units.hashes(), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        new[at < len(self.known)] = self.known[at[at < len(self.known)]] != hashes[at < len(self.known)]
+        if new.any():
+            ids, lengths = array("I"), array("i")
+            text, spans = units.data.tobytes(), list(zip(units.starts[first[new]].tolist(), units.ends[first[new]].tolist()))
+            for begin in range(0, len(spans), LIBRARY_WORDS):
+                some = [text[a:b].decode("utf-8", "replace") for a, b in spans[begin : begin + LIBRARY_WORDS]]
+                for found in self.library.encode_batch_fast(some, add_special_tokens=False):
+                    own = found.ids
+                    ids.extend(own)
+                    lengths.append(len(own))
+            number = np.arange(len(self.known), len(self.known) + len(spans), dtype=np.int32)
+            known = np.concatenate((self.known, hashes[new]))
+            order = np.argsort(known, kind="stable")
+            self.known, self.place = known[order], np.concatenate((self.place, number))[order]
+            self.ids = np.concatenate((self.ids, np.frombuffer(ids, np.uint32).astype(self.ids.dtype)))
+            self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(np.frombuffer(lengths, np.int32), dtype=np.int32)))
+            at = np.searchsorted(self.known, hashes)
+        return self.place[at[which]]
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by ``end``, and the number of ids of each."""
+        units = Words(texts)
+        if self.parts_signs:
+            _part(units)
+        number = self.numbers(units)
+        first, size = self.ends[number], np.diff(self.ends)[number]
+        ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
         ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)]
-        bounds = ends[np.concatenate(([0], np.cumsum(counts)))]
+        bounds = ends[units.bounds]
         return np.insert(ids, bounds[1:], end), np.diff(bounds) + 1
 
 
+def _part(words: Words) -> None:
+    """Where a word is Latin letters and then signs, make two units of it, the letters in lower case."""
+    data = words.data
+    wide = np.zeros(len(data), bool)  # second bytes of letters from À to ÿ
+    wide[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0xBF) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    letter = _LETTER[data] | wide
+    letter[:-1] |= wide[1:]
+    sign = _SIGN[data]
+    turn = np.zeros(len(data), bool)
+    turn[1:] = letter[1:] & sign[:-1]
+    inside = lambda flags: np.add.reduceat(np.append(flags, False), np.ravel((words.starts, words.ends), "F"), dtype=np.int64)[::2] if len(words) else np.zeros(0, np.int64)
+    letters, size = inside(letter), words.ends - words.starts
+    simple = letter[words.starts] & (letters + inside(sign) == size) & (inside(turn) == 0)
+    low = data.copy()
+    own = np.zeros(len(data) + 1, np.int8)
+    own[words.starts[simple]] += 1
+    own[words.ends[simple]] -= 1
+    own = np.cumsum(own[:-1], dtype=np.int8).astype(bool)
+    low[own & (data >= 65) & (data <= 90)] += 32
+    low[own & wide & (data <= 0x9E)] += 32
+    two = simple & (letters < size)
+    times = 1 + two
+    starts, ends = np.repeat(words.starts, times), np.repeat(words.ends, times)
+    first = np.cumsum(times) - times
+    ends[first[two]] = starts[first[two] + 1] = (words.starts + letters)[two]
+    words.bounds = np.concatenate((first, [len(starts)]))[words.bounds]
+    words.data, words.starts, words.ends = low, starts, ends
+
+
 _loaded: dict[str, Encoder] = {}
 
 
@@ -88,18 +148,26 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit values."""
+def pack(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control and data bytes of unsigned 32-bit values of several documents, and where each document begins in both."""
     width = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    at = np.cumsum(width) - width
-    data = np.empty(int(width.sum()), np.uint8)
-    for byte in range(4):
-        own = width > byte if byte else slice(None)
-        data[at[own] + byte] = (values[own] >> np.uint32(8 * byte)) & np.uint32(255)
-    codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = width - 1
+    ends = np.concatenate(([0], np.cumsum(width)))
+    data = np.empty(ends[-1], np.uint8)
+    for byte in range(int(width.max(initial=1))):
+        own = np.flatnonzero(width > byte) if byte else slice(None)
+        data[ends[:-1][own] + byte] = (values[own] >> np.uint32(8 * byte)) & np.uint32(255)
+    fours = -(-lengths // 4)
+    first = np.cumsum(fours) - fours
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    codes = np.zeros(4 * int(fours.sum()), np.uint8)
+    codes[np.arange(len(values)) + np.repeat(4 * first - bounds[:-1], lengths)] = width - 1
     control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
-    return control.tobytes(), data.tobytes()
+    return control, np.concatenate((first, [len(control)])), data, ends[bounds]
+
+
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Consecutive stretches of a byte array as binary values."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data.tobytes())])
 
 
 #: For each control byte: the byte counts of its four values.
@@ -126,70 +194,69 @@ def unpack(control: bytes, data: bytes, lengths: np.ndarray, controls: np.ndarra
     return values & _MASKS[width]
 
 
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-
+def encoded(documents: DataFrame, path: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(``key``, ``deal``, ``ids``): the ids of every text with the end id, packed in two or four bytes each."""
+    rows = documents.select(documents[key].cast("long").alias("key"), F.xxhash64(documents[text]).alias("deal"), documents[text].alias("text"))
 
-def ranked_ids(documents: DataFrame, path: str, end: int, text: str = "text") -> DataFrame:
-    """(``rank``, ``id``) of every id that occurs, counted over all documents; at most a row per id of the vocabulary."""
-    column = documents.select(documents[text].alias("text"))
-
-    def count(batches):
-        encode = encoder(path)
-        size = max(encode.library.get_vocab_size(), end + 1)
-        total = np.zeros(size, np.int64)
-        for rows in slices(batches):
-            total += encode.counts(_bytes(rows["text"]), size)
-            total[end] += len(rows)
-        found = np.flatnonzero(total)
-        yield pa.record_batch({"id": pa.array(found, pa.int64()), "n": pa.array(total[found], pa.int64())})
+    def encode(batches):
+        coder = encoder(path)
+        kind = coder.kind(end)
+        for some in slices(batches, limit=TEXT_BYTES):
+            ids, lengths = coder.encode(some["text"], end)
+            ends = np.concatenate(([0], np.cumsum(lengths))) * kind.itemsize
+            yield pa.record_batch({"key": some["key"], "deal": some["deal"], "ids": _binary(ids.astype(kind).view(np.uint8), ends)})
 
-    counted = column.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "id").collect()  # bounded by the vocabulary
-    return documents.sparkSession.createDataFrame([(rank, row.id) for rank, row in enumerate(rows)], "rank long, id long")
+    return rows.mapInArrow(encode, "key long, deal long, ids binary")
 
 
 def write_token_files(documents: DataFrame, path: str, folder: str, end: int = 1, parts: int | None = None, key: str = "doc_id", text: str = "text") -> None:
     """Write the tables of the format to ``folder``. ``parts``: by default as many as Spark's shuffle partitions."""
     spark = documents.sparkSession
     ship(spark)
-    ranked_ids(documents, path, end, text).coalesce(1).write.parquet(f"{folder}/ranks")
-    ranks = spark.read.parquet(f"{folder}/ranks").orderBy("rank").toPandas()["id"].to_numpy()  # bounded by the vocabulary
-    rank_of = np.zeros(int(ranks.max(initial=end)) + 1, np.uint32)
-    rank_of[ranks] = np.arange(len(ranks))
+    unranked = new_folder(spark, "token-ids")
+    encoded(documents, path, end, key, text).write.options(**WRITING).parquet(unranked)
+    rows = spark.read.parquet(unranked)
+    kind = encoder(path).kind(end)
+
+    def count(batches):
+        total = np.zeros(encoder(path).size(end), np.int64)
+        for batch in slices(batches, "ids", limit=TEXT_BYTES):
+            total += np.bincount(text_buffer(batch["ids"])[0].view(kind), minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.record_batch({"id": pa.array(found, pa.int64()), "n": pa.array(total[found], pa.int64())})
+
+    counted = rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()  # bounded by the vocabulary
+    spark.createDataFrame([(rank, row.id) for rank, row in enumerate(counted)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
+    rank_of = np.zeros(max((row.id for row in counted), default=end) + 1, np.uint32)
+    rank_of[[row.id for row in counted]] = np.arange(len(counted))
 
-    rows = documents.select(documents[key].cast("long").alias("key"), documents[text].alias("text"))
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     shares = [k / parts for k in range(1, parts)]
-    bounds = np.array(rows.approxQuantile("key", shares, 0.1 / parts) if shares else [], np.float64)
-    edges = np.sort(bounds.astype(np.int64))
-    packed = rows.withColumn("deal", F.xxhash64("text"))
+    edges = np.sort(np.array(rows.approxQuantile("key", shares, 0.1 / parts) if shares else [], np.float64).astype(np.int64))
 
-    def encode(batches):
-        coder = encoder(path)
-        for some in slices(batches):
-            ids, lengths = coder.encode(_bytes(some["text"]), end)
-            keys = some["key"].to_pandas().astype("Int64")
-            known = keys.fillna(np.iinfo(np.int64).min).to_numpy(np.int64)
+    def packed(batches):
+        for some in slices(batches, "ids", limit=TEXT_BYTES):
+            known = some["key"].fill_null(np.iinfo(np.int64).min).to_numpy()
             low, high = np.searchsorted(edges, known, "left"), np.searchsorted(edges, known, "right")
-            deal = some["deal"].to_numpy(zero_copy_only=False)
-            ends = np.concatenate(([0], np.cumsum(lengths)))
-            ranked = rank_of[ids]
-            streams = [pack(ranked[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            deal = some["deal"].to_numpy()
+            ids, ends = text_buffer(some["ids"])
+            lengths = np.diff(ends) // kind.itemsize
+            control, control_at, data, data_at = pack(rank_of[ids.view(kind)], lengths)
             yield pa.record_batch(
                 {
                     "part": pa.array(low + deal % (high - low + 1), pa.int32()),
                     "key": some["key"],
                     "deal": some["deal"],
                     "n": pa.array(lengths, pa.int64()),
-                    "control": pa.array([c for c, _ in streams], pa.binary()),
-                    "data": pa.array([d for _, d in streams], pa.binary()),
+                    "control": _binary(control, control_at),
+                    "data": _binary(data, data_at),
                 }
             )
 
-    dealt = packed.mapInArrow(encode, "part int, key long, deal long, n long, control binary, data binary")
+    dealt = rows.mapInArrow(packed, "part int, key long, deal long, n long, control binary, data binary")
     dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "key", "deal")
-    dealt.mapInArrow(_segments, "part int, place int, first long, keys array<long>, lengths array<long>, controls array<int>, control binary, data binary").write.option("compression", "zstd").parquet(f"{folder}/segments")
+    segments = dealt.mapInArrow(_segments, "part int, place int, first long, keys array<long>, lengths array<long>, controls array<int>, control binary, data binary")
+    segments.write.options(**WRITING).parquet(f"{folder}/segments")
     totals = spark.read.parquet(f"{folder}/segments").groupBy("part").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n")).orderBy("part").collect()  # a row per part
     starts = np.cumsum([0] + [row.n for row in totals])
     spark.createDataFrame([(row.part, int(start)) for row, start in zip(totals, starts)], "part int, start long").coalesce(1).write.parquet(f"{folder}/parts")
@@ -220,7 +287,7 @@ def _segments(batches):
         return made
 
     size = 0
-    for batch in batches:
+    for batch in slices(batches, "data", limit=TEXT_BYTES):
         columns = [batch[name].to_pylist() for name in ("part", "key", "n", "control", "data")]
         for part, *row in zip(*columns):
             if held and (part != state["part"] or size >= SEGMENT_IDS):
@@ -237,24 +304,33 @@ def _segments(batches):
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """(``key``, ``start``, ``ids``) of every document in the files: ``ids`` as little-endian unsigned 32-bit integers,
     ``start`` the ids of all documents before it."""
+    return _read(spark, folder, "ids binary", lambda ids, bounds: {"ids": _binary(ids.view(np.uint8), 4 * bounds)})
+
+
+def file_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(``key``, ``start``, ``n_tokens``, ``ids_crc32``) of every document in the files."""
+
+    def digest(ids, bounds):
+        crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return {"n_tokens": pa.array(np.diff(bounds), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
+
+    return _read(spark, folder, "n_tokens long, ids_crc32 long", digest)
+
+
+def _read(spark: SparkSession, folder: str, schema: str, columns) -> DataFrame:
     ranks = spark.read.parquet(f"{folder}/ranks").orderBy("rank").toPandas()["id"].to_numpy().astype("<u4")  # bounded by the vocabulary
     parts = {row.part: row.start for row in spark.read.parquet(f"{folder}/parts").collect()}  # a row per part
 
     def decode(batches):
-        for batch in batches:
+        for batch in slices(batches, "data", limit=1):
             for row in batch.to_pylist():
                 lengths, controls = np.array(row["lengths"], np.int64), np.array(row["controls"], np.int64)
                 ids = ranks[unpack(row["control"], row["data"], lengths, controls)]
-                ends = np.concatenate(([0], np.cumsum(lengths)))
-                yield pa.record_batch(
-                    {
-                        "key": pa.array(row["keys"], pa.int64()),
-                        "start": pa.array(parts[row["part"]] + row["first"] + ends[:-1], pa.int64()),
-                        "ids": pa.array([ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
-                    }
-                )
+                bounds = np.concatenate(([0], np.cumsum(lengths)))
+                yield pa.record_batch({"key": pa.array(row["keys"], pa.int64()), "start": pa.array(parts[row["part"]] + row["first"] + bounds[:-1], pa.int64())} | columns(ids, bounds))
 
-    return spark.read.parquet(f"{folder}/segments").select("part", "first", "keys", "lengths", "controls", "control", "data").mapInArrow(decode, "key long, start long, ids binary")
+    rows = spark.read.parquet(f"{folder}/segments").select("part", "first", "keys", "lengths", "controls", "control", "data")
+    return rows.mapInArrow(decode, f"key long, start long, {schema}")
 
 
 def token_files(documents: DataFrame, path: str, end: int = 1, folder: str | None = None) -> DataFrame:
@@ -262,10 +338,4 @@ def token_files(documents: DataFrame, path: str, end: int = 1, folder: str | Non
     spark = documents.sparkSession
     folder = folder or new_folder(spark, "token-files")
     write_token_files(documents, path, folder, end)
-
-    def digest(batches):
-        for batch in batches:
-            ids = batch["ids"].to_pylist()
-            yield pa.record_batch({"doc_id": batch["key"], "start": batch["start"], "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids_crc32": pa.array([zlib.crc32(i) for i in ids], pa.int64())})
-
-    return read_token_files(spark, folder).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return file_digests(spark, folder).withColumnRenamed("key", "doc_id")

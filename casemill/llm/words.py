@@ -39,7 +39,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one byte array, and where each begins (one more entry for the end); null counts as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     _, bounds, data = column.buffers()
     offsets = np.frombuffer(bounds, np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None:
