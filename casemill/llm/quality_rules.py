@@ -109,7 +109,7 @@ def base_failed(least_words: int = 10, most_repeated: int = 20) -> Column:
 
 
 def log_gamma(x: Column) -> Column:
-    """ln Γ(x) for x >= 1 by Stirling's series at x + 8, good to 1e-13."""
+    """ln Γ(x) for x >= 1 by Stirling's series at x + 8, good to 1e-11."""
     z = x + 8
     series = 1 / (12 * z) - 1 / (360 * F.pow(z, 3)) + 1 / (1260 * F.pow(z, 5)) - 1 / (1680 * F.pow(z, 7))
     product = reduce(lambda a, b: a + b, [F.log(x + k) for k in range(8)])
