@@ -14,32 +14,39 @@ REPORT_SCHEMA = "generation_id string, scenario string, report string, model str
 
 
 def generate_reports(
-    stays: DataFrame, write_report: Callable[[list[dict], str], str], model: str, system_prompt: str | None = None
+    stays: DataFrame,
+    write_report: Callable[..., str],
+    model: str,
+    system_prompt: str | None = None,
+    tasks: int | None = None,
+    with_row: bool = False,
+    done: DataFrame | None = None,
 ) -> DataFrame:
-    """Call ``write_report(messages, model)`` for each stay, on the executors, one Arrow batch at a time."""
+    """Call ``write_report(messages, model)`` for each stay, on the executors. ``with_row``: a third argument is the stay's
+    row as a dict. ``tasks`` is the number of tasks that call at a time; without it, Spark's own partitions. Stays whose
+    ``generation_id`` is in ``done`` are left out, so a run that broke off goes on with what is missing."""
     if "generation_id" not in stays.columns:
         raise ValueError("the stays need a generation_id column: draw them before asking for reports")
+    if done is not None:
+        stays = stays.join(done.select("generation_id").distinct(), "generation_id", "left_anti")
 
     def write_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            system, user = batch["system"], batch["scenario"]
-            texts = [
-                write_report([{"role": "system", "content": s}, {"role": "user", "content": u}], model)
-                for s, u in zip(system, user)
-            ]
+            rows = batch.drop(columns=["system"]).to_dict("records") if with_row else [None] * len(batch)
+            texts, times = [], []
+            for system, user, row in zip(batch["system"], batch["scenario"], rows):
+                messages = [{"role": "system", "content": system}, {"role": "user", "content": user}]
+                texts.append(write_report(messages, model, row) if with_row else write_report(messages, model))
+                times.append(pd.Timestamp(datetime.now(timezone.utc)))
             yield pd.DataFrame(
-                {
-                    "generation_id": batch["generation_id"],
-                    "scenario": user,
-                    "report": texts,
-                    "model": model,
-                    "timestamp": pd.Timestamp(datetime.now(timezone.utc)),
-                }
+                {"generation_id": batch["generation_id"], "scenario": batch["scenario"], "report": texts, "model": model, "timestamp": pd.to_datetime(times, utc=True)}
             )
 
-    asked = with_messages(stays, system_prompt).select(
-        "generation_id", "scenario", F.col("messages")[0]["content"].alias("system")
-    )
+    asked = with_messages(stays, system_prompt).withColumn("system", F.col("messages")[0]["content"]).drop("messages")
+    if not with_row:
+        asked = asked.select("generation_id", "scenario", "system")
+    if tasks:
+        asked = asked.repartition(tasks)
     return asked.mapInPandas(write_batches, REPORT_SCHEMA)
 
 

@@ -19,14 +19,14 @@ def write_csv(rows: DataFrame, path: str, sep: str = ";", header: bool = True, e
 
 
 def written_tables(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
-    """CSV files of three tables of the table cohort."""
+    """CSV files of all tables of the table cohort; the codes of ``cim10`` are those with a label."""
     official = view(spark, sf_dir, "icd_official").select(
         F.col("icd_code").alias("code"), F.col("icd_code_description").alias("liblong"), F.lit(1).alias("en_cours")
     )
-    rows = {"cim10": official, "dms": view(spark, sf_dir, "pmsi_dms"), "ccam": view(spark, sf_dir, "pmsi_ccam")}
-    for name, table in rows.items():
+    views = {"dp": "pmsi_dp", "das": "pmsi_das", "ccam": "pmsi_ccam", "dms": "pmsi_dms", "rghm": "rghm", "ccam_ref": "ccam_ref"}
+    for name, table in {"cim10": official, **{name: view(spark, sf_dir, source) for name, source in views.items()}}.items():
         write_csv(table, f"{folder}/{V.TABLE_FILES[name]}", encoding=files.LATIN1)
-    return list(rows)
+    return list(V.TABLE_FILES)
 
 
 def source_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,8 @@ def source_table_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = written_tables(spark, sf_dir, folder)
     registry.ingest(spark, folder, target, names)
     registry.load_tables(spark, target, names)
-    return spark.sql("SELECT GHM5 AS ghm5, CCAM AS ccam, CAST(sum(P_CCAM) AS BIGINT) AS w FROM ccam JOIN dms USING (GHM5) GROUP BY GHM5, CCAM")
+    masses = {"dp": "P_DP", "das": "P_DAS", "ccam": "P_CCAM", "dms": "DMS_P50", "rghm": "length(lib)", "cim10": "length(liblong)", "ccam_ref": "length(liblong)"}
+    return spark.sql(" UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n, CAST(round(4 * sum({mass})) AS BIGINT) AS mass FROM {name}" for name, mass in masses.items()))
 
 
 def write_code_lists(spark: SparkSession, sf_dir: str, folder: str, names: list[str]) -> None:
@@ -128,15 +129,15 @@ def write_referentials(spark: SparkSession, sf_dir: str, folder: str) -> None:
     write_csv(weight_file_rows(spark, sf_dir), f"{folder}/{V.WEIGHT_FILE}")
     write_csv(view(spark, sf_dir, "names"), f"{folder}/{V.NAME_FILE}")
     write_csv(view(spark, sf_dir, "hospitals"), f"{folder}/{V.HOSPITAL_FILE}", sep=",", header=False)
-    acute = view(spark, sf_dir, "case_secondary").where("nb > 1").select(F.col("icd_secondary_code").alias("code")).distinct()
+    acute = view(spark, sf_dir, "case_secondary").select(F.col("icd_secondary_code").alias("code")).distinct()
     write_csv(acute, f"{folder}/{V.COMPLICATION_FILE}", sep=",")
-    groups = view(spark, sf_dir, "case_lines").where("drg_parent_code like '28%'").select("drg_parent_code").distinct()
+    groups = view(spark, sf_dir, "case_lines").select("drg_parent_code").distinct()
     write_csv(groups, f"{folder}/{V.EXCLUSION_FILE}", sep=",")
     write_code_lists(spark, sf_dir, folder, FILLED_LISTS)
     others = [name for name in V.CODE_LIST_FILES if name not in FILLED_LISTS]
     codes = view(spark, sf_dir, "case_codes").select("code", F.lit("").alias("description"))
-    for i, name in enumerate(others):
-        write_csv(codes.where(F.substring("code", 2, 1) == str(i % 5)), f"{folder}/{V.CODE_LIST_FILES[name]}")
+    for name in others:
+        write_csv(codes, f"{folder}/{V.CODE_LIST_FILES[name]}")
 
 
 def source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,15 +29,14 @@ def registry_sql() -> str:
         "SELECT 'hospitals', count(*) FROM hospitals",
         "SELECT 'icd_synonyms', count(*) FROM icd_synonyms WHERE substr(icd_code, 1, 1) <> 'A'",
         "SELECT 'icd_categ_weight', count(*) FROM part",
-        "SELECT 'complications', count(DISTINCT icd_secondary_code) FROM case_secondary WHERE nb > 1",
-        "SELECT 'exclusions', count(DISTINCT drg_parent_code) FROM case_lines WHERE drg_parent_code LIKE '28%'",
+        "SELECT 'complications', count(DISTINCT icd_secondary_code) FROM case_secondary",
+        "SELECT 'exclusions', count(DISTINCT drg_parent_code) FROM case_lines",
         "SELECT 'profiles', count(*) FROM case_profiles",
         "SELECT 'secondary_icd', count(*) FROM case_secondary",
         "SELECT 'procedures', count(*) FROM case_procedures",
     ]
     others = len(V.CODE_LIST_FILES) - len(FILLED_LISTS)
-    digits = " + ".join(f"(SELECT count(*) FROM case_codes WHERE substr(code, 2, 1) = '{i % 5}')" for i in range(others))
-    counts.append(f"SELECT 'code_sets', (SELECT count(*) FROM code_sets) + {digits}")
+    counts.append(f"SELECT 'code_sets', (SELECT count(*) FROM code_sets) + {others} * (SELECT count(*) FROM case_codes WHERE code IS NOT NULL)")
     inputs = [*views, "names", "hospitals", "icd_synonyms", "case_secondary", "case_lines", "case_profiles", "case_procedures", "code_sets", "case_codes"]
     return with_views(inputs, final=" UNION ALL ".join(counts))
 
@@ -50,8 +49,14 @@ def source_checks() -> dict[str, str]:
     return {
         "source_csv_ingest": simple(["icd_official"], "SELECT icd_code AS code, icd_code_description AS liblong, 1 AS en_cours FROM icd_official"),
         "source_table_views": simple(
-            ["pmsi_ccam", "pmsi_dms"],
-            "SELECT c.GHM5 AS ghm5, CCAM AS ccam, CAST(sum(P_CCAM) AS BIGINT) AS w FROM pmsi_ccam c JOIN pmsi_dms d ON d.GHM5 = c.GHM5 GROUP BY 1, 2",
+            ["pmsi_dp", "pmsi_das", "pmsi_ccam", "pmsi_dms", "rghm", "icd_official", "ccam_ref"],
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS name, count(*) AS n, CAST(round(4 * sum({mass})) AS BIGINT) AS mass FROM {table}"
+                for name, table, mass in [
+                    ("dp", "pmsi_dp", "P_DP"), ("das", "pmsi_das", "P_DAS"), ("ccam", "pmsi_ccam", "P_CCAM"), ("dms", "pmsi_dms", "DMS_P50"),
+                    ("rghm", "rghm", "length(lib)"), ("cim10", "icd_official", "length(icd_code_description)"), ("ccam_ref", "ccam_ref", "length(liblong)"),
+                ]
+            ),
         ),
         "source_code_lists": simple(["code_sets"], "SELECT set_name, code FROM code_sets"),
         "source_complete_rows": simple(["icd_synonyms"], "SELECT icd_code, icd_code_description FROM icd_synonyms WHERE substr(icd_code, 1, 1) <> 'A'"),

@@ -120,3 +120,23 @@ def test_reports(spark, tmp_path):
     assert back.selectExpr("_metadata.file_path AS f").groupBy("f").count().where("count > 10").isEmpty()
     with pytest.raises(ValueError, match="generation_id"):
         generate_reports(stays.drop("generation_id"), lambda m, n: "", "m", "sys")
+
+
+def test_reports_run_in_several_tasks_see_the_row_and_resume(spark, tmp_path):
+    stays = spark.range(40).coalesce(1).selectExpr("concat('g', id) AS generation_id", "concat('texte ', id) AS scenario", "id * 2 AS double_id")
+
+    def told(messages, model, row):
+        from pyspark import TaskContext
+
+        return f"{TaskContext.get().partitionId()} {row['double_id']} {row['generation_id']}"
+
+    rows = generate_reports(stays, told, "m", "sys", tasks=4, with_row=True).collect()
+    assert len({r["report"].split()[0] for r in rows}) == 4
+    assert all(r["report"].split()[1:] == [str(2 * int(r["generation_id"][1:])), r["generation_id"]] for r in rows)
+    assert len({r["timestamp"] for r in rows}) > 4
+    first = generate_reports(stays.limit(15), told, "m", "sys", with_row=True)
+    write_reports(first, str(tmp_path / "out"))
+    done = spark.read.parquet(str(tmp_path / "out"))
+    write_reports(generate_reports(stays, told, "m", "sys", with_row=True, done=done), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).groupBy("generation_id").count().where("count <> 1").isEmpty()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
