@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.functions.uniform import position_below
-from casemill.operators.positions import POSITION_COLUMNS, find, int_weight, lay_out, slotted, spread
+from casemill.operators.positions import POSITION_COLUMNS, find, int_weight, lay_out, pool_totals, slotted, spread
 
 TABLE_SPREAD_DIGITS = 3
 
@@ -54,5 +54,20 @@ def draw_with_replacement(
     return draw_rows(ids, id_col, positions, seed, salt)
 
 
+def draw_per_group(
+    draws: DataFrame, id_col: str, table: DataFrame, weight: str | None, group: list[str], item: list[str], seed: int, salt: str = "in_group"
+) -> DataFrame:
+    """Weighted draw with replacement inside the draw's own group: a row of ``table`` among those with the same values
+    in ``group``, null where there is none. Adds the columns of ``item``."""
+    rows = sum_duplicates(table.dropna(subset=group), weight, [*group, *item])
+    positions = lay_out(rows, group, item, F.col("w"), distinct=True)
+    totals = pool_totals(positions, group).select(*group, F.col("total").alias("group_total"), F.col("step").alias("group_step"))
+    asked = draws.join(totals, group, "left")
+    at = position_below(F.col("group_total"), seed, salt, id_col)
+    slots = slotted(positions.select(*group, *item, "lo", "hi", "step"))
+    drawn = find(asked, slots, {name: F.col(name) for name in group}, at, F.col("group_step"), {name: name for name in item}, id_col, large=True)
+    return drawn.drop("group_total", "group_step")
+
+
 def stay_ids(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).withColumnRenamed("id", "stay_id")

@@ -177,6 +177,12 @@ def draw_procedure(stays: DataFrame, id_col: str, procedures: DataFrame, hot: Da
     ).drop("procedure_code_1", "procedure_label_1", "procedure_sets_1")
 
 
+def preset_secondary(stays: DataFrame) -> DataFrame:
+    """``icd_secondary_code`` and ``text_secondary_icd_official`` of the profile's own codes alone."""
+    own = F.col("preset")
+    return stays.withColumns({"icd_secondary_code": own["codes"], "text_secondary_icd_official": F.array_join(own["lines"], "")})
+
+
 def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, hot: DataFrame, seed: int) -> DataFrame:
     """Add ``icd_secondary_code`` and ``text_secondary_icd_official``: the profile's own codes, then chronic
     diagnoses of distinct chapters, metastases of cancer stays, acute complications.

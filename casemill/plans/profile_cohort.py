@@ -24,6 +24,7 @@ from casemill.operators.secondary import (
     attach_pools,
     draw_procedure,
     draw_secondary,
+    preset_secondary,
     draw_treatment,
     family_totals,
     procedure_positions,
@@ -162,9 +163,8 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
     return {**families, "hot": hot, "profiles": written(profiles, "case-profiles")}
 
 
-def with_administration(stays: DataFrame, id_col: str, people: DataFrame, reference_year: int, seed: int) -> DataFrame:
+def with_administration(stays: DataFrame, id_col: str, people: DataFrame, years: list[int], seed: int) -> DataFrame:
     """Age, dates, birth date, names, department and hospital."""
-    years = [reference_year - 2, reference_year - 1, reference_year]
     calendar = calendar_positions(stays.sparkSession, years)
     drawn_days = normal_days(F.col("los_mean"), F.col("los_sd"), seed, id_col)
     stays = stays.withColumn("age", F.coalesce("age2", age_in_class(F.col("cage"), uniform(seed, "age", id_col))))
@@ -175,14 +175,22 @@ def with_administration(stays: DataFrame, id_col: str, people: DataFrame, refere
 
 
 def draw_prepared(
-    prepared: dict[str, DataFrame], ids: DataFrame, id_col: str = "stay_id", reference_year: int = 2025, seed: int = 0
+    prepared: dict[str, DataFrame],
+    ids: DataFrame,
+    id_col: str = "stay_id",
+    reference_year: int = 2025,
+    seed: int = 0,
+    years: list[int] | None = None,
+    add_secondary: bool = True,
 ) -> DataFrame:
-    """One stay per row of ``ids``."""
+    """One stay per row of ``ids``. Stays begin in one of ``years``, or in the reference year or the two before it.
+    Without ``add_secondary`` a stay has its profile's own secondary codes only."""
+    years = years or [reference_year - 2, reference_year - 1, reference_year]
     stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile to draw from")
     stays = draw_treatment(stays, id_col, prepared["treatments"], prepared["hot"], seed)
-    stays = draw_secondary(stays, id_col, prepared["secondary"], prepared["hot"], seed)
+    stays = draw_secondary(stays, id_col, prepared["secondary"], prepared["hot"], seed) if add_secondary else preset_secondary(stays)
     stays = draw_procedure(stays, id_col, prepared["procedures"], prepared["hot"], seed).drop("pools", "preset")
-    stays = with_administration(stays, id_col, prepared["people"], reference_year, seed)
+    stays = with_administration(stays, id_col, prepared["people"], years, seed)
     stays = with_care_management(stays, id_col, seed)
     return stays.withColumn("generation_id", generation_id(seed, id_col)).select(id_col, *COLUMNS)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -66,20 +68,38 @@ def registered(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return tables
 
 
+def all_read(readers: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Every table, or one error that lists all missing files."""
+    tables, missing = {}, []
+    for name, read in readers.items():
+        try:
+            tables[name] = read()
+        except FileNotFoundError as error:
+            missing.append(str(error))
+    if missing:
+        raise FileNotFoundError("; ".join(missing))
+    return tables
+
+
 def referentials(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All reference tables of the profile cohort, with the code lists as one table ``code_sets``."""
-    tables = {name: files.parquet(spark, f"{folder}/{file}", names) for name, (file, names) in V.REFERENCE_PARQUET.items()}
-    names = files.complete_rows(spark, f"{folder}/{V.NAME_FILE}", ";")
-    return {
-        **tables,
-        "icd_synonyms": files.complete_rows(spark, f"{folder}/{V.SYNONYM_FILE}", names=V.SYNONYM_NAMES),
-        "icd_categ_weight": files.decimal_comma(spark, f"{folder}/{V.WEIGHT_FILE}", V.WEIGHT_NAMES, "weight"),
-        "complications": files.complete_rows(spark, f"{folder}/{V.COMPLICATION_FILE}"),
-        "exclusions": files.csv(spark, f"{folder}/{V.EXCLUSION_FILE}"),
-        "names": names.withColumn("sexe", F.col("sexe").try_cast("int")),
-        "hospitals": files.one_column(spark, f"{folder}/{V.HOSPITAL_FILE}", "hospital"),
-        "code_sets": files.code_lists(spark, folder, V.CODE_LIST_FILES),
-    }
+
+    def names() -> DataFrame:
+        return files.complete_rows(spark, f"{folder}/{V.NAME_FILE}", ";").withColumn("sexe", F.col("sexe").try_cast("int"))
+
+    official = {name: lambda file=file, names=names: files.parquet(spark, f"{folder}/{file}", names) for name, (file, names) in V.REFERENCE_PARQUET.items()}
+    return all_read(
+        {
+            **official,
+            "icd_synonyms": lambda: files.complete_rows(spark, f"{folder}/{V.SYNONYM_FILE}", names=V.SYNONYM_NAMES),
+            "icd_categ_weight": lambda: files.decimal_comma(spark, f"{folder}/{V.WEIGHT_FILE}", V.WEIGHT_NAMES, "weight"),
+            "complications": lambda: files.complete_rows(spark, f"{folder}/{V.COMPLICATION_FILE}"),
+            "exclusions": lambda: files.csv(spark, f"{folder}/{V.EXCLUSION_FILE}"),
+            "names": names,
+            "hospitals": lambda: files.one_column(spark, f"{folder}/{V.HOSPITAL_FILE}", "hospital"),
+            "code_sets": lambda: files.code_lists(spark, folder, V.CODE_LIST_FILES),
+        }
+    )
 
 
 def extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -92,16 +112,28 @@ def extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         casts = {name: F.col(name).try_cast(kind) for name, kind in (("nb", "bigint"), ("sexe", "int")) if name in rows.columns}
         return rows.withColumns(casts)
 
-    return {
-        "profiles": counted(files.parquet(spark, newest("profiles"), V.PROFILE_NAMES)),
-        "secondary_icd": counted(files.csv(spark, newest("secondary_icd"), ";").withColumnsRenamed(V.SECONDARY_NAMES)),
-        "procedures": counted(files.csv(spark, newest("procedures"), ";").withColumnsRenamed(V.SECONDARY_NAMES)),
-    }
+    def listed(key: str) -> DataFrame:
+        return counted(files.csv(spark, newest(key), ";").withColumnsRenamed(V.SECONDARY_NAMES))
+
+    return all_read(
+        {
+            "profiles": lambda: counted(files.parquet(spark, newest("profiles"), V.PROFILE_NAMES)),
+            "secondary_icd": lambda: listed("secondary_icd"),
+            "procedures": lambda: listed("procedures"),
+        }
+    )
 
 
 def load_data(spark: SparkSession, extract_folder: str, reference_folder: str) -> dict[str, DataFrame]:
-    """Every input of the profile cohort, also as temporary views."""
-    tables = {**referentials(spark, reference_folder), **extracts(spark, extract_folder)}
+    """Every input of the profile cohort, also as temporary views. One error names all that is missing."""
+    tables, missing = {}, []
+    for read, folder in ((referentials, reference_folder), (extracts, extract_folder)):
+        try:
+            tables |= read(spark, folder)
+        except FileNotFoundError as error:
+            missing.append(str(error))
+    if missing:
+        raise FileNotFoundError("; ".join(missing))
     require_columns(tables, REQUIRED_COLUMNS)
     return registered(tables)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.functions.uniform import uniform
 from casemill.operators.associated import draw_associated
-from casemill.operators.draws import draw_rows, draw_with_replacement
+from casemill.operators.draws import draw_per_group, draw_rows, draw_with_replacement
 from casemill.operators.procedures import drawn_procedures
 from casemill.operators.stay_length import triangular_days
 from casemill.plans import table_cohort
@@ -62,6 +62,13 @@ def weighted_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(small.withColumnRenamed("item", "small_item"), "stay_id")
 
 
+def per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A main diagnosis for each order's group, by its share in the group; orders of the last group have none."""
+    dp = view(spark, sf_dir, "pmsi_dp")
+    asked = drawn_profiles(spark, sf_dir).select("stay_id", F.when(F.col("stay_id") % 7 != 0, F.col("GHM5")).alias("GHM5"))
+    return draw_per_group(asked, "stay_id", dp.dropna(subset=["DP"]), "P_DP", ["GHM5"], ["DP"], SEED).withColumnsRenamed({"GHM5": "ghm5", "DP": "dp"})
+
+
 def drawn_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw_rows(stay_ids(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["profiles"], SEED)
 
@@ -99,6 +106,7 @@ def table_queries() -> dict:
     return {
         "draw_weighted_with_replacement": weighted_with_replacement,
         "draw_weighted_fractional": weighted_fractional,
+        "draw_per_group": per_group,
         "draw_procedures": procedures,
         "draw_associated_diagnoses": associated,
         "draw_triangular_days": triangular,

@@ -175,6 +175,16 @@ def table_checks() -> dict[str, str]:
     return {
         "draw_weighted_with_replacement": with_views(["pmsi_dp"], *STAYS, final="SELECT * FROM stays"),
         "draw_weighted_fractional": fractional(),
+        "draw_per_group": with_views(
+            ["pmsi_dp"],
+            *STAYS,
+            ("in_group", "SELECT GHM5, DP, CAST(sum(P_DP) AS BIGINT) AS w FROM pmsi_dp WHERE GHM5 IS NOT NULL AND DP IS NOT NULL GROUP BY 1, 2"),
+            ("group_laid", laid_out("in_group", ["GHM5"], [spread("DP"), "DP"])),
+            ("wanting", "SELECT stay_id, CASE WHEN stay_id % 7 <> 0 THEN GHM5 END AS GHM5 FROM stays"),
+            ("pools", f"SELECT stay_id, GHM5, {below(bits('in_group', 'stay_id'), 'total')} AS t FROM wanting JOIN (SELECT DISTINCT GHM5, total FROM group_laid) USING (GHM5)"),
+            final="SELECT w.stay_id, w.GHM5 AS ghm5, l.DP AS dp FROM wanting w LEFT JOIN pools p USING (stay_id)"
+            " LEFT JOIN group_laid l ON l.GHM5 = p.GHM5 AND p.t >= l.lo AND p.t < l.lo + l.w",
+        ),
         "draw_procedures": with_views(
             INPUTS, *STAYS, *CODE_LABELS, *procedures(), final="SELECT s.stay_id, coalesce(ccam, '') AS ccam FROM stays s LEFT JOIN proc_drawn USING (stay_id)"
         ),

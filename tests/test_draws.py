@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from casemill.functions.text import list_text, row_key
 from casemill.functions.uniform import position_below, uniform, uniform_int
 from casemill.operators.conditional import draw_some
-from casemill.operators.draws import draw_with_replacement, stay_ids
+from casemill.operators.draws import draw_per_group, draw_with_replacement, stay_ids
 from casemill.operators.positions import lay_out, pool_totals, skip_taken, slotted, span
 from casemill.operators.secondary import _counted
 from casemill.plans import profile_cohort, table_cohort
@@ -266,3 +266,12 @@ def test_no_category_twice_and_partition_invariance(spark, sf):
     for row in codes:
         cats = [c[:2] for c in row["das_codes"].split(",") if c]
         assert len(cats) == len(set(cats))
+
+
+def test_draw_per_group_stays_in_its_group(spark):
+    table = spark.createDataFrame([("x", "a", 0.1), ("x", "b", 0.3), ("y", "c", 5.0), (None, "d", 1.0)], "g string, k string, w double")
+    asked = stay_ids(spark, N).withColumn("g", F.when(F.col("stay_id") % 3 == 0, "y").when(F.col("stay_id") % 3 == 1, "x"))
+    drawn = draw_per_group(asked, "stay_id", table, "w", ["g"], ["k"], 3).collect()
+    assert len(drawn) == N and {r["k"] for r in drawn if r["g"] == "y"} == {"c"} and {r["k"] for r in drawn if r["g"] is None} == {None}
+    counts = Counter(r["k"] for r in drawn if r["g"] == "x")
+    close(counts, {"a": 0.25, "b": 0.75}, sum(counts.values()))

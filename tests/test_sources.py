@@ -61,10 +61,18 @@ def test_missing_files_are_named_together(spark, tmp_path):
     write(tmp_path / V.TABLE_FILES["dms"], ROWS["dms"])
     with pytest.raises(FileNotFoundError, match="PMSI_DP.csv, ALL_CIM10.csv"):
         registry.ingest(spark, str(tmp_path), str(tmp_path / "out"), ["dp", "dms", "cim10"])
-    with pytest.raises(FileNotFoundError, match="profiles"):
+    with pytest.raises(FileNotFoundError, match="profiles.*secondary_icd.*procedures"):
         registry.extracts(spark, str(tmp_path / "empty"))
 
 
+def test_all_missing_inputs_of_the_profile_cohort_are_in_one_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError) as raised:
+        registry.load_data(spark, str(tmp_path / "extracts"), str(tmp_path / "reference"))
+    told = str(raised.value)
+    names = [V.NAME_FILE, V.SYNONYM_FILE, V.HOSPITAL_FILE, *[file for file, _ in V.REFERENCE_PARQUET.values()], "profiles", "procedures"]
+    assert all(name in told for name in names)
+
+
 def test_missing_columns_are_named_together(spark):
     with pytest.raises(ValueError, match="table procedures, profiles.cage, profiles.sexe"):
         registry.require_columns({"profiles": spark.range(1).toDF("drg")}, {"procedures": ["procedure"], "profiles": ["drg", "cage", "sexe"]})
