@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casemill.llm.shipping import ship
 from casemill.llm.words import slices
+from casemill.sources.scratch import written
 
 #: A subtree is a template if it is on so many pages of its host, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.01
@@ -155,7 +156,7 @@ def blocks_of(page: str | None) -> tuple[list[tuple[str, list[int], bool, bool]]
 
 
 def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """(key, url, ``host``, ``content``: hash of the row's page and host, ``main``: hash of its article, ``blocks``, ``hashes``)."""
+    """(key, url, ``host``, ``content``: hash of the row's page and host, ``main``: hash of its article or else of all its text, ``blocks``, ``hashes``)."""
     ship(pages.sparkSession)
     kind = pages.schema[key].dataType.simpleString()
 
@@ -164,7 +165,8 @@ def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", page: str =
         for rows in slices(batches, "html"):
             made = [blocks_of(x) for x in rows["html"].to_pylist()]
             blocks = [[{"text": t, "around": a, "boiler": b, "main": m} for t, a, b, m in found] for found, _ in made]
-            main = [int.from_bytes(_chain(b"", "\n".join(t for t, _, b, m in found if m and not b).encode("utf-8", "replace")), "little", signed=True) for found, _ in made]
+            told = ["\n".join(t for t, _, b, m in found if m and not b) or "\n".join(t for t, *_ in found) for found, _ in made]
+            main = [int.from_bytes(_chain(b"", t.encode("utf-8", "replace")), "little", signed=True) for t in told]
             yield pa.record_batch({"key": rows["key"], "url": rows["url"], "host": rows["host"], "content": rows["content"], "main": pa.array(main, pa.int64()), "blocks": pa.array(blocks, block), "hashes": pa.array([h for _, h in made], pa.list_(pa.int64()))})
 
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
@@ -185,7 +187,7 @@ def templates(rows: DataFrame, least_pages: int = LEAST_PAGES, least_share: floa
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """One row per page: key, url, ``text``, ``n_chars``."""
     rows = parsed(pages, key, url, page)
-    narrow = rows.select("host", "content", "main", "hashes")
+    narrow = written(rows.select("host", "content", "main", "hashes"), "page-hashes")
     once = narrow.select("content", "host", F.explode("hashes").alias("hash")).distinct()
     hits = once.join(templates(narrow, least_pages, least_share), ["host", "hash"]).groupBy("content").agg(F.collect_set("hash").alias("deleted"))  # a page's elements at most
     rows = rows.drop("hashes", "main").join(hits, "content", "left")
