@@ -18,6 +18,9 @@ that share a signature and are in different components, is compared in blocks: f
 merged where that leaves fewer pairs, dealt over tasks of two blocks of near size. No pair is left out, and none is
 written unless it links.
 
+Tokens are long, so a sketch goes first: how many tokens of the class fall in each of about n / 2 slots. Two classes
+share at most the sum of the lesser counts; only where that could be enough are the tokens themselves compared.
+
 Which tokens count as frequent is read off all documents (those that several documents of one stretch of the input
 share) and bounds the work only: any choice gives the same links. Tokens and classes are 64-bit hashes.
 
@@ -68,8 +71,24 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
+def _sketch(tokens: np.ndarray) -> bytes | None:
+    """Tokens in each slot of the lowest bits of their hashes; about half as many slots as tokens, 16 at least."""
+    slots = 1 << max(4, int(len(tokens) - 1).bit_length() - 1)
+    counts = np.bincount((tokens & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return counts.astype(np.uint8).tobytes() if len(tokens) and counts.max() < 256 else None
+
+
+def _most_shared(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The most tokens that classes with these sketches can share, for one class and the rows of ``many``."""
+    if len(one) > many.shape[1]:
+        one = one.reshape(-1, many.shape[1]).sum(0)
+    if many.shape[1] > len(one):
+        many = many.reshape(len(many), -1, len(one)).sum(1)
+    return np.minimum(one, many).sum(1)
+
+
 def classes(documents: DataFrame) -> DataFrame:
-    """Rows of two kinds: (``key``, ``n``, ``cls``) for each document, and (``token``, ``df``) for tokens of several
+    """Rows of two kinds: (``key``, ``n``, ``cls``, ``sketch``) for each document, and (``token``, ``df``) for tokens of several
     classes in one stretch of the input."""
     kind = documents.schema["key"].dataType.simpleString()
 
@@ -82,7 +101,7 @@ def classes(documents: DataFrame) -> DataFrame:
             size = int(often.sum())
             held.clear()
             seen.clear()
-            return pa.record_batch({"key": pa.nulls(size, key_type), "n": pa.nulls(size, pa.int64()), "cls": pa.nulls(size, pa.int64()), "token": pa.array(_signed(tokens[often])), "df": pa.array(counts[often].astype(np.int64))})
+            return pa.record_batch({"key": pa.nulls(size, key_type), "n": pa.nulls(size, pa.int64()), "cls": pa.nulls(size, pa.int64()), "sketch": pa.nulls(size, pa.binary()), "token": pa.array(_signed(tokens[often])), "df": pa.array(counts[often].astype(np.int64))})
 
         for rows in slices(batches):
             key_type = rows["key"].type
@@ -93,13 +112,13 @@ def classes(documents: DataFrame) -> DataFrame:
                     seen.add(name)
                     held.append(tokens)
             size = len(rows)
-            yield pa.record_batch({"key": rows["key"], "n": pa.array([len(s) for s in sets], pa.int64()), "cls": pa.array(names, pa.int64()), "token": pa.nulls(size, pa.int64()), "df": pa.nulls(size, pa.int64())})
+            yield pa.record_batch({"key": rows["key"], "n": pa.array([len(s) for s in sets], pa.int64()), "cls": pa.array(names, pa.int64()), "sketch": pa.array([_sketch(s) for s in sets], pa.binary()), "token": pa.nulls(size, pa.int64()), "df": pa.nulls(size, pa.int64())})
             if sum(map(len, held)) >= STRETCH:
                 yield flush()
         if held:
             yield flush()
 
-    return documents.mapInArrow(made, f"key {kind}, n long, cls long, token long, df long")
+    return documents.mapInArrow(made, f"key {kind}, n long, cls long, sketch binary, token long, df long")
 
 
 def frequent_tokens(rows: DataFrame, documents: int) -> np.ndarray:
@@ -146,9 +165,9 @@ def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
     return documents.select("text").mapInArrow(signed, "sig long, cls long")
 
 
-def class_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(``cls``, ``n``, ``tokens``) of the classes in ``wanted`` (``cls``, ``first``: a document that has its text)."""
-    ids = wanted.select("first").distinct()
+def class_sets(documents: DataFrame, wanted: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(``cls``, ``n``, ``tokens``) of the classes in ``wanted``, and of some others, worked out again from a document of each."""
+    ids = written(sizes.join(wanted, "cls").select("first").distinct(), "first-documents")
 
     def sets(batches):
         for rows in slices(batches):
@@ -157,22 +176,87 @@ def class_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.record_batch({"cls": pa.array(list(found), pa.int64()), "n": pa.array([len(s) for s in found.values()], pa.int64()), "tokens": pa.array([_signed(s) for s in found.values()], pa.list_(pa.int64()))})
 
     near = documents.join(bounded(ids), documents["key"].eqNullSafe(ids["first"]), "left_semi")
-    return near.select("text").mapInArrow(sets, "cls long, n long, tokens array<long>")
+    return written(near.select("text").mapInArrow(sets, "cls long, n long, tokens array<long>"), "class-sets")
 
 
 def _linked(shared, left, right):
     return 100 * shared >= LEAST * (left + right - shared)
 
 
-def star_links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+def hopeful_pairs(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (``cls``, ``hub``) that sizes and sketches leave open."""
+
+    def filtered(batches):
+        for batch in batches:
+            n, hub_n = batch["n"].to_numpy(), batch["hub_n"].to_numpy()
+            keep = []
+            for at, (one, other) in enumerate(zip(batch["sketch"].to_pylist(), batch["hub_sketch"].to_pylist())):
+                shared = n[at] if one is None or other is None else _most_shared(np.frombuffer(one, np.uint8).astype(np.int64), np.frombuffer(other, np.uint8).astype(np.int64)[None])[0]
+                keep.append(bool(_linked(shared, n[at], hub_n[at])))
+            yield batch.select(["cls", "hub"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sizes.select("cls", "n", "sketch")
+    both = pairs.join(one, "cls").join(one.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch")), "hub")
+    fit = both.where(LEAST * F.greatest("n", "hub_n") <= 100 * F.least("n", "hub_n"))
+    return fit.select("cls", "hub", "n", "hub_n", "sketch", "hub_sketch").mapInArrow(filtered, "cls long, hub long")
+
+
+def star_links(documents: DataFrame, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """(``a``, ``b``) of the pairs (``cls``, ``hub``) that link."""
-    one = sizes.select("cls", "n")
-    fit = pairs.join(one, "cls").join(one.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n")), "hub").where(LEAST * F.greatest("n", "hub_n") <= 100 * F.least("n", "hub_n"))
-    full = fit.join(sets.select("cls", "tokens"), "cls").join(sets.select(F.col("cls").alias("hub"), F.col("tokens").alias("hub_tokens")), "hub")
+    open_ = written(hopeful_pairs(pairs, sizes), "open-pairs")
+    wanted = open_.select("cls").unionByName(open_.select(F.col("hub").alias("cls"))).distinct()
+    sets = class_sets(documents, wanted, sizes)
+    full = open_.join(sets, "cls").join(sets.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("tokens").alias("hub_tokens")), "hub")
     shared = F.size(F.array_intersect("tokens", "hub_tokens"))
     return full.where(_linked(shared, F.col("n"), F.col("hub_n"))).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
 
 
+def _hopes(n: np.ndarray, label: np.ndarray, side: np.ndarray, sketches: list[bytes | None]) -> np.ndarray:
+    """Which classes of a task some class of another component on the other side could link with."""
+    hope = np.zeros(len(n), bool)
+    widths = [len(x) for x in sketches if x is not None]
+    least = min(widths, default=16)
+    folded = np.stack([np.zeros(least, np.int32) if x is None else np.frombuffer(x, np.uint8).astype(np.int32).reshape(-1, least).sum(0) for x in sketches])
+    known = np.array([x is not None for x in sketches])
+    left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+    for at in left:
+        near = right[(label[right] != label[at]) & _linked(np.minimum(n[right], n[at]), n[right], n[at])]
+        if len(near):
+            shared = np.where(known[near] & known[at], np.minimum(folded[at], folded[near]).sum(1), np.minimum(n[at], n[near]))
+            hit = near[_linked(shared, n[at], n[near])]
+            hope[at] |= len(hit) > 0
+            hope[hit] = True
+    return hope
+
+
+def _task_hopes(batches):
+    """The rows of ``task``-sorted batches that have hope in their task; many tasks are small, so they pass in a stream."""
+
+    def judged(rows: pa.Table) -> pa.RecordBatch:
+        task = rows["task"].to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], task[1:] != task[:-1])))
+        n, label, side, sketches = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["side"].to_numpy(), rows["sketch"].to_pylist()
+        keep = np.zeros(len(task), bool)
+        for a, b in zip(first, [*first[1:], len(task)]):
+            keep[a:b] = _hopes(n[a:b], label[a:b], side[a:b], sketches[a:b])
+        return pa.RecordBatch.from_struct_array(rows.select(["task", "cls", "label", "n", "side"]).filter(pa.array(keep)).to_struct_array().combine_chunks())
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        task = batch["task"].to_numpy()
+        if not len(task):
+            continue
+        begin = int(np.flatnonzero(task == task[-1])[0])  # the last task may go on
+        if begin:
+            held.append(batch.slice(0, begin))
+        if held and (begin or held[-1]["task"][0].as_py() != task[-1]):
+            yield judged(pa.Table.from_batches(held))
+            held = []
+        held.append(batch.slice(begin))
+    if held:
+        yield judged(pa.Table.from_batches(held))
+
+
 def _block_links(group: pd.DataFrame) -> pd.DataFrame:
     """Links between different components among the classes of a task: a spanning forest of them."""
     group = group.drop_duplicates("cls").reset_index(drop=True)
@@ -211,7 +295,7 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def rest_links(pairs: DataFrame, labels: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+def rest_links(documents: DataFrame, pairs: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
     """(``a``, ``b``): labels of components between which the pairs not yet compared have a link."""
     named = pairs.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     open_ = named.groupBy("hub").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x != y").select("hub", "m")
@@ -238,9 +322,14 @@ def rest_links(pairs: DataFrame, labels: DataFrame, sizes: DataFrame, sets: Data
         F.transform(upto(count(own - 1)), lambda k: part(own - 1, k, own, block, F.lit(1))),
     )
     dealt = members.select("task", "cls", "label", "n", F.inline(tasks))
-    mixed = dealt.groupBy("task", "low", "i", "high", "j").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").drop("x", "y")
-    dealt = dealt.join(mixed, ["task", "low", "i", "high", "j"]).join(sets.select("cls", "tokens"), "cls")
-    return dealt.groupBy("task", "low", "i", "high", "j").applyInPandas(_block_links, "a long, b long")
+    dealt = dealt.select(F.xxhash64("task", "low", "i", "high", "j").alias("task"), "cls", "label", "n", "side")
+    mixed = dealt.groupBy("task").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("side").alias("from"), F.max("side").alias("to"))
+    mixed = mixed.where("x != y AND from <= 0 AND to >= 0").select("task")
+    dealt = dealt.join(mixed, "task").join(sizes.select("cls", "sketch"), "cls")
+    dealt = dealt.repartition("task").sortWithinPartitions("task")
+    dealt = written(dealt.mapInArrow(_task_hopes, "task long, cls long, label long, n long, side int"), "hopes")
+    sets = class_sets(documents, dealt.select("cls").distinct(), sizes)
+    return dealt.join(sets.select("cls", "tokens"), "cls").groupBy("task").applyInPandas(_block_links, "a long, b long")
 
 
 def joined(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -255,16 +344,15 @@ def _classed(rows: DataFrame) -> DataFrame:
     both = written(classes(rows), "classes")
     docs = both.where("n IS NOT NULL").select("key", "n", "cls")
     frequent = frequent_tokens(both, docs.count())
-    sizes = written(docs.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("first"), F.first("n").alias("n")), "class-sizes")
+    sizes = both.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sizes = written(sizes, "class-sizes")
 
-    signed = written(signatures(rows, frequent), "signatures")
+    signed = signatures(rows, frequent)  # not written: working it out twice costs less than keeping it
     shared = signed.groupBy("sig").agg(F.min("cls").alias("hub"), F.max("cls").alias("other")).where("hub != other").select("sig", "hub")
     pairs = written(signed.join(shared, "sig").where("cls != hub").select("cls", "hub").distinct(), "pairs")
-    wanted = pairs.select("cls").unionByName(pairs.select(F.col("hub").alias("cls"))).distinct()
-    sets = written(class_sets(rows, sizes.join(wanted, "cls")).join(wanted, "cls", "left_semi"), "class-sets")
 
-    star = components(written(star_links(pairs, sizes, sets), "links"))
-    rest = written(rest_links(pairs, star, sizes, sets), "more-links")
+    star = components(written(star_links(rows, pairs, sizes), "links"))
+    rest = written(rest_links(rows, pairs, star, sizes), "more-links")
     final = components(rest).select(F.col("node").alias("label"), F.col("label").alias("last"))
     label = star.join(final, "label", "full").select(F.coalesce("node", "label").alias("cls"), F.coalesce("last", "label").alias("label"))
     label = written(label, "class-labels")
