@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from casemill.llm.shipping import ship
 from casemill.llm.words import slices
-from casemill.sources.scratch import written
 
 #: A subtree is a template if it is on so many pages of its host, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.01
@@ -187,11 +186,12 @@ def templates(rows: DataFrame, least_pages: int = LEAST_PAGES, least_share: floa
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """One row per page: key, url, ``text``, ``n_chars``."""
     rows = parsed(pages, key, url, page)
-    narrow = written(rows.select("host", "content", "main", "hashes"), "page-hashes")
+    narrow = rows.select("host", "content", "main", "hashes")
     once = narrow.select("content", "host", F.explode("hashes").alias("hash")).distinct()
     hits = once.join(templates(narrow, least_pages, least_share), ["host", "hash"]).groupBy("content").agg(F.collect_set("hash").alias("deleted"))  # a page's elements at most
-    rows = rows.drop("hashes", "main").join(hits, "content", "left")
-    left = F.filter("blocks", lambda b: ~b["boiler"] & ~F.coalesce(F.arrays_overlap(b["around"], F.col("deleted")), F.lit(False)))
-    rows = rows.select("key", "url", left.alias("blocks"), F.exists("blocks", lambda b: b["main"]).alias("marked"))
+    plain = F.filter("blocks", lambda b: ~b["boiler"])
+    rows = rows.select("key", "url", "content", plain.alias("blocks"), F.exists("blocks", lambda b: b["main"]).alias("marked")).join(hits, "content", "left")
+    left = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("deleted")), F.lit(False)))
+    rows = rows.select("key", "url", left.alias("blocks"), "marked")
     text = F.array_join(F.transform(F.filter("blocks", lambda b: b["main"] | ~F.col("marked")), lambda b: b["text"]), "\n")
     return rows.select(F.col("key").alias(key), F.col("url").alias(url), text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
