@@ -96,7 +96,7 @@ def fit(labels: np.ndarray, slots: list[np.ndarray], seed: int = 0) -> Machine:
     empty = Machine(bias, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     if not positive.any() or positive.all():
         return empty
-    flat, owner = np.concatenate(slots), np.repeat(np.arange(len(slots)), [len(s) for s in slots])
+    flat, owner = np.concatenate(slots), np.repeat(np.arange(len(slots), dtype=np.int32), [len(s) for s in slots])
     here = np.bincount(flat[positive[owner]], minlength=SLOTS).astype(float)
     there = np.bincount(flat[~positive[owner]], minlength=SLOTS).astype(float)
     n_here, n_there = positive.sum(), (~positive).sum()
@@ -149,7 +149,9 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample:
             yield pa.record_batch({"key": batch["key"].cast(pa.string()), "label": batch["label"], "slots": pa.array([text_terms(t) for t in batch["text"].to_pylist()], pa.list_(pa.int32()))})
 
     rows = training_rows(documents, labels, label, sample, key, text).mapInArrow(hashed, "key string, label int, slots array<int>").toArrow().sort_by("key")
-    return fit(rows["label"].to_numpy(), [np.array(s, np.int32) for s in rows["slots"].to_pylist()])
+    slots = rows["slots"].combine_chunks()
+    ends = slots.offsets.to_numpy()
+    return fit(rows["label"].to_numpy(), np.split(slots.values.to_numpy(), ends[1:-1]) if len(rows) else [])
 
 
 def scored(documents: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text", cut: float = 0.5) -> DataFrame:
