@@ -97,7 +97,7 @@ def day_texts(df: DataFrame) -> DataFrame:
 
 
 def dates_and_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = profile_cohort.with_administration(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["people"], YEAR, SEED)
+    out = profile_cohort.with_administration(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["people"], [YEAR - 2, YEAR - 1, YEAR], SEED)
     return day_texts(out).select("stay_id", "age", "date_entry", "date_discharge", "date_of_birth")
 
 
