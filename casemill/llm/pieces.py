@@ -24,7 +24,7 @@ from casemill.llm.shipping import ship
 from casemill.llm.words import slices
 
 #: Words with ids that a worker keeps; beyond it starts anew.
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 500_000
 #: Longer words are relaxed with a heap, one by one, and not side by side.
 SIDE_BY_SIDE = 48
 #: The model's stand-in for a space, and a byte that no text has.

@@ -26,7 +26,7 @@ PASSAGE, SHAPES = 64, 256
 #: Most labelled documents that are learnt from, and most passages of each, evenly spread; scoring takes all.
 SAMPLE, SAMPLE_PASSAGES = 3000, 256
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY = 24, 16, 8, 64, 0.005, 1e-4
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 250_000
 TEXT_BYTES = 4 << 20
 _KINDS = 8
 FEATURES = _KINDS + 2 + SHAPES

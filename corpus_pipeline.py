@@ -39,8 +39,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, and whether they decode to its text."""
-    return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
+    """Number and checksum of the ids of each document, and whether they decode to its text."""
+    return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [

@@ -245,7 +245,7 @@ def test_pipeline_takes_its_stages_in_turn(spark, sf):
             assert docs.columns == columns
     got = {r["doc_id"]: r["n_pieces"] for r in corpus_pipeline.run(spark, sf).collect()}
     assert got == {r["doc_id"]: r["n_pieces"] for r in docs.collect()} and 0 < len(got) < left
-    assert docs.where("NOT round_trip OR n_pieces <> size(ids)").count() == 0
+    assert docs.where("NOT round_trip").count() == 0
 
 
 def test_stages_take_an_empty_table(spark, sf):
