@@ -25,6 +25,8 @@ from casemill.llm.words import slices
 
 #: Words with ids that a worker keeps; beyond it starts anew.
 KEPT_WORDS = 500_000
+#: Bytes of text handled at once, and bytes of new words that are laid side by side: their edges take about a hundred times as much.
+TEXT_BYTES, PART_BYTES = 2 << 20, 1 << 19
 #: Longer words are relaxed with a heap, one by one, and not side by side.
 SIDE_BY_SIDE = 48
 #: The model's stand-in for a space, and a byte that no text has.
@@ -289,6 +291,19 @@ def _bisect(word, order, shift, target, low, high, right) -> np.ndarray:
         high = np.where(open_ & ~below, middle, high)
 
 
+def _parts(words: list[str]):
+    """The words in lists of about ``PART_BYTES``, one word at least."""
+    part, size = [], 0
+    for word in words:
+        part.append(word)
+        size += len(word.encode())
+        if size >= PART_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 class Encoder:
     """A model and the ids of the words met so far."""
 
@@ -307,9 +322,9 @@ class Encoder:
         find, index = self.model.words.findall, self.index
         split = [find(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
         new = list({word: None for words in split for word in words if word not in index})
-        if new:
-            ids, sizes = self.model.encode_words(new)
-            for word in new:
+        for part in _parts(new):
+            ids, sizes = self.model.encode_words(part)
+            for word in part:
                 index[word] = len(index)
             self.ids, self.ends = np.concatenate((self.ids, ids)), np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
         counts = np.fromiter(map(len, split), np.int64, len(split))
@@ -335,7 +350,7 @@ def encoded(documents: DataFrame, path: str, key: str = "doc_id", text: str = "t
     kind = documents.schema[key].dataType.simpleString()
 
     def encode(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, limit=TEXT_BYTES):
             ids, counts = encoder(path).encode(rows["text"].to_pylist())
             ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             yield pa.record_batch({"key": rows["key"], "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))})
@@ -364,7 +379,7 @@ def digests(documents: DataFrame, path: str, key: str = "doc_id", text: str = "t
     kind = documents.schema[key].dataType.simpleString()
 
     def digest(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, limit=TEXT_BYTES):
             coder = encoder(path)
             texts = rows["text"].to_pylist()
             ids, counts = coder.encode(texts)

@@ -19,7 +19,7 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

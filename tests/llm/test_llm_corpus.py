@@ -266,3 +266,27 @@ def test_queries_return_their_columns(spark, sf):
         want = first[int(name[2:].split("_")[0])].split()
         assert query(spark, sf).columns[: len(want)] == want
     assert len(llm_queries()) == 10
+
+
+def test_encoded_corpus_holds_its_ids(spark, sf):
+    from casemill.llm.queries import llm_queries
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for found in (llm_queries()["op2_pieces"](spark, sf), corpus_pipeline.encoded(spark, docs, sf)):
+        rows = found.collect()
+        assert len(rows) == docs.count() and sum(r["n_pieces"] for r in rows) > 0
+        for row in rows:
+            raw = b"".join(i.to_bytes(4, "little") for i in row["ids"])
+            assert len(row["ids"]) == row["n_pieces"] and zlib.crc32(raw) == row["ids_crc32"]
+
+
+def test_parts_of_new_words_give_the_same_ids(monkeypatch):
+    import public_tokenizers
+
+    from casemill.llm import pieces
+
+    texts = ["one two three", None, "", "x" * 300 + " two", "äöü 日本語 one"]
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    want = [x.tolist() for x in pieces.Encoder(path).encode(texts)]
+    monkeypatch.setattr(pieces, "PART_BYTES", 8)
+    assert [x.tolist() for x in pieces.Encoder(path).encode(texts)] == want
