@@ -107,30 +107,30 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def item_seeds(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """(``item_id``, ``item``: the words' hashes, ``seeds``: its distinct seeds) of items with seeds, repeated items once."""
+    """(``item_id``, ``item``: the words' hashes, ``seeds``: its distinct seeds with their ``places``, how often each is in it) of items with seeds, repeated items once."""
     kind = benchmark.schema[key].dataType.simpleString()
 
     def seeds(batches):
         for rows in slices(batches):
             hashes, bounds, found, owner = _seeds(rows["text"])
-            each = [np.unique(found[owner == at]) if bounds[at + 1] - bounds[at] >= LEAST else found[:0] for at in range(len(rows))]
+            each = [np.unique(found[owner == at], return_counts=True) for at in range(len(rows))]
             yield pa.record_batch(
                 {
                     "item_id": rows["item_id"],
                     "item": pa.array([_signed(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.list_(pa.int64())),
-                    "seeds": pa.array([_signed(s) for s in each], pa.list_(pa.int64())),
+                    "seeds": pa.array([[{"seed": s, "places": n} for s, n in zip(_signed(seed).tolist(), places.tolist())] for seed, places in each], pa.list_(pa.struct([("seed", pa.int64()), ("places", pa.int64())]))),
                 }
             )
 
     rows = benchmark.select(benchmark[key].alias("item_id"), benchmark[text].alias("text"))
-    return rows.mapInArrow(seeds, f"item_id {kind}, item array<long>, seeds array<long>").where(F.size("seeds") > 0).distinct()
+    return rows.mapInArrow(seeds, f"item_id {kind}, item array<long>, seeds array<struct<seed:long,places:long>>").where(F.size("seeds") > 0).distinct()
 
 
 def seed_pairs(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(``key``, ``item_id``, ``item``) of pairs whose shared seeds could cover enough of the item. ``documents``: ``key``, ``text``."""
-    seeds = items.select("item_id", "item", F.explode("seeds").alias("seed"))
+    seeds = items.select("item_id", F.inline("seeds"))
     bits = 1 << max(int(np.ceil(np.log2(max(min(seeds.count() * FILTER_BITS, FILTER_MOST), 1 << 16)))), 16)
-    slots = items.select(F.explode("seeds").alias("seed")).select(F.expr(f"shiftrightunsigned(seed, {64 - int(np.log2(bits))})").alias("slot")).distinct()
+    slots = seeds.select(F.expr(f"shiftrightunsigned(seed, {64 - int(np.log2(bits))})").alias("slot")).distinct()
     chosen = np.zeros(bits, bool)
     chosen[slots.toPandas()["slot"].to_numpy(np.int64)] = True  # FILTER_MOST at most
     sent = documents.sparkSession.sparkContext.broadcast(np.packbits(chosen))
@@ -149,8 +149,8 @@ def seed_pairs(documents: DataFrame, items: DataFrame, coverage: float = COVERAG
             once[1:] = (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])
             yield pa.record_batch({"key": rows["key"].take(pa.array(owner[once])), "seed": pa.array(_signed(seeds[once]), pa.int64())})
 
-    shared = documents.select("key", "text").mapInArrow(found, f"key {kind}, seed long").join(seeds.drop("item"), "seed")
-    pairs = shared.groupBy("key", "item_id").agg(F.count_distinct("seed").alias("shared"))
+    shared = documents.select("key", "text").mapInArrow(found, f"key {kind}, seed long").join(seeds, "seed")
+    pairs = shared.groupBy("key", "item_id", "seed").agg(F.max("places").alias("places")).groupBy("key", "item_id").agg(F.sum("places").alias("shared"))  # a run of n words has n - LEAST + 1 seed places
     pairs = pairs.join(items.select(F.col("item_id").alias("_item_id"), "item"), F.col("item_id").eqNullSafe(F.col("_item_id"))).drop("_item_id")
     return pairs.where(LEAST * F.col("shared") >= coverage * F.size("item")).select("key", "item_id", "item")
 

@@ -290,3 +290,12 @@ def test_parts_of_new_words_give_the_same_ids(monkeypatch):
     want = [x.tolist() for x in pieces.Encoder(path).encode(texts)]
     monkeypatch.setattr(pieces, "PART_BYTES", 8)
     assert [x.tolist() for x in pieces.Encoder(path).encode(texts)] == want
+
+
+def test_items_that_repeat_themselves_are_found(spark):
+    line = "one two three four five six seven eight "
+    items = spark.createDataFrame([(1, line * 12), (2, "tic toc " * 40), (3, line * 2 + " ".join(f"w{i}" for i in range(100)))], "item_id long, text string")
+    docs = docs_of(spark, [(1, "before it " + line * 12 + "and after"), (2, "tic toc " * 40), (3, line), (4, "nothing of that")])
+    found = {(r["doc_id"], r["item_id"]): r["coverage"] for r in D.contaminated(docs, items).collect()}
+    assert found == {(1, 1): 1.0, (2, 2): 1.0}
+    assert {r["doc_id"] for r in D.decontaminated(docs, items).collect()} == {3, 4}
