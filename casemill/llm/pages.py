@@ -1,12 +1,15 @@
 """Main text of web pages by removing what a site repeats.
 
 Every page is parsed once into blocks of text. A block knows the hashes of the structural elements around it, taken over
-their whole subtrees (tags, classes, words). Spark counts, per host, on how many different pages a subtree occurs, and
-deletes from each page the subtrees that recur on many pages of its host. Of what is left, blocks of elements
-that say what they are (menus, footers, forms, adverts, comments, by tag, role or class) go as well, and if the page marks its
-article, the blocks outside it. Inside a marked article, paragraphs, headings, lists and tables are content even if
-other pages repeat them: only other containers can be deleted there. Copies of a page count once, so a copied article is
-no template.
+their whole subtrees (tags, classes, words). Spark counts, per host, beside how many
+different rests of pages a subtree occurs, and deletes from each page the subtrees that recur. Of what is left, blocks of
+elements that say what they are (menus, footers, forms, adverts, comments, by tag, role or class) go as well, and if the page
+marks its article, the blocks outside it.
+
+The rest of a page is its longest block outside the subtree that is neither boilerplate nor mostly links, nor outside a
+marked article. Copies of an article have the same rest whatever their dates, menus and related links are, so its
+paragraphs are no template. A subtree with more than half of a page's such text is that page's content and does not
+count there. Two templates that are both longer than every block of a page's own hide each other there and stay.
 
 Null and empty pages have the empty text. Repeated rows each get their text. Pages without a host in their address share the
 empty host. Broken markup is read as browsers do: unknown signs are text, open elements end with their parent. An
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -27,6 +31,8 @@ from casemill.llm.words import slices
 
 #: A subtree is a template if it is on so many pages of its host, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.01
+#: On so many pages it is one whatever their share.
+MANY_PAGES = 100
 #: Elements nested deeper open no level of their own, as in browsers; their text counts to the last level.
 DEPTH = 512
 
@@ -61,20 +67,28 @@ class _Element:
         self.tag, self.boiler, self.main, self.hashed, self.digest, self.blocks = tag, boiler, main, hashed, digest, []
 
 
-def blocks_of(page: str | None) -> tuple[list[tuple[str, list[int], bool, bool]], list[int]]:
-    """(text, hashes of the elements around it, boilerplate, in the article) of each block, and all hashes of the page."""
+def _mark(text: str) -> int:
+    return int.from_bytes(_chain(b"", text.encode("utf-8", "replace")), "little", signed=True)
+
+
+def blocks_of(page: str | None) -> tuple[list[tuple[str, list[int], bool, bool, bool]], list[int]]:
+    """(text, hashes of the elements around it, boilerplate, in the article, mostly links) of each block, and all hashes of the page."""
     page = page or ""
     found: list[list] = []
     hashes: dict[int, None] = {}
     stack: list[_Element] = []
     buffer: list[str] = []
+    linked, in_link = 0, False
 
     def flush() -> None:
+        nonlocal linked
+        links = 2 * linked > sum(map(len, buffer))
+        linked = 0
         text = " ".join(html.unescape("".join(buffer)).split()) if buffer else ""
         buffer.clear()
         if text:
             top = stack[-1] if stack else None
-            found.append([text, [], bool(top and top.boiler), bool(top and top.main)])
+            found.append([text, [], bool(top and top.boiler), bool(top and top.main), links])
             if top:
                 top.digest = _chain(top.digest, text.encode("utf-8", "replace"))
                 top.blocks.append(len(found) - 1)
@@ -95,14 +109,18 @@ def blocks_of(page: str | None) -> tuple[list[tuple[str, list[int], bool, bool]]
         tag = _TAG.search(page, at)
         if tag is None:
             buffer.append(page[at:])
+            linked += in_link * (size - at)
             break
         if tag.start() > at:
             buffer.append(page[at : tag.start()])
+            linked += in_link * (tag.start() - at)
         at = tag.end()
         name = tag[2] or tag[5]
         if name is None:
             continue
         name = name.lower()
+        if name == "a":
+            in_link = not (tag[1] or tag[4])
         if tag[1] or tag[4]:
             if name in BLOCK:
                 flush()
@@ -154,40 +172,70 @@ def blocks_of(page: str | None) -> tuple[list[tuple[str, list[int], bool, bool]]
     return [tuple(b) for b in found], list(hashes)
 
 
+def rests(blocks: list[tuple], hashes: list[int]) -> tuple[int | None, list[tuple[int, int | None, bool]]]:
+    """Hash of the page's longest block of its own; for each subtree its hash, the hash of the longest such block outside
+    it (none: it is the page's content), and whether it is around a block that no tag rule deletes."""
+    marked = any(m for _, _, _, m, _ in blocks)
+    kept = [b for b in blocks if not b[2] and (b[3] or not marked)]
+    near = {mark for b in kept for mark in b[1]}
+    own = sorted((b for b in kept if not b[4]), key=lambda b: (-len(b[0]), b[0]))
+    total = sum(len(b[0]) for b in own)
+    inside: dict[int, int] = defaultdict(int)
+    for b in own:
+        for mark in set(b[1]):
+            inside[mark] += len(b[0])
+    content = {mark for mark, size in inside.items() if 2 * size > total}
+    if not own:
+        return None, [(mark, None, mark in near) for mark in hashes]
+    longest = _mark(own[0][0])
+    rest = dict.fromkeys(hashes, longest)
+    around = set(own[0][1])
+    for b in own[1:]:
+        if not around:
+            break
+        if out := around.difference(b[1]):
+            rest.update(dict.fromkeys(out, _mark(b[0])))
+            around -= out
+    rest.update(dict.fromkeys(around | content))
+    return longest, [(mark, rest[mark], mark in near) for mark in hashes]
+
+
 def parsed(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """(key, url, ``host``, ``content``: hash of the row's page and host, ``main``: hash of its article or else of all its text, ``blocks``, ``hashes``)."""
+    """(key, url, ``host``, ``content``: hash of the row's page and host, ``main``: hash of its longest block of its own, ``blocks``, ``hashes``: each subtree with the ``rest`` beside it)."""
     ship(pages.sparkSession)
     kind = pages.schema[key].dataType.simpleString()
 
     def parse(batches):
         block = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64())), ("boiler", pa.bool_()), ("main", pa.bool_())]))
+        subtree = pa.list_(pa.struct([("hash", pa.int64()), ("rest", pa.int64()), ("near", pa.bool_())]))
         for rows in slices(batches, "html"):
             made = [blocks_of(x) for x in rows["html"].to_pylist()]
-            blocks = [[{"text": t, "around": a, "boiler": b, "main": m} for t, a, b, m in found] for found, _ in made]
-            told = ["\n".join(t for t, _, b, m in found if m and not b) or "\n".join(t for t, *_ in found) for found, _ in made]
-            main = [int.from_bytes(_chain(b"", t.encode("utf-8", "replace")), "little", signed=True) for t in told]
-            yield pa.record_batch({"key": rows["key"], "url": rows["url"], "host": rows["host"], "content": rows["content"], "main": pa.array(main, pa.int64()), "blocks": pa.array(blocks, block), "hashes": pa.array([h for _, h in made], pa.list_(pa.int64()))})
+            blocks = [[{"text": t, "around": a, "boiler": b, "main": m} for t, a, b, m, _ in found] for found, _ in made]
+            told = [rests(*x) for x in made]
+            main = [m for m, _ in told]
+            hashes = [[{"hash": h, "rest": r, "near": n} for h, r, n in found] for _, found in told]
+            yield pa.record_batch({"key": rows["key"], "url": rows["url"], "host": rows["host"], "content": rows["content"], "main": pa.array(main, pa.int64()), "blocks": pa.array(blocks, block), "hashes": pa.array(hashes, subtree)})
 
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select(pages[key].alias("key"), pages[url].alias("url"), F.coalesce(pages[page], F.lit("")).alias("html"))
     rows = rows.select("key", "url", host.alias("host"), F.xxhash64("html", host).alias("content"), "html")
-    schema = f"key {kind}, url string, host string, content long, main long, blocks array<struct<text:string,around:array<long>,boiler:boolean,main:boolean>>, hashes array<long>"
+    schema = f"key {kind}, url string, host string, content long, main long, blocks array<struct<text:string,around:array<long>,boiler:boolean,main:boolean>>, hashes array<struct<hash:long,rest:long,near:boolean>>"
     return rows.mapInArrow(parse, schema)
 
 
 def templates(rows: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(``host``, ``hash``) of the subtrees that recur. Pages with the same article are one page here."""
+    """(``host``, ``hash``) of the subtrees that recur. Pages with the same rest beside a subtree are one page here."""
     pages = rows.groupBy("host", "main").agg(F.first("content").alias("_")).groupBy("host").agg(F.count("*").alias("pages"))
-    seen = rows.select("host", "main", F.explode("hashes").alias("hash")).groupBy("host", "hash", "main").agg(F.count("*").alias("_"))
+    seen = rows.select("host", F.inline("hashes")).where("rest IS NOT NULL").groupBy("host", "hash", "rest").agg(F.count("*").alias("_"))
     counted = seen.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    return counted.join(pages, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "hash")
+    return counted.join(pages, "host").where(F.col("n") >= F.least(least_share * F.col("pages"), F.lit(MANY_PAGES))).select("host", "hash")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """One row per page: key, url, ``text``, ``n_chars``."""
     rows = parsed(pages, key, url, page)
     narrow = rows.select("host", "content", "main", "hashes")
-    once = narrow.select("content", "host", F.explode("hashes").alias("hash")).distinct()
+    once = narrow.select("content", "host", F.inline("hashes")).where("near").select("content", "host", "hash").distinct()
     hits = once.join(templates(narrow, least_pages, least_share), ["host", "hash"]).groupBy("content").agg(F.collect_set("hash").alias("deleted"))  # a page's elements at most
     plain = F.filter("blocks", lambda b: ~b["boiler"])
     rows = rows.select("key", "url", "content", plain.alias("blocks"), F.exists("blocks", lambda b: b["main"]).alias("marked")).join(hits, "content", "left")

@@ -299,3 +299,18 @@ def test_items_that_repeat_themselves_are_found(spark):
     found = {(r["doc_id"], r["item_id"]): r["coverage"] for r in D.contaminated(docs, items).collect()}
     assert found == {(1, 1): 1.0, (2, 2): 1.0}
     assert {r["doc_id"] for r in D.decontaminated(docs, items).collect()} == {3, 4}
+
+
+def texts_of(spark, pages):
+    rows = [(i, "http://h.example/", page) for i, page in enumerate(pages)]
+    return [r["text"] for r in G.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("more", ["", "<p>A second paragraph of the same article.</p>"])
+def test_copies_that_differ_in_date_and_links_keep_their_text(spark, more):
+    body = "<body><div>Dated {0}</div><div class=x><h1>The title</h1><p>The copied article with its longest paragraph.</p>" + more + "</div><div><a href=x>A related page that has a very long title, number {0}</a></div>"
+    other = "<body><div>Dated {0}</div><div class=x><h1>Page {0}</h1><p>Something else that only page {0} has to say.</p></div>"
+    found = texts_of(spark, [body.format(i) for i in range(6)] + [other.format(i) for i in range(6, 12)])
+    assert all("The title\nThe copied article with its longest paragraph." in t for t in found[:6])
+    assert not more or all("A second paragraph" in t for t in found[:6])
+    assert all(f"only page {i} has" in found[i] for i in range(6, 12))
