@@ -1,7 +1,7 @@
 """Main text of web pages by removing what a site repeats.
 
 Every page is parsed once into blocks of text. A block knows the hashes of the structural elements around it, taken over
-their whole subtrees (tags, classes, words). Spark counts, per host, beside how many
+their whole subtrees (tags, classes, words), inside a marked article too. Spark counts, per host, beside how many
 different rests of pages a subtree occurs, and deletes from each page the subtrees that recur. Of what is left, blocks of
 elements that say what they are (menus, footers, forms, adverts, comments, by tag, role or class) go as well, and if the page
 marks its article, the blocks outside it.
@@ -164,7 +164,7 @@ def blocks_of(page: str | None) -> tuple[list[tuple[str, list[int], bool, bool,
             or marks.get("aria-hidden") == "true"
             or "display:none" in marks.get("style", "").replace(" ", "")
         )
-        hashed = name in HASHED and not (main and name in CONTENT)
+        hashed = name in HASHED
         stack.append(_Element(name, boiler, main, hashed, _chain(b"", f"{name} {marks.get('class', '')}".encode("utf-8", "replace"))))
     flush()
     while stack:

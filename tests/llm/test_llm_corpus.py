@@ -306,6 +306,13 @@ def texts_of(spark, pages):
     return [r["text"] for r in G.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
 
 
+def test_recurring_paragraphs_of_marked_articles_go(spark):
+    share = "<p>Share this with friends</p><ul><li><a href=x>More</a></ul>"
+    page = "<body><article><h1>News {0}</h1><p>A text number {0} with its own words.</p><p>More of text {0} follows here.</p>" + share + "</article>"
+    found = texts_of(spark, [page.format(i) for i in range(8)])
+    assert found == [f"News {i}\nA text number {i} with its own words.\nMore of text {i} follows here." for i in range(8)]
+
+
 @pytest.mark.parametrize("more", ["", "<p>A second paragraph of the same article.</p>"])
 def test_copies_that_differ_in_date_and_links_keep_their_text(spark, more):
     body = "<body><div>Dated {0}</div><div class=x><h1>The title</h1><p>The copied article with its longest paragraph.</p>" + more + "</div><div><a href=x>A related page that has a very long title, number {0}</a></div>"
