@@ -5,9 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from casemill.llm import decontamination, ngram_join, pages, pieces, quality_classifier, quality_rules, sharding, token_counts, token_files, toxicity
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from casemill.llm import (
+    decontamination,
+    impact_search,
+    negative_mining,
+    ngram_join,
+    pages,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    search_sql,
+    segment_search,
+    sharding,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +71,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return negative_mining.mine(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_ngram_join, op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files, op10_decontamination]
+    found = [op1_ngram_join, op2_pieces, op3_toxicity, op4_quality_rules, op5_quality_classifier, op6_sharding, op7_token_counts, op8_main_text, op9_token_files, op10_decontamination, op11_ranked_documents, op12_top_k, op13_hard_negatives]
     return {query.__name__: query for query in found}
 
 
 def llm_checks() -> dict[str, str]:
-    return {}
+    return {"op11_ranked_documents": search_sql.LEXICAL, "op12_top_k": search_sql.NEAREST, "op13_hard_negatives": search_sql.NEGATIVES}
