@@ -137,9 +137,15 @@ def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame
     return profiles.join(plans.withColumn("das_plans", slim), profile_key, "left")
 
 
-def draw_associated(stays: DataFrame, id_col: str, positions: DataFrame, hot: DataFrame, n_das: int, seed: int) -> DataFrame:
-    """Add ``DAS`` (displays) and ``DAS_CODE`` in draw order; ``das_plans`` is consumed."""
-    slots = slotted(salted(positions.select("pool", "DAS", "shown", "lo", "hi", "g_lo", "g_hi", "step"), hot))
+SLOT_COLUMNS = ["pool", "DAS", "shown", "lo", "hi", "g_lo", "g_hi", "step"]
+
+
+def draw_associated(
+    stays: DataFrame, id_col: str, positions: DataFrame, hot: DataFrame, n_das: int, seed: int, slots: DataFrame | None = None
+) -> DataFrame:
+    """Add ``DAS`` (displays) and ``DAS_CODE`` in draw order; ``das_plans`` is consumed. ``slots``: those of ``positions`` in
+    buckets, which no pick shuffles; without them they are cut here, and shuffled by each pick."""
+    slots = slotted(salted(positions.select(*SLOT_COLUMNS), hot)) if slots is None else slots
     out = stays.withColumn("das_wanted", uniform_int(uniform(seed, "das_count", id_col), 0, n_das))
     for pick in range(1, n_das + 1):
         plan = F.get("das_plans", F.lit(pick - 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.functions.uniform import position_below
-from casemill.operators.positions import POSITION_COLUMNS, find, int_weight, lay_out, pool_totals, slotted, spread
+from casemill.operators.positions import POSITION_COLUMNS, bucketed_line, find, int_weight, lay_out, pool_totals, slotted, spread
 
 TABLE_SPREAD_DIGITS = 3
 
@@ -36,22 +36,22 @@ def draw_rows(
     salt: str = "profile",
     empty_message: str = "no row with a positive weight to draw from",
 ) -> DataFrame:
-    """Weighted draw with replacement: one row of ``positions`` per id. The table's total is read as a
-    scalar subquery; an empty table raises when the query runs."""
-    whole = positions.where("lo = 0").agg(F.max("total").alias("total"), F.max("step").alias("step"))
-    total = F.coalesce(whole.select("total").scalar(), F.raise_error(F.lit(empty_message)).cast("bigint"))
-    draws = ids.withColumns({"draw_total": total, "draw_step": whole.select("step").scalar()})
-    take = [c for c in positions.columns if c not in ("grp", "w", *POSITION_COLUMNS)]
-    position = position_below(F.col("draw_total"), seed, salt, id_col)
-    drawn = find(draws, slotted(positions), {}, position, F.col("draw_step"), {c: c for c in take}, id_col, large=True)
-    return drawn.drop("draw_total", "draw_step")
+    """Weighted draw with replacement: one row of ``positions`` per id, which are written, or already cut into slots
+    (``bucketed_line``). The table's total is read first; an empty table raises when the query runs."""
+    whole = positions.where("lo = 0").select("total", "step").first()
+    total, step = (F.lit(x).cast("bigint") for x in whole or (None, None))
+    if whole is None:
+        total = F.raise_error(F.lit(empty_message)).cast("bigint")
+    take = [c for c in positions.columns if c not in ("grp", "w", "slot", *POSITION_COLUMNS)]
+    slots = positions if "slot" in positions.columns else slotted(positions)
+    return find(ids, slots, {}, position_below(total, seed, salt, id_col), step, {c: c for c in take}, id_col, large=True)
 
 
 def draw_with_replacement(
     table: DataFrame, weight: str | None, identity: list[str], ids: DataFrame, id_col: str, seed: int, salt: str = "profile"
 ) -> DataFrame:
     positions = table_positions(sum_duplicates(table, weight, identity), identity)
-    return draw_rows(ids, id_col, positions, seed, salt)
+    return draw_rows(ids, id_col, bucketed_line(positions, "table-positions"), seed, salt)
 
 
 def draw_per_group(

@@ -14,12 +14,14 @@ stretch of the line: a pool has about as many slots as items, so each position m
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from casemill.functions.uniform import as_column, key_hash
+from casemill.sources.scratch import written_in_buckets
 
 #: Bits of a table's total mass on the integer line.
 MASS_BITS = 61
+WHOLE = ("byte", "short", "integer", "long")
 MIN_SLOTS = 64
 HOT_SHARE = 1024
 SALTED_SLOTS = 256
@@ -27,12 +29,22 @@ SALTED_SLOTS = 256
 
 def mass_scale(df: DataFrame, name: str) -> Column:
     """A power of two that brings the sum of the finite positive weights of ``df`` just below 2**MASS_BITS. The sum is
-    bounded from the numbers of weights between powers of two, added in their order, so it is the same on every run."""
+    bounded from the numbers of weights between powers of two, added in their order, so it is the same on every run. The
+    column is read once, before the query that uses the scale: without a shuffle for whole numbers, which have 64 powers,
+    otherwise by a count of at most 2 100 groups. The query then holds a number, not the rows' lineage once more."""
     weight = F.col(name).cast("double")
-    bins = df.where((weight > 0) & (weight < float("inf"))).groupBy(F.floor(F.log2(weight)).cast("int").alias("e")).agg(F.count(F.lit(1)).alias("n"))
-    some = F.sort_array(F.collect_list(F.struct("e", "n")))  # one entry per power of two that occurs
-    bound = F.aggregate(some, F.lit(0.0), lambda total, bin_: total + bin_["n"] * F.pow(F.lit(2.0), bin_["e"] + 1))
-    return bins.agg(F.pow(F.lit(2.0), F.lit(MASS_BITS) - F.ceil(F.log2(bound))).alias("scale")).scalar()
+    power = F.floor(F.log2(weight)).cast("int")
+    rows = df.select(name).where((weight > 0) & (weight < float("inf")))
+    if df.schema[name].dataType.typeName() in WHOLE:
+        seen = Observation()
+        rows.observe(seen, *[F.count_if(power == e).alias(str(e)) for e in range(64)]).write.format("noop").mode("overwrite").save()
+        bins = [(e, seen.get[str(e)]) for e in range(64)]
+    else:
+        bins = sorted((row["e"], row["n"]) for row in rows.groupBy(power.alias("e")).agg(F.count(F.lit(1)).alias("n")).collect())
+    bound = 0.0
+    for e, n in bins:
+        bound += n * 2.0 ** (e + 1)
+    return F.pow(F.lit(2.0), F.lit(MASS_BITS) - F.ceil(F.log2(F.lit(bound))))
 
 
 def int_weight(df: DataFrame, name: str) -> Column:
@@ -41,7 +53,7 @@ def int_weight(df: DataFrame, name: str) -> Column:
     fits are taken as they are. Null, NaN, infinite and negative weights are zero."""
     kind = df.schema[name].dataType.typeName()
     weight, scale = F.col(name).cast("double"), F.coalesce(mass_scale(df, name), F.lit(1.0))
-    whole = kind in ("byte", "short", "integer", "long")
+    whole = kind in WHOLE
     scaled = F.greatest(F.floor(weight * (F.least(scale, F.lit(1.0)) if whole else scale)).cast("bigint"), F.lit(1).cast("bigint"))
     if whole:
         scaled = F.when(scale >= 1, F.col(name).cast("bigint")).otherwise(scaled)
@@ -175,6 +187,20 @@ def slotted(rows: DataFrame) -> DataFrame:
     return rows
 
 
+PLACE = ["pool", "slot", "salt"]
+
+
+def bucketed_slots(positions: DataFrame, hot: DataFrame, purpose: str) -> DataFrame:
+    """The slots of all pools, written in buckets by the columns a lookup joins on: no pick shuffles them again."""
+    slots = slotted(salted(positions, hot)).withColumn("salt", F.col("salt").cast("bigint")).drop("salts")
+    return written_in_buckets(slots, purpose, PLACE)
+
+
+def bucketed_line(positions: DataFrame, purpose: str) -> DataFrame:
+    """``bucketed_slots`` of a whole table that is one pool."""
+    return written_in_buckets(slotted(positions), purpose, ["slot"])
+
+
 def find(
     draws: DataFrame,
     pool_rows: DataFrame,

@@ -6,16 +6,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill import fixed_values as V
 from casemill.functions.text import parent_code
+from casemill.functions.uniform import position_below
 from casemill.operators.codesets import diagnosis_type, with_sets
 from casemill.operators.conditional import draw_some, pooled_rows, profile_pool, shared_columns, wanted_count
 from casemill.operators.lookups import with_label
-from casemill.operators.positions import int_weight, lay_out, pool_totals, salted
+from casemill.operators.positions import bucketed_slots, find, int_weight, lay_out, pool_totals, salted
+from casemill.operators.requests import EDGES, answers, asked, request
+from casemill.sources.scratch import written
 
 BY_DIAGNOSIS = ["icd_primary_code", "cage2", "sexe"]
 BY_GROUP = ["drg_parent_code", "cage2", "sexe"]
 BY_PROCEDURE = ["drg_parent_code", "icd_primary_code", "cage2", "sexe"]
 TREATMENT_FIELDS = ["histological_type", "TNM", "stage", "biomarkers", "treatment_recommandation", "chemotherapy_regimen"]
 POOLS = ["chronic", "nodes", "distant", "any_metastasis", "acute", "procedure", "treatment"]
+#: What a drawn code or procedure comes with.
+ITEM = ["code", "text", "is_cancer", "sets"]
 
 
 def typed_secondary(secondary: DataFrame, members: DataFrame) -> DataFrame:
@@ -93,6 +98,14 @@ def treatment_positions(treatment: DataFrame) -> DataFrame:
     return _laid(rows, fields, None, nomenclature=False)
 
 
+def code_slots(secondary: DataFrame, procedures: DataFrame, hot: DataFrame) -> DataFrame:
+    """Secondary diagnoses and procedures as one table of slots, for requests of either kind; pools of the two never share a key."""
+    edges = ["pool", "lo", "hi", "step", *EDGES]
+    codes = secondary.select(*edges, F.col("icd_secondary_code").alias("code"), F.col("line").alias("text"), "is_cancer", F.lit(None).cast("array<string>").alias("sets"))
+    acts = procedures.select(*edges, F.col("procedure").alias("code"), F.col("text_procedure").alias("text"), F.lit(None).cast("boolean").alias("is_cancer"), F.col("procedure_sets").alias("sets"))
+    return bucketed_slots(codes.unionByName(acts), hot, "code-slots")
+
+
 def with_pool_keys(profiles: DataFrame, is_cancer: Column) -> DataFrame:
     """Add ``asked``, one text for all pools of a profile, and ``pairs`` of kind and pool key."""
     by_dp, by_drg = shared_columns(BY_DIAGNOSIS, profiles), shared_columns(BY_GROUP, profiles)
@@ -111,11 +124,13 @@ def with_pool_keys(profiles: DataFrame, is_cancer: Column) -> DataFrame:
     return profiles.withColumns({"asked": asked, "pairs": F.array(*pairs)})
 
 
-def family_totals(*families: DataFrame) -> DataFrame:
-    totals = pool_totals(families[0], ["pool"])
-    for family in families[1:]:
+def family_totals(secondary: DataFrame, *others: DataFrame) -> DataFrame:
+    """Facts of all pools; ``some_cancer``: the pool holds a cancer code."""
+    totals = pool_totals(secondary, ["pool"])
+    for family in others:
         totals = totals.unionByName(pool_totals(family, ["pool"]))
-    return totals
+    cancer = secondary.where("is_cancer").select("pool").distinct().withColumn("some_cancer", F.lit(True))
+    return totals.join(cancer, "pool", "left").withColumn("some_cancer", F.coalesce("some_cancer", F.lit(False)))
 
 
 def asked_pools(profiles: DataFrame) -> DataFrame:
@@ -128,7 +143,7 @@ def attach_pools(profiles: DataFrame, totals: DataFrame, hot: DataFrame) -> Data
     """Add ``pools``: for each kind the pool key with its mass, rows, slot width and salts, null where
     empty. Profiles that ask for the same pools are looked up once."""
     wanted = profiles.select("asked", "pairs").distinct().select("asked", F.inline("pairs")).where("pool is not null")
-    facts = F.struct("pool", "total", "copies", "step", "salts")
+    facts = F.struct("pool", "total", "copies", "step", "salts", "some_cancer")
     found = wanted.join(salted(totals, hot), "pool").groupBy("asked").agg(
         F.struct(*[F.max(F.when(F.col("kind") == kind, facts)).alias(kind) for kind in POOLS]).alias("pools")
     )
@@ -163,18 +178,23 @@ def draw_treatment(stays: DataFrame, id_col: str, treatments: DataFrame, hot: Da
     ).drop(*[f"treatment_{name}_1" for name in take])
 
 
-def draw_procedure(stays: DataFrame, id_col: str, procedures: DataFrame, hot: DataFrame, seed: int) -> DataFrame:
+def draw_procedure(stays: DataFrame, id_col: str, slots: DataFrame, seed: int) -> DataFrame:
     """One procedure; empty texts where the profile has none."""
     facts = _facts("procedure")
-    take = {"code": "procedure", "label": "text_procedure", "sets": "procedure_sets"}
-    out = draw_some(stays, id_col, procedures, facts["pool"], facts, F.lit(1), 1, take, "procedure", seed, large=True, hot=hot)
-    return out.withColumns(
+    at = position_below(facts["total"], seed, "procedure_1", id_col)
+    take = {"drawn_code": "code", "drawn_text": "text", "drawn_sets": "sets"}
+    out = find(stays, slots, {"pool": facts["pool"]}, at, facts["step"], take, id_col, large=True, salts=facts["salts"])
+    return _with_procedure(out, F.col("drawn_code"), F.col("drawn_text"), F.col("drawn_sets")).drop(*take)
+
+
+def _with_procedure(stays: DataFrame, code: Column, text: Column, sets: Column) -> DataFrame:
+    return stays.withColumns(
         {
-            "procedure": F.coalesce("procedure_code_1", F.lit("")),
-            "text_procedure": F.coalesce("procedure_label_1", F.lit("")),
-            "procedure_sets": F.coalesce("procedure_sets_1", F.array().cast("array<string>")),
+            "procedure": F.coalesce(code, F.lit("")),
+            "text_procedure": F.coalesce(text, F.lit("")),
+            "procedure_sets": F.coalesce(sets, F.array().cast("array<string>")),
         }
-    ).drop("procedure_code_1", "procedure_label_1", "procedure_sets_1")
+    )
 
 
 def preset_secondary(stays: DataFrame) -> DataFrame:
@@ -183,46 +203,67 @@ def preset_secondary(stays: DataFrame) -> DataFrame:
     return stays.withColumns({"icd_secondary_code": own["codes"], "text_secondary_icd_official": F.array_join(own["lines"], "")})
 
 
-def draw_secondary(stays: DataFrame, id_col: str, secondary: DataFrame, hot: DataFrame, seed: int) -> DataFrame:
-    """Add ``icd_secondary_code`` and ``text_secondary_icd_official``: the profile's own codes, then chronic
-    diagnoses of distinct chapters, metastases of cancer stays, acute complications.
+def _staged() -> Column:
+    return F.coalesce(F.col("score_TNM"), F.lit("")) != ""
+
+
+def _says(pattern: str) -> Column:
+    return _staged() & F.col("score_TNM").rlike(pattern)
+
+
+def secondary_requests(id_col: str, seed: int) -> list[Column]:
+    """Chronic diagnoses of distinct chapters, metastases, acute complications. Whether a stay that may draw a cancer code is a
+    cancer stay is known with the answers only: its metastases are asked for along with the rest."""
+    chronic, acute = _facts("chronic"), _facts("acute")
+    n_chronic = wanted_count(seed, "chronic", id_col, chronic["copies"])
+    may_be_cancer = F.col("primary_is_cancer") | F.col("preset")["any_cancer"] | ((n_chronic >= 1) & chronic["some_cancer"])
+    spread = F.when(_staged(), _facts("distant")).otherwise(_facts("any_metastasis"))
+    has_spread = may_be_cancer & (~_staged() | _says("M[123x+]"))
+    return [
+        request("chronic", chronic, n_chronic, by_group=True),
+        request("nodes", _facts("nodes"), F.when(may_be_cancer & _says("N[123x+]"), 1)),
+        request("metastasis", spread, F.when(has_spread, wanted_count(seed, "metastases", id_col, spread["copies"]))),
+        request("acute", acute, wanted_count(seed, "acute", id_col, acute["copies"])),
+    ]
+
+
+def answered(stays: DataFrame, id_col: str, slots: DataFrame, requests: list[Column], picks: int, seed: int) -> DataFrame:
+    """The stays, written, with the ``answers`` of their requests. Requests and answers both read the stays, so these are worked out once."""
+    stays = written(stays, "asking-stays")
+    found = answers(asked(stays, id_col, requests), id_col, slots, picks, ITEM, seed)
+    return stays.join(found.hint("merge"), id_col, "left")
 
-    A stay is a cancer stay by its main diagnosis, or as soon as one of its codes so far is a cancer code.
+
+def _items(stage: str) -> Column:
+    none = F.array().cast("array<struct<code:string,text:string,is_cancer:boolean,sets:array<string>>>")
+    return F.coalesce(F.try_element_at("answers", F.lit(stage)), none)
+
+
+def with_secondary(stays: DataFrame) -> DataFrame:
+    """``icd_secondary_code`` and ``text_secondary_icd_official`` from the answers to ``secondary_requests``: the
+    profile's own codes, then chronic diagnoses of distinct chapters, metastases of cancer stays, acute complications.
+
+    A stay is a cancer stay by its main diagnosis, or as soon as one of its codes so far is a cancer code; the metastases of other stays are let go.
     Needs ``primary_is_cancer``, ``preset`` (the profile's own lines) and ``score_TNM``.
     """
-    take = {"code": "icd_secondary_code", "line": "line"}
-    chronic = _facts("chronic")
-    wanted = wanted_count(seed, "chronic", id_col, chronic["copies"])
-    out = draw_some(
-        stays, id_col, secondary, chronic["pool"], chronic, wanted, 2, {**take, "cancer": "is_cancer"}, "chronic", seed, distinct_groups=True, large=True, hot=hot
-    )
-    drawn_cancer = F.coalesce("chronic_cancer_1", F.lit(False)) | F.coalesce("chronic_cancer_2", F.lit(False))
-    out = out.withColumn("cancer_stay", F.col("primary_is_cancer") | F.col("preset")["any_cancer"] | drawn_cancer)
-
-    staged = F.coalesce(F.col("score_TNM"), F.lit("")) != ""
-    with_nodes = F.col("cancer_stay") & staged & F.col("score_TNM").rlike("N[123x+]")
-    spread = F.col("cancer_stay") & (~staged | F.col("score_TNM").rlike("M[123x+]"))
-    nodes = _facts("nodes")
-    out = draw_some(out, id_col, secondary, nodes["pool"], nodes, F.when(with_nodes, 1), 1, take, "nodes", seed, large=True, hot=hot)
-    out = out.withColumn("metastases", F.when(spread, F.when(staged, _facts("distant")).otherwise(_facts("any_metastasis"))))
-    metastases = F.col("metastases")
-    wanted = wanted_count(seed, "metastases", id_col, metastases["copies"])
-    out = draw_some(out, id_col, secondary, metastases["pool"], metastases, wanted, 2, take, "metastasis", seed, large=True, hot=hot)
-
-    acute = _facts("acute")
-    wanted = wanted_count(seed, "acute", id_col, acute["copies"])
-    out = draw_some(out, id_col, secondary, acute["pool"], acute, wanted, 2, take, "acute", seed, large=True, hot=hot)
-
-    stages = [("chronic", 2), ("nodes", 1), ("metastasis", 2), ("acute", 2)]
-
-    def drawn(name: str) -> Column:
-        return F.array_compact(F.array(*[F.col(f"{stage}_{name}_{j}") for stage, n in stages for j in range(1, n + 1)]))
-
-    lines = F.concat(F.col("preset")["lines"], drawn("line"))
-    parts = [f"{stage}_{name}_{j}" for stage, n in stages for name in take for j in range(1, n + 1)]
+    drawn_cancer = F.exists(_items("chronic"), lambda x: F.coalesce(x["is_cancer"], F.lit(False)))
+    out = stays.withColumn("cancer_stay", F.col("primary_is_cancer") | F.col("preset")["any_cancer"] | drawn_cancer)
+    spread = [F.when(F.col("cancer_stay"), _items(stage)).otherwise(F.filter(_items(stage), lambda x: F.lit(False))) for stage in ("nodes", "metastasis")]
+    out = out.withColumn("drawn", F.concat(_items("chronic"), *spread, _items("acute")))
+    lines = F.concat(F.col("preset")["lines"], F.transform("drawn", lambda x: x["text"]))
     return out.withColumns(
-        {
-            "icd_secondary_code": F.concat(F.col("preset")["codes"], drawn("code")),
-            "text_secondary_icd_official": F.array_join(lines, ""),
-        }
-    ).drop("cancer_stay", "metastases", "chronic_cancer_1", "chronic_cancer_2", *parts)
+        {"icd_secondary_code": F.concat(F.col("preset")["codes"], F.transform("drawn", lambda x: x["code"])), "text_secondary_icd_official": F.array_join(lines, "")}
+    ).drop("cancer_stay", "drawn")
+
+
+def draw_secondary(stays: DataFrame, id_col: str, slots: DataFrame, seed: int) -> DataFrame:
+    """``with_secondary`` of the answers drawn from ``slots`` (``code_slots``)."""
+    return with_secondary(answered(stays, id_col, slots, secondary_requests(id_col, seed), 2, seed)).drop("answers")
+
+
+def draw_codes(stays: DataFrame, id_col: str, slots: DataFrame, seed: int) -> DataFrame:
+    """``draw_secondary`` and ``draw_procedure`` with the same two lookups for all picks."""
+    act = request("procedure", _facts("procedure"), F.lit(1))
+    out = with_secondary(answered(stays, id_col, slots, [*secondary_requests(id_col, seed), act], 2, seed))
+    act = F.get(_items("procedure"), F.lit(0))
+    return _with_procedure(out, act["code"], act["text"], act["sets"]).drop("answers")

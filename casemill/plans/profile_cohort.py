@@ -18,15 +18,16 @@ from casemill.operators.people import (
     people_positions,
     stay_dates,
 )
-from casemill.operators.positions import hot_pools
+from casemill.operators.positions import bucketed_line, hot_pools
 from casemill.operators.secondary import (
     asked_pools,
     attach_pools,
+    code_slots,
+    draw_codes,
     draw_procedure,
-    draw_secondary,
-    preset_secondary,
     draw_treatment,
     family_totals,
+    preset_secondary,
     procedure_positions,
     secondary_line,
     secondary_positions,
@@ -160,7 +161,8 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
     hot = written(hot_pools(asked_pools(keyed), totals), "hot-pools")
     profiles = attach_pools(with_pool_keys(profiles, F.col("primary_is_cancer")), totals, hot)
     profiles = with_preset(profiles, "profile_key", members, labels).drop("profile_key")
-    return {**families, "hot": hot, "profiles": written(profiles, "case-profiles")}
+    slots = code_slots(families["secondary"], families["procedures"], hot)
+    return {**families, "hot": hot, "code_slots": slots, "profiles": bucketed_line(profiles, "case-profiles")}
 
 
 def with_administration(stays: DataFrame, id_col: str, people: DataFrame, years: list[int], seed: int) -> DataFrame:
@@ -188,9 +190,11 @@ def draw_prepared(
     years = years or [reference_year - 2, reference_year - 1, reference_year]
     stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile to draw from")
     stays = draw_treatment(stays, id_col, prepared["treatments"], prepared["hot"], seed)
-    stays = draw_secondary(stays, id_col, prepared["secondary"], prepared["hot"], seed) if add_secondary else preset_secondary(stays)
-    stays = draw_procedure(stays, id_col, prepared["procedures"], prepared["hot"], seed).drop("pools", "preset")
-    stays = with_administration(stays, id_col, prepared["people"], years, seed)
+    if add_secondary:
+        stays = draw_codes(stays, id_col, prepared["code_slots"], seed)
+    else:
+        stays = draw_procedure(preset_secondary(stays), id_col, prepared["code_slots"], seed)
+    stays = with_administration(stays.drop("pools", "preset"), id_col, prepared["people"], years, seed)
     stays = with_care_management(stays, id_col, seed)
     return stays.withColumn("generation_id", generation_id(seed, id_col)).select(id_col, *COLUMNS)
 

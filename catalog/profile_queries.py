@@ -83,12 +83,12 @@ def treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secondary.draw_secondary(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["secondary"], hot(spark, sf_dir), SEED)
+    out = secondary.draw_secondary(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["code_slots"], SEED)
     return out.select("stay_id", F.array_join("icd_secondary_code", ",").alias("icd_secondary_code"), "text_secondary_icd_official")
 
 
 def procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secondary.draw_procedure(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["procedures"], hot(spark, sf_dir), SEED)
+    out = secondary.draw_procedure(stays(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["code_slots"], SEED)
     return out.select("stay_id", "procedure", "text_procedure")
 
 
@@ -107,7 +107,7 @@ def people_of_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def care(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = secondary.draw_procedure(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["procedures"], hot(spark, sf_dir), SEED)
+    out = secondary.draw_procedure(treated(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["code_slots"], SEED)
     return with_care_management(out, "stay_id", SEED).select("stay_id", "situa", "coding_rule", "template_name")
 
 

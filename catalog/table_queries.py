@@ -80,7 +80,8 @@ def procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def associated(spark: SparkSession, sf_dir: str) -> DataFrame:
     stays = drawn_profiles(spark, sf_dir).select("stay_id", "das_plans")
-    drawn = draw_associated(stays, "stay_id", prepared(spark, sf_dir)["das"], prepared(spark, sf_dir)["hot"], 3, SEED)
+    ready = prepared(spark, sf_dir)
+    drawn = draw_associated(stays, "stay_id", ready["das"], ready["hot"], 3, SEED, ready["das_slots"])
     return drawn.select("stay_id", joined("DAS").alias("das"), joined("DAS_CODE", ",").alias("das_codes"))
 
 
