@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.functions.uniform import position_below, uniform, uniform_int
 from casemill.operators.positions import find, no_spans, salted, skip_taken, slotted, span, taken_length
+from casemill.sources.scratch import written
 
 ANY = "*"
 
@@ -32,22 +33,38 @@ def profile_pool(kind: Column | str, columns: list[str]) -> Column:
     return F.concat_ws("|", kind, *[F.coalesce(F.col(c).cast("string"), F.lit(ANY)) for c in columns])
 
 
-def pooled_rows(rows: DataFrame, kinds: Column, columns: list[str], profiles: DataFrame) -> DataFrame:
-    """Each row once per kind and per set of open columns in use, with its pool key. A row with a missing
+def masks_in_use(columns: list[str], profiles: DataFrame) -> list[int]:
+    """The sets of open columns that profiles have, at most 2**len(columns) numbers; fewer open columns first."""
+    found = profiles.agg(F.collect_set(open_mask(columns)).alias("masks")).first()["masks"]
+    return sorted(found, key=lambda mask: (mask.bit_count(), mask))
+
+
+def pool_lattice(rows: DataFrame, columns: list[str], item: list[str], masks: list[int]) -> dict[int, DataFrame]:
+    """For each mask the number of ``rows`` per item and value of the columns that it leaves closed. A mask is added up
+    from the mask in use that opens most of its columns, not from the rows again, so no level has more rows than the
+    level it comes from. Levels that others are added up from are the same exchange in the plan, which runs once."""
+    levels = {0: rows.groupBy(*columns, *item).agg(F.sum("rows").alias("rows"))}
+    for mask in masks:
+        if mask:
+            finer = max((known for known in levels if known & mask == known), key=lambda known: (known.bit_count(), known))
+            closed = [name for i, name in enumerate(columns) if not mask >> i & 1]
+            levels[mask] = levels[finer].groupBy(*closed, *item).agg(F.sum("rows").alias("rows"))
+    return {mask: levels[mask] for mask in masks}
+
+
+def pooled_rows(rows: DataFrame, kinds: Column, columns: list[str], profiles: DataFrame, item: list[str]) -> DataFrame:
+    """(``pool``, ``item``, ``rows``): each item once per kind and per set of open columns in use. A row with a missing
     value in a compared column agrees with no profile there."""
-    keys = []
-    for mask in range(1 << len(columns)):
-        parts = [F.lit(ANY) if mask >> i & 1 else F.col(c).cast("string") for i, c in enumerate(columns)]
-        tail = [piece for part in parts for piece in (F.lit("|"), part)]
-        keys.append(F.struct(F.lit(mask).alias("mask"), F.concat(F.col("kind"), *tail).alias("pool")))
-    in_use = profiles.agg(F.collect_set(open_mask(columns)).alias("masks"))  # at most 2**len(columns) numbers
-    used = F.filter(F.array(*keys), lambda key: F.array_contains(F.col("masks_in_use"), key["mask"]))
-    return (
-        rows.withColumns({"kind": F.explode(kinds), "masks_in_use": in_use.scalar()})
-        .select("*", F.inline(used))
-        .where("pool is not null")
-        .drop("mask", "kind", "masks_in_use")
-    )
+    masks = masks_in_use(columns, profiles)
+    rows = written(rows.withColumn("kind", F.explode(kinds)).select(*columns, "kind", *item, "rows"), "pooled-rows")
+    lattice = pool_lattice(rows, columns, ["kind", *item], masks)
+    every = None
+    for mask, level in lattice.items():
+        parts = [F.lit(ANY) if mask >> i & 1 else F.col(name).cast("string") for i, name in enumerate(columns)]
+        pool = F.concat("kind", *[piece for part in parts for piece in (F.lit("|"), part)])
+        named = level.select(pool.alias("pool"), *item, "rows").where("pool is not null")
+        every = named if every is None else every.unionByName(named)
+    return every if every is not None else rows.select(F.lit("").alias("pool"), *item, "rows").limit(0)
 
 
 def wanted_count(seed: int, salt: str, id_col: str, copies: Column, max_nb: int = 2) -> Column:
@@ -73,14 +90,16 @@ def draw_some(
 ) -> DataFrame:
     """Draw up to ``wanted`` (at most ``picks``) rows of a pool without replacement.
 
-    ``facts`` is the struct (total, step) of the stay's pool, with its salts where ``hot`` lists hot pools. With ``distinct_groups`` each pick also
+    ``facts`` is the struct (total, step) of the stay's pool, with its salts where ``hot`` lists hot pools or ``positions`` are
+    salted slots already (``bucketed_slots``). With ``distinct_groups`` each pick also
     closes its group, so every row comes from another one. Adds ``{salt}_{name}_{pick}`` for each name
     in ``take``.
     """
     bounds = {"lo": "g_lo", "hi": "g_hi"} if distinct_groups else {"lo": "lo", "unit": "unit"}
-    rows = positions.select(*dict.fromkeys(["pool", "lo", "hi", "step", *bounds.values(), *take.values()]))
-    slots = slotted(rows if hot is None else salted(rows, hot))
-    salts = None if hot is None else facts["salts"]
+    cut = "slot" in positions.columns
+    rows = positions.select(*dict.fromkeys(["pool", "lo", "hi", "step", *(["slot", "salt"] if cut else []), *bounds.values(), *take.values()]))
+    slots = rows if cut else slotted(rows if hot is None else salted(rows, hot))
+    salts = facts["salts"] if cut or hot is not None else None
     out = stays.withColumn(f"{salt}_taken", no_spans())
     for pick in range(1, picks + 1):
         taken = F.col(f"{salt}_taken")

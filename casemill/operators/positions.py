@@ -201,6 +201,11 @@ def bucketed_line(positions: DataFrame, purpose: str) -> DataFrame:
     return written_in_buckets(slotted(positions), purpose, ["slot"])
 
 
+def uncut(slots: DataFrame) -> DataFrame:
+    """The positions that ``slots`` were cut from, each once."""
+    return slots.where(F.col("slot") == F.call_function("div", "lo", "step")).drop("slot")
+
+
 def find(
     draws: DataFrame,
     pool_rows: DataFrame,

@@ -53,9 +53,9 @@ def _counted(rows: DataFrame, columns: list[str], weight: str | None) -> DataFra
     return rows.withColumn("unit", unit).groupBy(*columns, "unit").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _laid(rows: DataFrame, item: list[str], group: Column | None, nomenclature: bool = True) -> DataFrame:
+def _laid(rows: DataFrame, item: list[str], group: Column | None, nomenclature: bool = True, distinct: bool = True) -> DataFrame:
     mass = (F.col("rows") * F.col("unit")).cast("bigint")
-    return lay_out(rows, ["pool"], [*item, "unit"], mass, group, F.col("rows"), nomenclature=nomenclature)
+    return lay_out(rows, ["pool"], [*item, "unit"], mass, group, F.col("rows"), distinct=distinct, nomenclature=nomenclature).drop("rows")
 
 
 def secondary_positions(
@@ -66,9 +66,9 @@ def secondary_positions(
     by_dp, by_drg = shared_columns(BY_DIAGNOSIS, secondary, profiles), shared_columns(BY_GROUP, secondary, profiles)
     columns = list(dict.fromkeys([*by_dp, *by_drg, "icd_secondary_code"]))
     rows = typed_secondary(_counted(secondary.dropna(subset=["icd_secondary_code"]), columns, weight), members)
-    part = ["pool", "icd_secondary_code", "unit", "rows"]
-    of_dp = pooled_rows(rows.where("type <> 'Acute'"), pool_kinds(F.col("type")), by_dp, profiles).select(part)
-    of_drg = pooled_rows(rows.where("type = 'Acute'"), F.array(F.lit("acute")), by_drg, profiles).select(part)
+    item = ["icd_secondary_code", "unit"]
+    of_dp = pooled_rows(rows.where("type <> 'Acute'"), pool_kinds(F.col("type")), by_dp, profiles, item)
+    of_drg = pooled_rows(rows.where("type = 'Acute'"), F.array(F.lit("acute")), by_drg, profiles, item)
     chapter = parent_code("icd_secondary_code", 1)
     laid = _laid(of_dp.unionByName(of_drg), ["icd_secondary_code"], chapter, nomenclature=weight is None)
     laid = with_sets(laid, "icd_secondary_code", members, "das_sets")
@@ -85,7 +85,7 @@ def secondary_line(label: str, code: str) -> Column:
 def procedure_positions(procedures: DataFrame, profiles: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
     columns = shared_columns(BY_PROCEDURE, procedures, profiles)
     rows = _counted(procedures.dropna(subset=["procedure"]), [*columns, "procedure"], None)
-    pools = pooled_rows(rows, F.array(F.lit("procedure")), columns, profiles)
+    pools = pooled_rows(rows, F.array(F.lit("procedure")), columns, profiles, ["procedure", "unit"])
     laid = _laid(pools, ["procedure"], F.substring("procedure", 1, 2))
     laid = with_sets(laid, "procedure", members, "procedure_sets")
     return with_label(laid, "procedure", labels, "text_procedure", default="")
@@ -95,7 +95,7 @@ def treatment_positions(treatment: DataFrame) -> DataFrame:
     fields = shared_columns(TREATMENT_FIELDS, treatment)
     rows = _counted(treatment.dropna(subset=["icd_parent_code"]), ["icd_parent_code", *fields], None)
     rows = rows.withColumn("pool", F.concat(F.lit("treatment|"), F.col("icd_parent_code")))
-    return _laid(rows, fields, None, nomenclature=False)
+    return _laid(rows, fields, None, nomenclature=False, distinct=False)
 
 
 def code_slots(secondary: DataFrame, procedures: DataFrame, hot: DataFrame) -> DataFrame:

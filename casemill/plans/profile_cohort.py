@@ -18,7 +18,7 @@ from casemill.operators.people import (
     people_positions,
     stay_dates,
 )
-from casemill.operators.positions import bucketed_line, hot_pools
+from casemill.operators.positions import bucketed_line, hot_pools, uncut
 from casemill.operators.secondary import (
     asked_pools,
     attach_pools,
@@ -139,7 +139,7 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
     source = typed_profiles(data["profiles"])
     identity = [c for c in source.columns if c != "nb"]
     profiles = sum_duplicates(source, "nb", identity).withColumn("profile_key", profile_key(identity))
-    laid = with_sets(table_positions(profiles, ["profile_key"]), "icd_primary_code", members, "primary_sets")
+    laid = written(with_sets(table_positions(profiles, ["profile_key"]), "icd_primary_code", members, "primary_sets"), "profile-positions")
     profiles = laid.withColumn("icd_parent_code", F.coalesce(parent_code("icd_primary_code"), F.lit("")))
     profiles = with_group_facts(profiles, data)
     profiles = with_sets(profiles, "case_management_type", members, "mdp_sets")
@@ -162,7 +162,8 @@ def prepare(data: dict[str, DataFrame], weight: str | None = None) -> dict[str,
     profiles = attach_pools(with_pool_keys(profiles, F.col("primary_is_cancer")), totals, hot)
     profiles = with_preset(profiles, "profile_key", members, labels).drop("profile_key")
     slots = code_slots(families["secondary"], families["procedures"], hot)
-    return {**families, "hot": hot, "code_slots": slots, "profiles": bucketed_line(profiles, "case-profiles")}
+    line = bucketed_line(profiles, "case-profiles")
+    return {**families, "hot": hot, "members": members, "code_slots": slots, "profiles": uncut(line), "profile_slots": line}
 
 
 def with_administration(stays: DataFrame, id_col: str, people: DataFrame, years: list[int], seed: int) -> DataFrame:
@@ -188,7 +189,7 @@ def draw_prepared(
     """One stay per row of ``ids``. Stays begin in one of ``years``, or in the reference year or the two before it.
     Without ``add_secondary`` a stay has its profile's own secondary codes only."""
     years = years or [reference_year - 2, reference_year - 1, reference_year]
-    stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile to draw from")
+    stays = draw_rows(ids, id_col, prepared["profile_slots"], seed, empty_message="no profile to draw from")
     stays = draw_treatment(stays, id_col, prepared["treatments"], prepared["hot"], seed)
     if add_secondary:
         stays = draw_codes(stays, id_col, prepared["code_slots"], seed)

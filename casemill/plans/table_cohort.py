@@ -9,7 +9,7 @@ from casemill.functions.uniform import generation_id, uniform
 from casemill.operators.associated import SLOT_COLUMNS, asked_pools, attach_das_plans, das_positions, draw_associated
 from casemill.operators.draws import draw_rows, sum_duplicates, table_positions
 from casemill.operators.lookups import active_labels, group_root_labels, with_label
-from casemill.operators.positions import bucketed_line, bucketed_slots, hot_pools, pool_totals
+from casemill.operators.positions import bucketed_line, bucketed_slots, hot_pools, pool_totals, uncut
 from casemill.operators.procedures import attach_procedure_pools, drawn_procedures
 from casemill.operators.stay_length import triangular_days, triangular_parameters
 from casemill.sources.scratch import written
@@ -44,7 +44,8 @@ def prepare(tables: dict[str, DataFrame], n_das: int = 3, ghm5_pattern: str | No
     profiles = with_label(profiles, "GHM5", group_root_labels(tables["rghm"]), "ghm5_label")
     profiles = with_label(profiles, "DP", codes, "dp_label").drop("profile_key", "ccam_level")
     slots = bucketed_slots(das.select(*SLOT_COLUMNS), hot, "das-slots")
-    return {"das": das, "hot": hot, "das_slots": slots, "profiles": bucketed_line(profiles, "profiles"), "n_das": n_das}
+    line = bucketed_line(profiles, "profiles")
+    return {"das": das, "hot": hot, "das_slots": slots, "profiles": uncut(line), "profile_slots": line, "n_das": n_das}
 
 
 def draw_prepared(
@@ -54,7 +55,7 @@ def draw_prepared(
     most what the tables were prepared for."""
     if n_das > prepared["n_das"]:
         raise ValueError(f"prepared for {prepared['n_das']} associated diagnoses, {n_das} asked for")
-    stays = draw_rows(ids, id_col, prepared["profiles"], seed, empty_message="no profile matches the request")
+    stays = draw_rows(ids, id_col, prepared["profile_slots"], seed, empty_message="no profile matches the request")
     stays = draw_associated(stays, id_col, prepared["das"], prepared["hot"], n_das, seed, prepared["das_slots"])
     return stays.select(
         id_col,

@@ -12,6 +12,7 @@ from casemill.operators.associated import attach_das_plans, layered_rows
 from casemill.operators.draws import sum_duplicates
 from casemill.plans import profile_cohort, prompts, table_cohort
 from casemill.sources.registry import conform
+from casemill.sources.scratch import written
 from casemill.standins import view
 from catalog import profile_queries as cases, table_queries as tabled
 from catalog.sql import SEED
@@ -239,32 +240,34 @@ def draw_counts(*at) -> DataFrame:
 def acute_draw(stays: DataFrame, laid: DataFrame) -> DataFrame:
     facts = F.col("pools.acute")
     wanted = conditional.wanted_count(SEED, "acute", "stay_id", facts["copies"])
-    out = conditional.draw_some(stays, "stay_id", laid, facts["pool"], facts, wanted, 2, {"code": "icd_secondary_code"}, "acute", SEED)
+    out = conditional.draw_some(stays, "stay_id", laid, facts["pool"], facts, wanted, 2, {"code": "code"}, "acute", SEED, large=True)
     return out.select("stay_id", F.col("acute_code_1").alias("first_code"), F.col("acute_code_2").alias("second_code"))
 
 
 def draw_conditional_uniform(*at) -> DataFrame:
-    return acute_draw(cases.stays(*at), cases.prepared(*at)["secondary"])
+    return acute_draw(cases.stays(*at), cases.prepared(*at)["code_slots"])
 
 
 def draw_conditional_weighted(*at) -> DataFrame:
     """As above, with rows weighing their count."""
-    profiles = cases.case_profiles(*at)
-    rows = view(*at, "case_secondary")
-    laid = secondary.secondary_positions(rows, profiles, members(*at), lookups.one_label(view(*at, "icd_official"), "icd_code", "icd_code_description"), "nb")
-    totals = positions.pool_totals(laid, ["pool"])
-    stays = cases.stays(*at).drop("pools").withColumn("acute_pool", conditional.profile_pool("acute", secondary.BY_GROUP))
-    stays = stays.join(totals.withColumnRenamed("pool", "acute_pool"), "acute_pool", "left")
-    found = F.struct(F.struct(F.col("acute_pool").alias("pool"), "total", "copies", "step").alias("acute"))
-    return acute_draw(stays.withColumn("pools", F.when(F.col("total").isNotNull(), found)), laid)
+    ready = cases.prepared(*at)
+    labels = lookups.one_label(view(*at, "icd_official"), "icd_code", "icd_code_description")
+    laid = secondary.secondary_positions(view(*at, "case_secondary"), cases.case_profiles(*at), ready["members"], labels, "nb")
+    laid = written(laid.withColumnRenamed("icd_secondary_code", "code"), "weighted-positions")
+    totals = positions.salted(positions.pool_totals(laid, ["pool"]), ready["hot"])
+    slots = positions.bucketed_slots(laid.select("pool", "code", "lo", "hi", "unit", "step"), ready["hot"], "weighted-slots")
+    stays = cases.stays(*at).select("stay_id", conditional.profile_pool("acute", secondary.BY_GROUP).alias("pool"))
+    stays = stays.join(totals, "pool", "left")
+    found = F.struct(F.struct("pool", "total", "copies", "step", "salts").alias("acute"))
+    return acute_draw(stays.select("stay_id", F.when(F.col("total").isNotNull(), found).alias("pools")), slots)
 
 
 def draw_distinct_chapters(*at) -> DataFrame:
     facts = F.col("pools.chronic")
     wanted = conditional.wanted_count(SEED, "chronic", "stay_id", facts["copies"])
     out = conditional.draw_some(
-        cases.stays(*at), "stay_id", cases.prepared(*at)["secondary"], facts["pool"], facts, wanted, 2,
-        {"code": "icd_secondary_code"}, "chronic", SEED, distinct_groups=True,
+        cases.stays(*at), "stay_id", cases.prepared(*at)["code_slots"], facts["pool"], facts, wanted, 2,
+        {"code": "code"}, "chronic", SEED, distinct_groups=True, large=True,
     )
     return out.select("stay_id", F.col("chronic_code_1").alias("first_code"), F.col("chronic_code_2").alias("second_code"))
 

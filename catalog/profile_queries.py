@@ -55,7 +55,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return draw_rows(stay_ids(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["profiles"], SEED)
+    return draw_rows(stay_ids(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["profile_slots"], SEED)
 
 
 def drawn_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

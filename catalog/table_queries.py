@@ -70,7 +70,7 @@ def per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drawn_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return draw_rows(stay_ids(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["profiles"], SEED)
+    return draw_rows(stay_ids(spark, sf_dir), "stay_id", prepared(spark, sf_dir)["profile_slots"], SEED)
 
 
 def procedures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -275,3 +275,67 @@ def test_draw_per_group_stays_in_its_group(spark):
     assert len(drawn) == N and {r["k"] for r in drawn if r["g"] == "y"} == {"c"} and {r["k"] for r in drawn if r["g"] is None} == {None}
     counts = Counter(r["k"] for r in drawn if r["g"] == "x")
     close(counts, {"a": 0.25, "b": 0.75}, sum(counts.values()))
+
+
+def test_requests_give_what_single_draws_give(spark):
+    from casemill.operators.positions import bucketed_slots, salted
+    from casemill.operators.requests import answers, asked, request
+
+    weights = {"a1": 1, "a2": 2, "b1": 3, "c1": 4}
+    rows = spark.createDataFrame([(p, code, unit) for p in "pq" for code, unit in weights.items()], "pool string, code string, unit bigint")
+    laid = lay_out(rows, ["pool"], ["code", "unit"], F.col("unit"), F.substring("code", 1, 1), nomenclature=True)
+    hot = spark.createDataFrame([("p", 5)], "pool string, salts int")
+    slots = bucketed_slots(laid, hot, "test-slots")
+    facts = {r["pool"]: r for r in salted(pool_totals(laid, ["pool"]), hot).collect()}
+
+    def struct(pool):
+        found = facts[pool]
+        return F.struct(F.lit(pool).alias("pool"), *[F.lit(found[n]).cast("bigint").alias(n) for n in ("total", "step", "salts")])
+
+    stays = stay_ids(spark, 500).withColumns({"one": struct("p"), "other": struct("q")})
+    wanted = (F.col("stay_id") % 4).cast("int")  # none, one, two, and one more than there are picks
+    table = asked(stays, "stay_id", [request("pick", F.col("one"), wanted, by_group=True), request("also", F.col("other"), F.when(F.col("stay_id") % 3 == 0, 2))])
+    got = {r["stay_id"]: {k: [x["code"] for x in v] for k, v in r["answers"].items()} for r in answers(table, "stay_id", slots, 2, ["code"], 5).collect()}
+    for salt, pool, facts_of, want, groups in (("pick", "p", "one", wanted, True), ("also", "q", "other", F.when(F.col("stay_id") % 3 == 0, F.lit(2)), False)):
+        single = draw_some(stays, "stay_id", laid, F.lit(pool), F.col(facts_of), want, 2, {"code": "code"}, salt, 5, distinct_groups=groups).collect()
+        for row in single:
+            items = [c for c in (row[f"{salt}_code_1"], row[f"{salt}_code_2"]) if c is not None]
+            assert got.get(row["stay_id"], {}).get(salt, []) == items
+
+
+def test_lookups_of_buckets_shuffle_no_positions(spark, sf):
+    from catalog import profile_queries as cases, table_queries as tabled
+
+    drawn = tabled.associated(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert drawn.count("SelectedBucketsCount") >= 3 and drawn.count("Exchange hashpartitioning") == drawn.count("SortMergeJoin")
+    cohort = cases.cohort_rows(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert cohort.count("SortMergeJoin") <= 4 and cohort.count("SelectedBucketsCount") == 2
+
+
+def test_lattice_adds_up_from_the_nearest_finer_level(spark):
+    from casemill.operators.conditional import masks_in_use, pool_lattice, pooled_rows
+
+    rows = [(a, b, c, i, 1 + (a or 0)) for a in (1, 2, None) for b in "xy" for c in (7, 8) for i in ("k", "l")]
+    frame = spark.createDataFrame(rows, "a int, b string, c int, item string, rows bigint")
+    profiles = spark.createDataFrame([(1, "x", 7), (None, "x", 7), (None, None, 7), (None, None, None), (1, None, 7)], "a int, b string, c int")
+    masks = masks_in_use(["a", "b", "c"], profiles)
+    assert masks == [0, 1, 2, 3, 7]
+    levels = {mask: level.count() for mask, level in pool_lattice(frame, ["a", "b", "c"], ["item"], masks).items()}
+    assert levels == {0: 24, 1: 8, 2: 12, 3: 4, 7: 2}
+    got = {(r["pool"], r["item"]): r["rows"] for r in pooled_rows(frame, F.array(F.lit("m")), ["a", "b", "c"], profiles, ["item"]).collect()}
+    want = Counter()
+    for a, b, c, item, n in rows:
+        for mask in masks:
+            key = ["*" if mask >> i & 1 else v for i, v in enumerate((a, b, c))]
+            if None not in key:
+                want["|".join(map(str, ["m", *key])), item] += n
+    assert got == dict(want)
+
+
+def test_scale_of_weights_is_read_without_a_shuffle(spark):
+    from casemill.operators.positions import int_weight
+
+    table = spark.createDataFrame([("a", 2**62), ("b", 3), ("c", None), ("d", -4)], "k string, w bigint").repartition(4)
+    plan = table.select(int_weight(table, "w").alias("m"))._jdf.queryExecution().executedPlan().toString()
+    assert "ubquery" not in plan and plan.count("Exchange") == 1
+    assert {r["k"]: r["m"] for r in table.select("k", int_weight(table, "w").alias("m")).collect()} == {"a": 2**60, "b": 1, "c": 0, "d": 0}
