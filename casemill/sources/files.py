@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from casemill import fixed_values as V
 
 LATIN1 = "ISO-8859-1"
+BROKEN, FROM_FILE = "broken_record", "from_file"
 
 
 def opened(path: str, read: Callable[[str], DataFrame]) -> DataFrame:
@@ -29,6 +30,26 @@ def csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True, sch
     return opened(path, (reader.schema(schema) if schema else reader).csv)
 
 
+def csv_with_broken(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """All columns of a CSV as text, with ``broken_record`` (the line, where it has too few or too many fields) and ``from_file``."""
+    names = csv(spark, path, sep, encoding=encoding).columns
+    schema = ", ".join(f"`{name}` string" for name in [*names, BROKEN])
+    reader = spark.read.schema(schema).option("sep", sep).option("header", True).option("encoding", encoding)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN)
+    return opened(path, reader.csv).withColumn(FROM_FILE, F.col("_metadata.file_path"))
+
+
+def inferred_schema(rows: DataFrame, most: int = 10_000) -> str:
+    """A schema for text columns from the first ``most`` rows: whole numbers if all values are, else numbers if all are,
+    else text; so is a column without values."""
+    names = [name for name in rows.columns if name not in (BROKEN, FROM_FILE)]
+    tests = {"bigint": r"^[+-]?[0-9]{1,18}$", "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"}
+    checks = [F.bool_and(F.col(f"`{name}`").rlike(test)).alias(f"{kind}_{i}") for i, name in enumerate(names) for kind, test in tests.items()]
+    found = rows.limit(most).agg(*checks).first()
+    kind = lambda i: next((kind for kind in tests if found[f"{kind}_{i}"]), "string")
+    return ", ".join(f"`{name}` {kind(i)}" for i, name in enumerate(names))
+
+
 def parquet(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:
     """Parquet with columns renamed; names that are absent are left alone."""
     return opened(path, spark.read.parquet).withColumnsRenamed(names or {})

@@ -17,9 +17,11 @@ REQUIRED_COLUMNS = {
 }
 
 
-def ingest(spark: SparkSession, folder: str, target: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+def ingest(spark: SparkSession, folder: str, target: str, tables: list[str] | None = None, rescue: bool = False) -> dict[str, DataFrame]:
     """Convert the semicolon latin-1 CSV files of the table cohort to Parquet, each once: a table that is
-    already there whole is kept, one that was left half-written is written again. All missing files are reported together."""
+    already there whole is kept, one that was left half-written is written again. All missing files are reported together.
+    A value that does not fit its column ends the ingest; with ``rescue`` the table gets the rows that are whole, and the
+    others are kept beside it (``broken_rows``)."""
     names = tables or list(V.TABLE_FILES)
     done, missing = {}, []
     for name in names:
@@ -27,18 +29,51 @@ def ingest(spark: SparkSession, folder: str, target: str, tables: list[str] | No
         if files.finished(spark, path):
             done[name] = files.parquet(spark, path)
             continue
+        source = f"{folder}/{V.TABLE_FILES[name]}"
         try:
-            rows = files.csv(spark, f"{folder}/{V.TABLE_FILES[name]}", ";", encoding=files.LATIN1)
+            rows = (files.csv_with_broken if rescue else files.csv)(spark, source, ";", encoding=files.LATIN1)
         except FileNotFoundError:
             missing.append(V.TABLE_FILES[name])
             continue
-        by_name(rows, V.TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(path)
+        if rescue:
+            whole, broken = rescued(rows, V.TABLE_SCHEMAS[name])
+            broken.write.mode("overwrite").parquet(f"{target}/_broken_{name}.parquet")
+            whole.write.mode("overwrite").parquet(path)
+        else:
+            by_name(rows, V.TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(path)
         done[name] = files.parquet(spark, path)
     if missing:
         raise FileNotFoundError(f"missing in {folder}: {', '.join(missing)}")
     return done
 
 
+def rescued(rows: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``files.csv_with_broken`` as those that fit ``schema``, in it, and the others: ``from_file``, ``record`` (the line, or its
+    fields as CSV) and ``reasons``: ``fields`` for a wrong number of fields, or the columns whose value does not fit."""
+    fields = [f for f in StructType.fromDDL(schema).fields if f.name in rows.columns]
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in fields}
+    unfit = [F.when(F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(), F.lit(f.name)) for f in fields]
+    count = F.when(F.col(files.BROKEN).isNotNull(), F.array(F.lit("fields")))
+    reasons = F.coalesce(count, F.array_compact(F.array(*unfit)))
+    plain = [F.col(f"`{c}`") for c in rows.columns if c not in (files.BROKEN, files.FROM_FILE)]
+    judged = rows.withColumn("reasons", reasons)
+    whole = conform(judged.where(F.size("reasons") == 0).withColumns(typed), StructType.fromDDL(schema))
+    record = F.coalesce(files.BROKEN, F.to_csv(F.struct(*plain)))
+    return whole, judged.where(F.size("reasons") > 0).select(files.FROM_FILE, record.alias("record"), "reasons")
+
+
+def broken_rows(spark: SparkSession, target: str, tables: list[str] | None = None) -> DataFrame:
+    """Rows that ``ingest`` with ``rescue`` left out, by table, file and reason: ``name, from_file, reason, n_rows``."""
+    every = None
+    for name in tables or list(V.TABLE_FILES):
+        path = f"{target}/_broken_{name}.parquet"
+        if files.finished(spark, path):
+            counts = files.parquet(spark, path).select(files.FROM_FILE, F.explode("reasons").alias("reason")).groupBy(files.FROM_FILE, "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+            counts = counts.select(F.lit(name).alias("name"), files.FROM_FILE, "reason", "n_rows")
+            every = counts if every is None else every.unionByName(counts)
+    return every if every is not None else spark.createDataFrame([], "name string, from_file string, reason string, n_rows bigint")
+
+
 def by_name(rows: DataFrame, schema: str) -> DataFrame:
     """The columns of ``schema``, found by name and cast; an absent one is a typed null."""
     return conform(rows, StructType.fromDDL(schema))

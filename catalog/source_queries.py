@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill import fixed_values as V
 from casemill.plans import prompts, reports
-from casemill.sources import files, registry
+from casemill.sources import files, registry, report_sink
 from casemill.sources.scratch import new_folder
 from casemill.standins import view
 from catalog import profile_queries as cases, table_queries as tabled
@@ -217,10 +217,51 @@ def sink_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.agg(F.sum("n").alias("n_rows"), F.max((F.col("n") > 1000).cast("int")).alias("too_long"))
 
 
+def sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written as two batches, one of them twice, and read back: each id is there once."""
+    folder = f"{new_folder(spark, 'batches')}/reports"
+    made = generated(spark, sf_dir).withColumn("half", F.when(F.col("generation_id") < "8", "low").otherwise("high"))
+    for half in ("low", "high", "low"):
+        report_sink.write_batch(made.where(F.col("half") == half).drop("half"), folder, half)
+    rows = report_sink.read_batches(spark, folder, reports.REPORT_SCHEMA)
+    return rows.select("generation_id", "report", "batch")
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of CSV for each part: some have a word for a number, some a field too few or too many."""
+    key = F.col("p_partkey").cast("string")
+    price = F.when(F.col("p_partkey") % 7 == 0, F.lit("cher")).otherwise(F.col("p_retailprice").cast("double").cast("string"))
+    line = F.concat_ws(";", key, "p_brand", price)
+    line = F.when(F.col("p_partkey") % 11 == 0, F.concat_ws(";", key, "p_brand")).when(F.col("p_partkey") % 13 == 0, F.concat(line, F.lit(";1"))).otherwise(line)
+    return view(spark, sf_dir, "part").select(line.alias("value"))
+
+
+def source_rescued_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts from a damaged file: typed where they fit, with the line and the reason where they do not."""
+    path = f"{new_folder(spark, 'damaged')}/parts.csv"
+    lines = damaged_lines(spark, sf_dir).withColumnRenamed("value", "part;brand;price")
+    lines.write.option("sep", "|").option("quote", "").option("header", True).csv(path)  # whole lines under a header
+    whole, broken = registry.rescued(files.csv_with_broken(spark, path, ";"), "part bigint, brand string, price double")
+    broken = broken.select(F.col("record").alias("line"), F.array_join("reasons", ",").alias("reason"))
+    return whole.withColumns({"line": F.lit(None).cast("string"), "reason": F.lit("")}).unionByName(broken, allowMissingColumns=True)
+
+
+def source_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items read under the schema that their first 10 000 rows give."""
+    path = f"{new_folder(spark, 'items')}/items.csv"
+    columns = ["l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").cast("double").alias("l_quantity"), F.lit(None).cast("string").alias("nothing")]
+    write_csv(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*columns), path)
+    text = files.csv(spark, path, ";")
+    schema = files.inferred_schema(text)
+    rows = registry.by_name(text, schema)
+    kinds = ",".join(f"{name}:{kind}" for name, kind in rows.dtypes)
+    return rows.groupBy("l_returnflag", F.lit(kinds).alias("kinds")).agg(F.sum("l_orderkey").alias("keys"), F.sum(2 * F.col("l_quantity")).cast("bigint").alias("quantity"), F.count("nothing").alias("filled"))
+
+
 def source_queries() -> dict:
     named = [
         source_csv_ingest, source_table_views, source_code_lists, source_complete_rows, source_one_column, source_decimal_comma,
         source_parquet_renamed, source_latest_file, source_tolerant_rename, source_registry, source_dictionary, source_rule_file,
-        source_templates, build_messages, generate_reports, sink_reports,
+        source_templates, build_messages, generate_reports, sink_reports, sink_batches, source_rescued_rows, source_inferred_schema,
     ]
     return {run.__name__: run for run in named}

@@ -91,4 +91,22 @@ def source_checks() -> dict[str, str]:
             f"SELECT generation_id, scenario, 'stub ' || length('{quoted}') || ' ' || length(scenario) AS report, 'stub' AS model FROM texts"
         ),
         "sink_reports": "SELECT count(*) AS n_rows, 0 AS too_long FROM orders",
+        "sink_batches": texts(
+            f"""SELECT generation_id, 'stub ' || length('{quoted}') || ' ' || length(scenario) AS report,
+            CASE WHEN generation_id < '8' THEN 'low' ELSE 'high' END AS batch FROM texts"""
+        ),
+        "source_rescued_rows": """
+            WITH lines AS (
+                SELECT p_partkey, p_brand, CAST(p_retailprice AS DOUBLE) AS p, CASE WHEN p_partkey % 7 = 0 THEN 'cher' ELSE CAST(CAST(p_retailprice AS DOUBLE) AS VARCHAR) END AS price,
+                    CASE WHEN p_partkey % 11 = 0 OR p_partkey % 13 = 0 THEN 'fields' WHEN p_partkey % 7 = 0 THEN 'price' ELSE '' END AS reason
+                FROM part
+            )
+            SELECT CASE WHEN reason = '' THEN p_partkey END AS part, CASE WHEN reason = '' THEN p_brand END AS brand, CASE WHEN reason = '' THEN p END AS price,
+                CASE WHEN reason = 'price' THEN concat_ws(',', p_partkey, p_brand, price) WHEN p_partkey % 11 = 0 THEN concat_ws(';', p_partkey, p_brand)
+                    WHEN reason = 'fields' THEN concat_ws(';', p_partkey, p_brand, price, '1') END AS line, reason
+            FROM lines""",
+        "source_inferred_schema": """
+            SELECT l_returnflag, 'l_orderkey:bigint,l_linenumber:bigint,l_returnflag:string,l_quantity:double,nothing:string' AS kinds,
+                CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(sum(2 * l_quantity) AS BIGINT) AS quantity, 0 AS filled
+            FROM lineitem GROUP BY 1""",
     }

@@ -148,3 +148,90 @@ def test_reports_run_in_several_tasks_see_the_row_and_resume(spark, tmp_path):
     write_reports(generate_reports(stays, told, "m", "sys", with_row=True, done=done), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("generation_id").count().where("count <> 1").isEmpty()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 40
+
+
+RETRIED = """
+import os, sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from casemill.plans.reports import REPORT_SCHEMA, generate_reports
+from casemill.sources.report_sink import read_batches, write_batch
+
+folder = {folder!r}
+spark = SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "3").getOrCreate()
+stays = spark.range(40).selectExpr("concat('g', id) AS generation_id", "concat('s', id) AS scenario")
+
+def once(messages, model):
+    name = messages[1]["content"]
+    if name in ("s7", "s23") and not os.path.exists(f"{{folder}}/fell-{{name}}"):
+        open(f"{{folder}}/fell-{{name}}", "w").close()
+        raise RuntimeError("the task ends here, once")
+    with open(f"{{folder}}/calls", "a") as out:
+        out.write(name + chr(10))
+    return "r" + name
+
+made = generate_reports(stays, once, "m", "sys", journal=f"{{folder}}/journal")
+write_batch(made, f"{{folder}}/out", "first", 7)
+rows = read_batches(spark, f"{{folder}}/out", REPORT_SCHEMA).collect()
+calls = open(f"{{folder}}/calls").read().split()
+assert sorted(calls) == sorted(f"s{{i}}" for i in range(40)), calls
+assert sorted(r["generation_id"] for r in rows) == sorted(f"g{{i}}" for i in range(40))
+assert all(r["report"] == "r" + r["scenario"] and r["batch"] == "first" for r in rows)
+print("held")
+"""
+
+
+def test_tasks_that_fail_call_once_and_leave_each_row_once(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = RETRIED.format(repo=str(Path(__file__).resolve().parent.parent), folder=str(tmp_path))
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    assert "held" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_failed_batch_shows_nothing_and_a_second_write_adds_nothing(spark, tmp_path):
+    from casemill.sources.report_sink import read_batches, write_batch
+
+    folder, schema = str(tmp_path / "out"), "id long"
+    assert read_batches(spark, folder, schema).collect() == []
+    with pytest.raises(Exception):
+        write_batch(spark.range(20).selectExpr("IF(id = 13, raise_error('no'), id) AS id"), folder, "a")
+    assert read_batches(spark, folder, schema).collect() == []
+    for batch in ("a", "b-1.x", "a"):
+        write_batch(spark.range(25).repartition(2), folder, batch, 10)
+    rows = read_batches(spark, folder, schema).collect()
+    assert sorted((r["batch"], r["id"]) for r in rows) == [(b, i) for b in ("a", "b-1.x") for i in range(25)]
+    assert len(list((tmp_path / "out" / "data").glob("*/*.parquet"))) == sum(1 for p in (tmp_path / "out" / "batches").iterdir() for _ in open(p) if p.suffix == ".json")
+    write_batch(spark.range(0), folder, "empty")
+    assert read_batches(spark, folder, schema).count() == 50
+    with pytest.raises(Exception, match="a batch needs a name"):
+        write_batch(spark.range(1), folder, "a/b")
+
+
+def test_a_journal_answers_the_same_question_only(spark, tmp_path):
+    stays = spark.range(6).selectExpr("concat('g', id) AS generation_id", "concat('s', id) AS scenario")
+    write = lambda text: generate_reports(stays, lambda m, n, text=text: text, "m", "sys", tasks=2, journal=str(tmp_path), journal_rows=2)
+    assert {r["report"] for r in write("one").collect()} == {"one"}
+    assert {r["report"] for r in write("two").collect()} == {"one"}  # every call's file is there
+    other = generate_reports(stays, lambda m, n: "three", "m", "other", tasks=2, journal=str(tmp_path), journal_rows=2)
+    assert {r["report"] for r in other.collect()} == {"three"}
+
+
+def test_ingest_with_rescue_keeps_broken_rows_apart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / V.TABLE_FILES["dms"]).write_text("GHM5;DMS_P25;DMS_P50;DMS_P75\nG1;1;2;3\nG2;x;2;y\nG3;1\nG4;1;;3\nG5;1;2;3;4\n", encoding="latin-1")
+    kept = registry.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["dms"], rescue=True)["dms"]
+    assert sorted(r["GHM5"] for r in kept.collect()) == ["G1", "G4"]
+    counts = registry.broken_rows(spark, str(tmp_path / "out")).collect()
+    assert sorted((r["name"], r["reason"], r["n_rows"]) for r in counts) == [("dms", "DMS_P25", 1), ("dms", "DMS_P75", 1), ("dms", "fields", 2)]
+    assert all(r["from_file"].endswith(V.TABLE_FILES["dms"]) for r in counts)
+    assert registry.broken_rows(spark, str(tmp_path / "in")).collect() == []
+
+
+def test_schema_of_the_first_rows(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c,d\n1,1.5,x,\n-2,3,7,\n3.5,4,5,\n")
+    text = files.csv(spark, str(tmp_path / "t.csv"))
+    assert files.inferred_schema(text, 2) == "`a` bigint, `b` double, `c` string, `d` string"
+    assert files.inferred_schema(text) == "`a` double, `b` double, `c` string, `d` string"
