@@ -1,25 +1,28 @@
 """Words and word windows of many texts at once, as numpy arrays.
 
 A word is a maximal run of bytes outside ``0x20`` and ``0x09-0x0D``, or outside another set that is asked for. Hashes have 64 bits and depend on the bytes alone,
-so every task, run and machine gives the same.
+so every task, run and machine gives the same. Words of one length up to eight bytes never share a hash; longer ones are
+taken in eights through a bijection that spreads every bit, and words over ``LONG`` bytes through BLAKE2b, so words that
+share a hash can only be found by chance, about one pair in 2**64.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text that are handled at once; a single longer text is still handled whole, its words in parts.
+#: Bytes of text that are handled at once; a single longer text is still handled whole.
 SLICE_BYTES = 8 << 20
-_PART = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of words that are hashed one by one.
+LONG = 64
 _draw = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _draw.integers(0, 2**64, 256, dtype=np.uint64)
-_FOLDED = _BYTE.copy()
-_FOLDED[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SIZE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = _draw.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 WHITE = np.zeros(256, bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
@@ -83,42 +86,25 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One number for each word; ``fold``: A-Z count as a-z."""
-        table = _FOLDED if self.fold else _BYTE
-        out = np.empty(len(self), np.uint64)
-        done = 0
-        while done < len(self):
-            base = self.starts[done]
-            upto = max(done + 1, int(np.searchsorted(self.ends, base + _PART, side="right")))
-            size = int(self.ends[upto - 1] - base)
-            up, down = _powers(size + 1)
-            sums = np.empty(size + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum(table[self.data[base : base + size]] * up[:size], out=sums[1:])
-            start, end = self.starts[done:upto] - base, self.ends[done:upto] - base
-            out[done:upto] = (sums[end] - sums[start]) * down[start] + _PLACE[0] * (end - start).astype(np.uint64)
-            done = upto
-        return mix(out)
+        data = _LOWER[self.data] if self.fold else self.data
+        size = self.ends - self.starts
+        out = mix(size.astype(np.uint64) * _SIZE)
+        eights = np.ndarray(len(data) + 1, np.uint64, np.append(data, np.zeros(8, np.uint8)).tobytes(), strides=(1,))
+        for done in range(0, min(LONG, int(size.max(initial=0))), 8):
+            more = slice(None) if not done and size.max() <= LONG else np.flatnonzero((size > done) & (size <= LONG))
+            left = np.minimum(size[more] - done, 8).astype(np.uint64)
+            part = eights[self.starts[more] + done] & (np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * left))
+            out[more] = mix(out[more] ^ part)
+        for at in np.flatnonzero(size > LONG):
+            word = data[self.starts[at] : self.ends[at]]
+            out[at] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return out
 
     def owners(self) -> np.ndarray:
         """The text each word is in."""
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-_kept: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_kept[0]) < size:
-        size = max(size, _PART + 65)
-        inverse = pow(int(_BASE), -1, 1 << 64)
-        for k, factor in enumerate((int(_BASE), inverse)):
-            steps = np.full(size, factor, np.uint64)
-            steps[0] = 1
-            _kept[k] = np.multiply.accumulate(steps)
-    return _kept[0], _kept[1]
-
-
 def windows(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every ``width`` adjacent words, and the bounds of each text's windows. A text with fewer words, but one
     at least, has a single window of all of them."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -125,3 +126,39 @@ def test_suffix_array_orders_all_suffixes():
     order = pieces.suffix_array(word, len(text), 64)
     suffixes = [bytes(room[i : i + 64].astype(np.uint8)) for i in order]
     assert suffixes == sorted(suffixes) and sorted(order.tolist()) == list(range(len(text)))
+
+
+def mirrored_words(size):
+    """A Thue-Morse word of two letters and its complement: the same hash under any polynomial modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    return ["".join("ab"[bit ^ turn] for bit in bits) for turn in (0, 1)]
+
+
+@pytest.mark.parametrize("size", [8, 16, 64, 72, 1024, 2048])
+def test_words_of_the_same_make_have_hashes_of_their_own(size):
+    found = Words(pa.array([" ".join(mirrored_words(size)), *mirrored_words(size)])).hashes()
+    assert found[0] == found[2] and found[1] == found[3] and found[0] != found[1]
+
+
+def test_hashes_depend_on_bytes_alone():
+    draw = random.Random(4)
+    words = sorted({"".join(draw.choice("aAbBéÉ0日") for _ in range(draw.randrange(1, 40))) for _ in range(3000)} | {"x" * n for n in range(1, 300)})
+    together = Words(pa.array([" ".join(words)])).hashes()
+    alone = Words(pa.array(words)).hashes()
+    assert (together == alone).all() and len(set(alone.tolist())) == len(words)
+    folded = Words(pa.array(words), fold=True).hashes()
+    lower = Words(pa.array([w.translate({c: c + 32 for c in range(65, 91)}) for w in words])).hashes()
+    assert (folded == lower).all()
+
+
+def test_token_files_of_words_of_the_same_make(spark):
+
+
+    path = P.path("word_bpe_49k.json")
+    texts = [*mirrored_words(1024), "plain words"]
+    library = Tokenizer.from_file(path)
+    want = [zlib.crc32(np.array([*library.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()) for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 8):
+        got = {r["doc_id"]: r["ids_crc32"] for r in token_files.token_files(rows.repartition(parts), path).collect()}
+        assert [got[i] for i in range(3)] == want
