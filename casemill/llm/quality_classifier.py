@@ -3,10 +3,11 @@
 A text is a bag of passages of 64 words. Each passage becomes a vector: means over its words of shares of character
 kinds, how often each hashed word shape occurs, the share of distinct words. A layer encodes it, gated attention weighs
 the passages, and the weighted mean is scored. Only document labels teach it, from a bounded sample outside the
-held-out part; gradients are written out below. Every document is scored on all its passages.
+held-out part: whole documents in the order of their keys' hashes, at most ``SAMPLE`` of them and as long as all their passages together
+are at most ``SAMPLE_PASSAGES``. Gradients are written out below. Every document is scored on all its passages.
 
-Null and empty texts are one passage of zeros. Repeated rows score alike. With no labelled rows, or labels of one class,
-every score is the smoothed share of good labels (a half without any). Other columns are not read.
+Null and empty texts are one passage of zeros. Very long texts are scored whole. Repeated rows score alike. With no labelled rows, or labels of one class,
+every score is the smoothed share of good labels (a half without any). An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,17 +17,19 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casemill.llm.sampling import held_out, training_rows
 from casemill.llm.shipping import ship
 from casemill.llm.words import slices
+from casemill.sources.scratch import written
 
 PASSAGE, SHAPES = 64, 256
-#: Most labelled documents that are learnt from, and most passages of each, evenly spread; scoring takes all.
-SAMPLE, SAMPLE_PASSAGES = 3000, 256
+#: Most labelled documents that are learnt from, and passages of all of them, 532 bytes each on the driver.
+SAMPLE, SAMPLE_PASSAGES = 3000, 150_000
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY = 24, 16, 8, 64, 0.005, 1e-4
-KEPT_WORDS = 250_000
+#: Words, and their characters, whose features a worker keeps.
+KEPT_WORDS, KEPT_CHARS = 250_000, 8 << 20
 TEXT_BYTES = 4 << 20
 _KINDS = 8
 FEATURES = _KINDS + 2 + SHAPES
@@ -42,7 +45,7 @@ def word_features(word: str) -> tuple[list[float], int]:
     digits = sum(map(str.isdigit, word))
     last = word[-1]
     kinds = [min(size, 40) / 10, letters / size, upper / size, digits / size, (size - letters - digits) / size, float(last in ".!?"), float(size == 1), float(last in ",;:")]
-    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return kinds, zlib.crc32(_RUNS.sub(r"\1", shape).encode()) % SHAPES
 
 
@@ -54,11 +57,12 @@ class Passages:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.chars = 0
         self.kinds, self.shape = np.zeros((0, _KINDS), np.float32), np.zeros(0, np.int32)
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """One row per passage of all texts, and how many each text has."""
-        if len(self.index) > KEPT_WORDS:
+        if len(self.index) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.forget()
         index = self.index
         split = [(t or "").split() for t in texts]
@@ -67,6 +71,7 @@ class Passages:
             found = [word_features(w) for w in new]
             for word in new:
                 index[word] = len(index)
+            self.chars += sum(map(len, new))
             self.kinds = np.concatenate((self.kinds, np.array([k for k, _ in found], np.float32)))
             self.shape = np.concatenate((self.shape, np.array([s for _, s in found], np.int32)))
         counts = np.fromiter(map(len, split), np.int64, len(split))
@@ -169,21 +174,21 @@ def fit(labels: np.ndarray, bags: list[np.ndarray], seed: int = 0) -> Attention:
 _passages = Passages()
 
 
-def _spread(rows: np.ndarray) -> np.ndarray:
-    return rows if len(rows) <= SAMPLE_PASSAGES else rows[np.linspace(0, len(rows) - 1, SAMPLE_PASSAGES).astype(int)]
-
-
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, key: str = "doc_id", text: str = "text") -> Attention:
-    """Passages are made on the executors; those of at most ``sample`` documents come to the driver."""
+    """Passages are made on the executors; those of at most ``sample`` documents, ``SAMPLE_PASSAGES`` in all, come to the driver."""
     ship(documents.sparkSession)
 
     def passages(batches):
         for rows in slices(batches, limit=TEXT_BYTES):
             made, counts = _passages.of(rows["text"].to_pylist())
-            each = [_spread(x).astype(np.float16).tobytes() for x in np.split(made, np.cumsum(counts)[:-1])]
-            yield pa.record_batch({"key": rows["key"].cast(pa.string()), "label": rows["label"], "bag": pa.array(each, pa.binary())})
-
-    rows = training_rows(documents, labels, label, sample, key, text).mapInArrow(passages, "key string, label int, bag binary").toArrow().sort_by("key")
+            each = [x.astype(np.float16).tobytes() for x in np.split(made, np.cumsum(counts)[:-1])]
+            yield pa.record_batch({"key": rows["key"].cast(pa.string()), "label": rows["label"], "size": pa.array(counts, pa.int64()), "bag": pa.array(each, pa.large_binary())})
+
+    rows = training_rows(documents, labels, label, sample, key, text).mapInArrow(passages, "key string, label int, size long, bag binary")
+    rows = written(rows, "training-passages")
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("key"), "key"))
+    taken = rows.select("key", "size").withColumn("upto", upto).where(F.col("upto") <= SAMPLE_PASSAGES).select("key")  # of ``sample`` rows
+    rows = rows.join(F.broadcast(taken), "key").toArrow().sort_by("key")
     bags = [np.frombuffer(b, np.float16).reshape(-1, FEATURES) for b in rows["bag"].to_pylist()]
     return fit(rows["label"].to_numpy(), bags)
 

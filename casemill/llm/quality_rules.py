@@ -5,10 +5,11 @@ labelled good documents that it would reject are counted. The cutoff may be used
 so few rejections, were the true rate ``risk / rules`` or more, is at most ``doubt`` divided by the number of tests in
 all strata (Bonferroni). Of the usable cutoffs the one with the most labelled bad documents caught, less three for every
 good one lost, is taken, the highest of equals. So with probability 1 - ``doubt`` the rules together reject at most the share ``risk`` of the good documents of
-every stratum. A stratum with too few labels to prove anything gets no cutoff, and keeps its documents.
+every stratum that pass the base rules. The bound needs labels that are independent: rows with the same text are one labelled
+document, good only if all of them are. A stratum with too few labels to prove anything gets no cutoff, and keeps its documents.
 
 Strata are bands of length in words. Only DataFrame functions run. Null and empty texts have no words and fail the base
-rules; labels that are null, or of documents that do not occur, are passed over; a document with several labels counts
+rules; very long texts are one row like others; labels that are null, or of documents that do not occur, are passed over; a document with several labels counts
 with the lowest; repeated documents are each judged. An empty table gives no rows, and without labels only the base
 rules decide. Other columns are not read.
 """
@@ -65,9 +66,10 @@ def repeated_words(words: Column, width: int = 5) -> Column:
     return let(hashes, lambda h: let(runs(h), lambda r: let(places(r), covered)))
 
 
-def signals(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: key, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_lines``, ``n_repeat_words``."""
-    return _signals(documents.select(documents[key].alias("_key"), documents[text].alias("text")), "_key").withColumnRenamed("_key", key)
+def signals(documents: DataFrame, key: str = "doc_id", text: str = "text", hashed: bool = False) -> DataFrame:
+    """One row per document: key, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_lines``, ``n_repeat_words``; with ``hashed`` also ``text_hash``."""
+    rows = _signals(documents.select(documents[key].alias("_key"), documents[text].alias("text")), "_key").withColumnRenamed("_key", key)
+    return rows if hashed else rows.drop("text_hash")
 
 
 def _signals(rows: DataFrame, carried: str) -> DataFrame:
@@ -86,6 +88,7 @@ def _signals(rows: DataFrame, carried: str) -> DataFrame:
         long(F.size("lines") - F.size(F.array_distinct("lines")), "n_dup_lines"),
         long(F.size("lines"), "n_lines"),
         long(repeated_words(F.col("words")), "n_repeat_words"),
+        F.md5(F.col("text").cast("binary")).alias("text_hash"),
     )
 
 
@@ -132,13 +135,14 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
 
 def cutoffs(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """(``stratum``, ``rule``, ``cutoff``) of the rules in use: at most one row per stratum and rule. ``rows`` has the
-    columns of ``rule_signals``; documents that fail the base rules take no part."""
+    columns of ``rule_signals``, with ``text_hash``; without it each key is one labelled document. Documents that fail the base rules take no part."""
     known = labels.select(labels[key].alias(key), labels[label].alias("label")).where("label IS NOT NULL").groupBy(key).agg(F.min("label").alias("label"))
     tests = [(rule, cutoff) for rule, grid in GRID.items() for cutoff in grid]
     good = F.col("label") == 1
+    each = rows.where(~base_failed()).join(known, key).groupBy("text_hash" if "text_hash" in rows.columns else key)
+    told = [F.first(name).alias(name) for name in ("stratum", *GRID)]  # the same for the same text
     counted = (
-        rows.where(~base_failed())
-        .join(known, key)
+        each.agg(F.min("label").alias("label"), *told)
         .groupBy("stratum")
         .agg(
             F.count_if(good).alias("n"),
@@ -162,7 +166,7 @@ def cutoffs(rows: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
 def judged(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """One row per document: key, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
     ``base_failed``, ``kept``, and the names of the rules it broke."""
-    rows = rule_signals(written(signals(documents, key, text), "quality-signals"))
+    rows = rule_signals(written(signals(documents, key, text, hashed=True), "quality-signals"))
     rows = _broken(rows, cutoffs(rows, labels, key, label, risk, doubt))
     return rows.select(
         key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), (~base_failed() & (F.size("broken") == 0)).alias("kept"), "broken"
@@ -180,7 +184,7 @@ def _broken(rows: DataFrame, chosen: DataFrame) -> DataFrame:
 def kept(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """The documents that no rule rejects, with all their columns. Their signals are worked out again rather than joined,
     so that no text is shuffled."""
-    chosen = written(cutoffs(rule_signals(written(signals(documents, key, text), "quality-signals")), labels, key, label, risk, doubt), "quality-cutoffs")
+    chosen = written(cutoffs(rule_signals(written(signals(documents, key, text, hashed=True), "quality-signals")), labels, key, label, risk, doubt), "quality-cutoffs")
     rows = _signals(documents.select(F.struct("*").alias("_row"), documents[text].alias("text")), "_row")
     rows = _broken(rule_signals(rows), chosen)
     return rows.where(~base_failed() & (F.size("broken") == 0)).select("_row.*")

@@ -128,3 +128,35 @@ def test_odd_rows_are_scored(spark, module):
         rows = module.scored(docs, module.train(docs, labels)).collect()
         assert len(rows) == 5 and all(0 <= r["score"] <= 1 and r["held_out"] is not None for r in rows)
     assert module.scored(docs.limit(0), module.train(docs.limit(0), none)).count() == 0
+
+
+def test_repeated_labelled_rows_prove_nothing(spark):
+    """One good text in thousands of labelled rows is one label; as many different texts are labels each."""
+    words = " ".join(f"word{i}" for i in range(60))
+    same = spark.range(4000).selectExpr("id AS doc_id", f"'{words}' AS text")
+    apart = spark.range(4000).selectExpr("id AS doc_id", f"concat('{words} ', id) AS text")
+    for docs, proven in ((same, False), (apart, True)):
+        labels = docs.selectExpr("doc_id", "1 AS quality").unionByName(spark.range(4000, 4400).selectExpr("id AS doc_id", "0 AS quality"))
+        bad = spark.range(4000, 4400).selectExpr("id AS doc_id", "concat(repeat('### $$$ %%% &&& ', 20), id, ' a b c d e f g h i j k l m n o p q r s t u v w x y z') AS text")
+        rows = R.rule_signals(R.signals(docs.unionByName(bad), hashed=True))
+        rows = rows.withColumn("n_repeat_words", F.lit(0))  # only the symbols tell them apart
+        assert bool(R.cutoffs(rows, labels).where("rule = 'symbol_share'").count()) == proven
+
+
+def test_long_words_count_whole_and_all_passages_teach(spark):
+    assert Q.word_features("a" * 64 + "#" * 9 + "0")[1] != Q.word_features("a" * 64)[1]
+    long_ = " ".join(f"w{i}" for i in range(40_000))
+    docs = spark.createDataFrame([(i, long_ if i % 2 else "short # text") for i in range(60)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")
+    seen = []
+    fit = Q.fit
+    try:
+        Q.fit = lambda labels, bags, seed=0: seen.extend(bags) or fit(labels, bags, seed)
+        Q.train(docs, labels)
+        assert {len(b) for b in seen} == {1, 625}
+        before, Q.SAMPLE_PASSAGES = Q.SAMPLE_PASSAGES, 2000
+        seen.clear()
+        Q.train(docs, labels)
+        assert 0 < sum(map(len, seen)) <= 2000
+    finally:
+        Q.fit, Q.SAMPLE_PASSAGES = fit, before
