@@ -18,8 +18,13 @@ that share a signature and are in different components, is compared in blocks: f
 merged where that leaves fewer pairs, dealt over tasks of two blocks of near size. No pair is left out, and none is
 written unless it links.
 
-Tokens are long, so a sketch goes first: how many tokens of the class fall in each of about n / 2 slots. Two classes
-share at most the sum of the lesser counts; only where that could be enough are the tokens themselves compared.
+Tokens are long, so sketches go first: how many tokens of the class fall in each of about n / 2 slots. Two classes
+share at most the sum of the lesser counts; only where that could be enough are the tokens themselves compared. A sketch
+folded to ``FOLDED`` bytes is tried before the whole one, so that pairs which a passage brings together cost few bytes.
+
+Signatures are shuffled once. A window over each signature's classes finds the least; where more than ``CROWD`` classes
+of one slice of rows share a signature, only the least of these takes part for them. The others are joined with all that
+their least was told, once for all signatures they share with it; so no task holds a signature with a large share of the documents.
 
 Which tokens count as frequent is read off all documents (those that several documents of one stretch of the input
 share) and bounds the work only: any choice gives the same links. Tokens and classes are 64-bit hashes.
@@ -35,7 +40,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from casemill.llm.components import components
@@ -52,6 +57,8 @@ MOST_PAIRED = 400
 FREQUENT_SHARE, FREQUENT_LEAST, FREQUENT_MOST = 1 / 2000, 16, 1 << 21
 #: Tokens of a stretch of the input, and documents of it that must hold a token for it to be counted.
 STRETCH, STRETCH_LEAST = 1 << 21, 3
+#: Bytes of the first sketch, and classes of one slice that a signature's window takes.
+FOLDED, CROWD = 128, 8
 #: Classes in a block of the exhaustive comparison.
 BLOCK = 256
 
@@ -78,6 +85,14 @@ def _sketch(tokens: np.ndarray) -> bytes | None:
     return counts.astype(np.uint8).tobytes() if len(tokens) and counts.max() < 256 else None
 
 
+def _folded(sketch: bytes | None) -> bytes | None:
+    """The same counts in at most ``FOLDED`` slots."""
+    if sketch is None or len(sketch) <= FOLDED:
+        return sketch
+    counts = np.frombuffer(sketch, np.uint8).reshape(-1, FOLDED).sum(0, dtype=np.int64)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def _most_shared(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """The most tokens that classes with these sketches can share, for one class and the rows of ``many``."""
     if len(one) > many.shape[1]:
@@ -88,7 +103,7 @@ def _most_shared(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 def classes(documents: DataFrame) -> DataFrame:
-    """Rows of two kinds: (``key``, ``n``, ``cls``, ``sketch``) for each document, and (``token``, ``df``) for tokens of several
+    """Rows of two kinds: (``key``, ``n``, ``cls``, ``sketch``, ``fold``) for each document, and (``token``, ``df``) for tokens of several
     classes in one stretch of the input."""
     kind = documents.schema["key"].dataType.simpleString()
 
@@ -101,7 +116,7 @@ def classes(documents: DataFrame) -> DataFrame:
             size = int(often.sum())
             held.clear()
             seen.clear()
-            return pa.record_batch({"key": pa.nulls(size, key_type), "n": pa.nulls(size, pa.int64()), "cls": pa.nulls(size, pa.int64()), "sketch": pa.nulls(size, pa.binary()), "token": pa.array(_signed(tokens[often])), "df": pa.array(counts[often].astype(np.int64))})
+            return pa.record_batch({"key": pa.nulls(size, key_type), "n": pa.nulls(size, pa.int64()), "cls": pa.nulls(size, pa.int64()), "sketch": pa.nulls(size, pa.binary()), "fold": pa.nulls(size, pa.binary()), "token": pa.array(_signed(tokens[often])), "df": pa.array(counts[often].astype(np.int64))})
 
         for rows in slices(batches):
             key_type = rows["key"].type
@@ -112,13 +127,14 @@ def classes(documents: DataFrame) -> DataFrame:
                     seen.add(name)
                     held.append(tokens)
             size = len(rows)
-            yield pa.record_batch({"key": rows["key"], "n": pa.array([len(s) for s in sets], pa.int64()), "cls": pa.array(names, pa.int64()), "sketch": pa.array([_sketch(s) for s in sets], pa.binary()), "token": pa.nulls(size, pa.int64()), "df": pa.nulls(size, pa.int64())})
+            sketches = [_sketch(s) for s in sets]
+            yield pa.record_batch({"key": rows["key"], "n": pa.array([len(s) for s in sets], pa.int64()), "cls": pa.array(names, pa.int64()), "sketch": pa.array(sketches, pa.binary()), "fold": pa.array([_folded(s) for s in sketches], pa.binary()), "token": pa.nulls(size, pa.int64()), "df": pa.nulls(size, pa.int64())})
             if sum(map(len, held)) >= STRETCH:
                 yield flush()
         if held:
             yield flush()
 
-    return documents.mapInArrow(made, f"key {kind}, n long, cls long, sketch binary, token long, df long")
+    return documents.mapInArrow(made, f"key {kind}, n long, cls long, sketch binary, fold binary, token long, df long")
 
 
 def frequent_tokens(rows: DataFrame, documents: int) -> np.ndarray:
@@ -148,8 +164,19 @@ def prefix_signatures(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray
     return np.concatenate(out)
 
 
-def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(``sig``, ``cls``) of all classes; a class occurs once for each slice of rows that it is in."""
+def _crowded(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures and classes in order of both, the first row of each signature, and whether its rows are more than ``CROWD``."""
+    order = np.lexsort((cls, sig))
+    sig, cls = sig[order], cls[order]
+    first = np.ones(len(sig), bool)
+    first[1:] = sig[1:] != sig[:-1]
+    size = np.diff(np.append(np.flatnonzero(first), len(sig)))
+    return sig, cls, first, np.repeat(size > CROWD, size)
+
+
+def signatures(documents: DataFrame, frequent: np.ndarray, crowds: bool) -> DataFrame:
+    """(``sig``, ``cls``, ``least``: its signature is crowded in the slice) of all classes; a class occurs once for each slice of
+    rows that it is in. Of a crowded signature the least class only. With ``crowds`` (``first``, ``cls``): the others with that least class."""
     order = np.argsort(frequent)
     sent = documents.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.int64)))  # FREQUENT_MOST at most
 
@@ -160,9 +187,28 @@ def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
             found.pop(None, None)
             made = [prefix_signatures(s, frequent, rank) for s in found.values()]
             if made:
-                yield pa.record_batch({"sig": pa.array(_signed(np.concatenate(made))), "cls": pa.array(np.repeat(np.fromiter(found, np.int64, len(found)), [len(m) for m in made]))})
-
-    return documents.select("text").mapInArrow(signed, "sig long, cls long")
+                names = np.repeat(np.fromiter(found, np.int64, len(found)), [len(m) for m in made])
+                sig, cls, first, crowd = _crowded(_signed(np.concatenate(made)), names)
+                if crowds:
+                    others = crowd & ~first
+                    each = np.unique(np.stack((cls[first][np.cumsum(first) - 1][others], cls[others]), axis=1), axis=0)
+                    yield pa.record_batch({"first": pa.array(each[:, 0]), "cls": pa.array(each[:, 1])})
+                else:
+                    kept = ~crowd | first
+                    yield pa.record_batch({"sig": pa.array(sig[kept]), "cls": pa.array(cls[kept]), "least": pa.array(crowd[kept])})
+
+    return documents.select("text").mapInArrow(signed, "first long, cls long" if crowds else "sig long, cls long, least boolean")
+
+
+def hub_pairs(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(``cls``, ``hub``): every class with the least class of each of its signatures, where that is another; classes of a crowd
+    may get some more, that their least class has."""
+    least = Window.partitionBy("sig").orderBy("cls").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = signatures(documents, frequent, False).withColumn("hub", F.first("cls").over(least)).where("least OR cls != hub")
+    met = written(met, "met")
+    crowded = written(met.where("least").select(F.col("cls").alias("first"), "hub").distinct(), "crowded")
+    rest = signatures(documents, frequent, True).distinct().join(bounded(crowded), "first").select("cls", "hub")
+    return met.select("cls", "hub").unionByName(rest).where("cls != hub").distinct()
 
 
 def class_sets(documents: DataFrame, wanted: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -183,8 +229,13 @@ def _linked(shared, left, right):
     return 100 * shared >= LEAST * (left + right - shared)
 
 
-def hopeful_pairs(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (``cls``, ``hub``) that sizes and sketches leave open."""
+def _wanted(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``sizes`` for the classes of ``wanted``."""
+    return sizes.join(bounded(written(wanted.distinct(), "wanted-classes")), "cls", "left_semi")
+
+
+def hopeful_pairs(pairs: DataFrame, sizes: DataFrame, column: str) -> DataFrame:
+    """The pairs (``cls``, ``hub``) that sizes and the sketches in ``column`` leave open."""
 
     def filtered(batches):
         for batch in batches:
@@ -195,7 +246,7 @@ def hopeful_pairs(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
                 keep.append(bool(_linked(shared, n[at], hub_n[at])))
             yield batch.select(["cls", "hub"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sizes.select("cls", "n", "sketch")
+    one = sizes.select("cls", "n", F.col(column).alias("sketch"))
     both = pairs.join(one, "cls").join(one.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch")), "hub")
     fit = both.where(LEAST * F.greatest("n", "hub_n") <= 100 * F.least("n", "hub_n"))
     return fit.select("cls", "hub", "n", "hub_n", "sketch", "hub_sketch").mapInArrow(filtered, "cls long, hub long")
@@ -203,9 +254,10 @@ def hopeful_pairs(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def star_links(documents: DataFrame, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """(``a``, ``b``) of the pairs (``cls``, ``hub``) that link."""
-    open_ = written(hopeful_pairs(pairs, sizes), "open-pairs")
-    wanted = open_.select("cls").unionByName(open_.select(F.col("hub").alias("cls"))).distinct()
-    sets = class_sets(documents, wanted, sizes)
+    both = lambda pairs: pairs.select("cls").unionByName(pairs.select(F.col("hub").alias("cls")))
+    near = written(hopeful_pairs(pairs, sizes, "fold"), "near-pairs")
+    open_ = written(hopeful_pairs(near, _wanted(sizes, both(near)), "sketch"), "open-pairs")
+    sets = class_sets(documents, both(open_).distinct(), sizes)
     full = open_.join(sets, "cls").join(sets.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("tokens").alias("hub_tokens")), "hub")
     shared = F.size(F.array_intersect("tokens", "hub_tokens"))
     return full.where(_linked(shared, F.col("n"), F.col("hub_n"))).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
@@ -230,7 +282,7 @@ def _hopes(n: np.ndarray, label: np.ndarray, side: np.ndarray, sketches: list[by
 
 
 def _task_hopes(batches):
-    """The rows of ``task``-sorted batches that have hope in their task; many tasks are small, so they pass in a stream."""
+    """The rows of ``task``-sorted batches that have hope in their task. Most tasks are small: many of them are judged in one batch."""
 
     def judged(rows: pa.Table) -> pa.RecordBatch:
         task = rows["task"].to_numpy()
@@ -311,6 +363,7 @@ def rest_links(documents: DataFrame, pairs: DataFrame, labels: DataFrame, sizes:
     members = written(named.select("task", "cls", "label").distinct().join(sizes.select("cls", "n"), "cls").withColumn("step", step), "members")
     steps = members.groupBy("task", "step").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     steps = steps.groupBy("task").agg(F.map_from_entries(F.collect_list(F.struct("step", "blocks"))).alias("blocks"))  # an entry per size step
+    steps = bounded(written(steps, "steps"))
     count = lambda at: F.coalesce(F.col("blocks")[at], F.lit(0))
     members = members.join(steps, "task").withColumn("block", F.pmod(F.xxhash64("cls"), count(F.col("step"))).cast("int"))
     part = lambda low, i, high, j, side: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), side.cast("int").alias("side"))
@@ -325,9 +378,11 @@ def rest_links(documents: DataFrame, pairs: DataFrame, labels: DataFrame, sizes:
     dealt = dealt.select(F.xxhash64("task", "low", "i", "high", "j").alias("task"), "cls", "label", "n", "side")
     mixed = dealt.groupBy("task").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("side").alias("from"), F.max("side").alias("to"))
     mixed = mixed.where("x != y AND from <= 0 AND to >= 0").select("task")
-    dealt = dealt.join(mixed, "task").join(sizes.select("cls", "sketch"), "cls")
-    dealt = dealt.repartition("task").sortWithinPartitions("task")
-    dealt = written(dealt.mapInArrow(_task_hopes, "task long, cls long, label long, n long, side int"), "hopes")
+    dealt = dealt.join(mixed, "task")
+    for column, purpose in (("fold", "near-hopes"), ("sketch", "hopes")):
+        own = sizes if column == "fold" else _wanted(sizes, dealt.select("cls"))
+        dealt = dealt.join(own.select("cls", F.col(column).alias("sketch")), "cls").repartition("task").sortWithinPartitions("task")
+        dealt = written(dealt.mapInArrow(_task_hopes, "task long, cls long, label long, n long, side int"), purpose)
     sets = class_sets(documents, dealt.select("cls").distinct(), sizes)
     return dealt.join(sets.select("cls", "tokens"), "cls").groupBy("task").applyInPandas(_block_links, "a long, b long")
 
@@ -344,12 +399,10 @@ def _classed(rows: DataFrame) -> DataFrame:
     both = written(classes(rows), "classes")
     docs = both.where("n IS NOT NULL").select("key", "n", "cls")
     frequent = frequent_tokens(both, docs.count())
-    sizes = both.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sizes = both.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fold").alias("fold"))
     sizes = written(sizes, "class-sizes")
 
-    signed = signatures(rows, frequent)  # not written: working it out twice costs less than keeping it
-    shared = signed.groupBy("sig").agg(F.min("cls").alias("hub"), F.max("cls").alias("other")).where("hub != other").select("sig", "hub")
-    pairs = written(signed.join(shared, "sig").where("cls != hub").select("cls", "hub").distinct(), "pairs")
+    pairs = written(hub_pairs(rows, frequent), "pairs")
 
     star = components(written(star_links(rows, pairs, sizes), "links"))
     rest = written(rest_links(rows, pairs, star, sizes), "more-links")

@@ -22,7 +22,9 @@ LONG = 64
 _draw = np.random.Generator(np.random.PCG64(20240229))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SIZE = np.uint64(0x9E3779B97F4A7C15)
+#: What a hash begins with for each length, and masks of the first bytes of eight.
+_BEGIN = _draw.integers(0, 2**64, LONG + 1, dtype=np.uint64)
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _PLACE = _draw.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 WHITE = np.zeros(256, bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
@@ -88,12 +90,14 @@ class Words:
         """One number for each word; ``fold``: A-Z count as a-z."""
         data = _LOWER[self.data] if self.fold else self.data
         size = self.ends - self.starts
-        out = mix(size.astype(np.uint64) * _SIZE)
-        eights = np.ndarray(len(data) + 1, np.uint64, np.append(data, np.zeros(8, np.uint8)).tobytes(), strides=(1,))
-        for done in range(0, min(LONG, int(size.max(initial=0))), 8):
-            more = slice(None) if not done and size.max() <= LONG else np.flatnonzero((size > done) & (size <= LONG))
-            left = np.minimum(size[more] - done, 8).astype(np.uint64)
-            part = eights[self.starts[more] + done] & (np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * left))
+        padded = np.empty(len(data) + 8, np.uint8)
+        padded[: len(data)] = data
+        padded[len(data) :] = 0
+        eights = np.ndarray(len(data) + 1, np.uint64, padded, strides=(1,))
+        out = mix(_BEGIN[np.minimum(size, LONG)] ^ (eights[self.starts] & _FIRST[np.minimum(size, 8)]))
+        for done in range(8, min(LONG, int(size.max(initial=0))), 8):
+            more = np.flatnonzero((size > done) & (size <= LONG))
+            part = eights[self.starts[more] + done] & _FIRST[np.minimum(size[more] - done, 8)]
             out[more] = mix(out[more] ^ part)
         for at in np.flatnonzero(size > LONG):
             word = data[self.starts[at] : self.ends[at]]

@@ -321,3 +321,80 @@ def test_copies_that_differ_in_date_and_links_keep_their_text(spark, more):
     assert all("The title\nThe copied article with its longest paragraph." in t for t in found[:6])
     assert not more or all("A second paragraph" in t for t in found[:6])
     assert all(f"only page {i} has" in found[i] for i in range(6, 12))
+
+
+def test_words_of_the_same_make_are_other_words(spark):
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    pair = ["".join("ab"[bit ^ turn] for bit in bits) for turn in (0, 1)]
+    rows = [(1, pair[0]), (2, pair[1]), (3, " ".join([pair[0]] * 3 + ["q", "r", "s"])), (4, " ".join([pair[1]] * 3 + ["q", "r", "s"]))]
+    found = {r["doc_id"]: r["component_id"] for r in J.joined(docs_of(spark, rows)).collect()}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 4}
+    assert J.representatives(docs_of(spark, rows)).count() == 4
+    items = spark.createDataFrame([(7, " ".join([pair[1]] * 6))], "item_id long, text string")
+    docs = docs_of(spark, [(1, " ".join([pair[0]] * 6)), (2, " ".join([pair[1]] * 6))])
+    assert [(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items).collect()] == [(2, 7)]
+
+
+def test_crowded_signatures_miss_no_link(spark, monkeypatch):
+    """Many classes of one slice share signatures; brute force over all pairs."""
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(draw.randrange(6)):
+            words[draw.randrange(60)] = f"x{draw.randrange(50)}"
+        rows.append((i, " ".join(words)))
+    found = J.joined(docs_of(spark, rows).repartition(3)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(rows)
+
+
+def test_classes_count_as_a_whole_and_never_on_the_content(spark):
+    long_ = "words of the article itself, enough of them to be most of what the page says. " * 3
+    pages = [
+        f'<body><div class="content no-sidebar"><p>{long_}</p></div><div class="sidebar">aside</div></body>',
+        f'<body><article><header class="entry-header"><h1>Title</h1></header><p>{long_}</p><div class="social-studies"><p>taught</p></div></article></body>',
+        f'<body><form action="/"><article><h1>Title</h1><p>{long_}</p></article><input></form></body>',
+        f'<body><div class="header"><p>{long_}</p></div><form>your name</form></body>',
+        f'<body><article><p>{long_}</p><div class="cookie-banner">we use them</div><div class="comments"><p>{long_}</p><p>{long_}</p></div></article></body>',
+    ]
+    text = long_.strip()
+    assert texts_of(spark, pages) == [text, f"Title\n{text}\ntaught", f"Title\n{text}", text, text]
+
+
+def test_prose_of_an_article_may_recur(spark):
+    bodies = [f"sentence {i} of a text that is all its own and goes on for a while" for i in range(12)]
+    share = '<ul><li><a href="/a">share here</a></li><li><a href="/b">share there</a></li></ul>'
+    common = lambda i: "<h1>Conclusion</h1><p>the same words on many pages</p>" if i % 4 else "<h1>Other</h1>"
+    pages = [f"<body><div><a href='/'>home</a></div><article>{common(i)}<p>{b}</p>{share}</article></body>" for i, b in enumerate(bodies)]
+    assert texts_of(spark, pages) == [f"Conclusion\nthe same words on many pages\n{b}" if i % 4 else f"Other\n{b}" for i, b in enumerate(bodies)]
+
+
+def test_subtrees_are_counted_as_by_hand(spark):
+    draw = random.Random(6)
+    widgets = [f"<div><p>widget {i} says this much</p></div>" for i in range(8)]
+    rows = []
+    for i in range(120):
+        own = "".join(f"<div><p>page {i % 90} line {k} with words of its own {i % 90 * 7 + k}</p></div>" for k in range(4))
+        some = "".join(w for w in widgets[: draw.randrange(9)])
+        rows.append((i, f"http://{draw.choice('ab')}.example/{i}", f"<body>{some}{own}</body>"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen, hosts = defaultdict(set), defaultdict(set)
+    for _, url, page in rows:
+        main, told = G.rests(*G.blocks_of(page))
+        host = url.split("/")[2]
+        hosts[host].add(main)
+        for mark, rest in told:
+            if rest is not None:
+                seen[host, mark].add(rest)
+    want = {key for key, found in seen.items() if len(found) >= 3 and len(found) >= min(0.01 * len(hosts[key[0]]), 100)}  # no page marks an article
+    got = G.templates(G._addressed(frame, "page_id", "url", "html"))
+    names = {spark.range(1).select(F.xxhash64(F.lit(h))).first()[0]: h for h in hosts}
+    assert {(names[r["host"]], r["hash"]) for r in got.collect()} == want and want
+
+
+def test_more_templates_than_are_sent(spark, sf, monkeypatch):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").limit(60)
+    sent = G.main_text(pages).collect()
+    monkeypatch.setattr(G, "SENT_TEMPLATES", -1)
+    assert sorted(G.main_text(pages).collect()) == sorted(sent)
