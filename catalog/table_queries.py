@@ -55,7 +55,7 @@ def fractional_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One draw from all parts and one from the parts of each scale: an order's own number says which."""
+    """For each order one draw from all parts, and one from the parts of the smallest scale alone."""
     parts, ids = fractional_parts(spark, sf_dir), stay_ids(spark, sf_dir)
     every = draw_with_replacement(parts, "P", ["item"], ids, "stay_id", SEED, "every").withColumnRenamed("item", "every_item")
     small = draw_with_replacement(parts.where("item % 10 = 0"), "P", ["item"], ids, "stay_id", SEED, "small")
