@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.functions.uniform import position_below
-from casemill.operators.positions import POSITION_COLUMNS, bucketed_line, find, int_weight, lay_out, pool_totals, slotted, spread
+from casemill.operators.positions import POSITION_COLUMNS, WHOLE, bucketed_line, find, group_scales, int_weight, lay_out, pool_totals, slotted, spread
 
 TABLE_SPREAD_DIGITS = 3
 
@@ -22,6 +22,13 @@ def sum_duplicates(table: DataFrame, weight: str | None, identity: list[str]) ->
     return table.groupBy(*identity).agg(F.sum(mass).alias("w")).where("w > 0")
 
 
+def _scaled_in_groups(table: DataFrame, weight: str, group: list[str], item: list[str]) -> DataFrame:
+    rows = table.select(*group, *item, F.coalesce(F.col(weight).cast("double"), F.lit(1.0)).alias("w"))
+    rows = rows.where((F.col("w") > 0) & (F.col("w") < float("inf"))).join(group_scales(rows, "w", group), group)
+    whole = F.greatest(F.floor(F.col("w") * F.col("_scale")).cast("bigint"), F.lit(1).cast("bigint"))
+    return rows.groupBy(*group, *item).agg(F.sum(whole).alias("w"))
+
+
 def table_positions(profiles: DataFrame, order: list[str]) -> DataFrame:
     """Positions in a whole table taken as one pool; hash groups of the order key stand in for a global
     sort, so the only window over everything runs over their totals (16**3 rows at most)."""
@@ -58,8 +65,13 @@ def draw_per_group(
     draws: DataFrame, id_col: str, table: DataFrame, weight: str | None, group: list[str], item: list[str], seed: int, salt: str = "in_group"
 ) -> DataFrame:
     """Weighted draw with replacement inside the draw's own group: a row of ``table`` among those with the same values
-    in ``group``, null where there is none. Adds the columns of ``item``."""
-    rows = sum_duplicates(table.dropna(subset=group), weight, [*group, *item])
+    in ``group``, null where there is none. Adds the columns of ``item``. Fractions are scaled group by group, so a group
+    keeps its own shares however small its weights are beside another's."""
+    table = table.dropna(subset=group)
+    if weight in table.columns and table.schema[weight].dataType.typeName() not in WHOLE:
+        rows = _scaled_in_groups(table, weight, group, item)
+    else:
+        rows = sum_duplicates(table, weight, [*group, *item])
     positions = lay_out(rows, group, item, F.col("w"), distinct=True)
     totals = pool_totals(positions, group).select(*group, F.col("total").alias("group_total"), F.col("step").alias("group_step"))
     asked = draws.join(totals, group, "left")

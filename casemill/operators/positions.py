@@ -47,6 +47,17 @@ def mass_scale(df: DataFrame, name: str) -> Column:
     return F.pow(F.lit(2.0), F.lit(MASS_BITS) - F.ceil(F.log2(F.lit(bound))))
 
 
+def group_scales(df: DataFrame, name: str, group: list[str]) -> DataFrame:
+    """``mass_scale`` of each group by itself: one row per group with ``_scale``. The numbers of weights between powers of
+    two are counted before they are shuffled, at most 2 100 a group, and added in the order of the powers."""
+    weight = F.col(name).cast("double")
+    rows = df.where((weight > 0) & (weight < float("inf")))
+    bins = rows.groupBy(*group, F.floor(F.log2(weight)).cast("int").alias("e")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = bins.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("e", "n"))).alias("bins"))
+    bound = F.aggregate("bins", F.lit(0.0), lambda total, b: total + b["n"] * F.pow(F.lit(2.0), b["e"] + 1))
+    return ordered.select(*group, F.pow(F.lit(2.0), F.lit(MASS_BITS) - F.ceil(F.log2(bound))).alias("_scale"))
+
+
 def int_weight(df: DataFrame, name: str) -> Column:
     """Integer weight. Fractions and very large weights are scaled by one power of two for the whole table, so shares
     stay as they are down to 2**-MASS_BITS of the table; a positive weight never becomes zero. Integers whose sum

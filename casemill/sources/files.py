@@ -130,10 +130,11 @@ def _rules_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raise RuntimeError("reading a rule file needs PyYAML on the executors") from error
     field = V.RULE_FIELDS
     for batch in batches:
-        rules = [rule for text in batch["value"] for rule in yaml.safe_load(text)[field["list"]]]
+        places = [(file, at, rule) for file, text in zip(batch["file"], batch["value"]) for at, rule in enumerate(yaml.safe_load(text)[field["list"]] or [])]
+        rules = [rule for _, _, rule in places]
         yield pd.DataFrame(
             {
-                "ordinal": range(len(rules)),
+                "ordinal": [{"file": file, "at": at} for file, at, _ in places],
                 "id": [str(rule[field["id"]]) for rule in rules],
                 "text": [rule[field["text"]] for rule in rules],
                 "criteria": [{k: str(v) for k, v in (rule[field["criteria"]] or {}).items()} for rule in rules],
@@ -142,9 +143,9 @@ def _rules_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def rule_file(spark: SparkSession, path: str) -> DataFrame:
-    """Rule table of a YAML file: id, text, criteria."""
-    texts = opened(path, lambda p: spark.read.text(p, wholetext=True))
-    return last_rule(texts.mapInPandas(_rules_of, "ordinal int, id string, text string, criteria map<string,string>"))
+    """Rule table of a YAML file, or of a folder of such files in the order of their names: id, text, criteria."""
+    texts = opened(path, lambda p: spark.read.text(p, wholetext=True)).select(F.col("_metadata.file_path").alias("file"), "value")
+    return last_rule(texts.mapInPandas(_rules_of, "ordinal struct<file:string,at:int>, id string, text string, criteria map<string,string>"))
 
 
 def last_rule(rows: DataFrame) -> DataFrame:

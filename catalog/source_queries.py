@@ -162,30 +162,32 @@ def source_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.convert_dictionary(spark, f"{folder}/dictionary.txt", f"{folder}/dictionary.parquet")
 
 
+RULES_PER_FILE = 50
+
+
 def source_rule_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rule file with two entries per id, of which the later one counts."""
-    twice = view(spark, sf_dir, "rule_rows").groupBy("id").agg(F.array(F.min("text"), F.max("text")).alias("texts"))
-    rules = twice.select("id", F.posexplode("texts").alias("n", "text"))
-    criteria = F.struct(F.col("id").alias("primary_diagnosis"))
+    """All rule rows in their order, in files of ``RULES_PER_FILE`` rules; of the entries of an id the last one counts."""
     entry = F.struct(
-        "id", "n", F.col("text").alias(V.RULE_FIELDS["text"]), criteria.alias(V.RULE_FIELDS["criteria"])
-    )  # two entries per rule id: a few dozen in all
-    document = rules.agg(F.array_sort(F.collect_list(F.struct("id", "n", entry.alias("rule")))).alias("rules"))
+        F.col("id").alias(V.RULE_FIELDS["id"]), F.col("text").alias(V.RULE_FIELDS["text"]),
+        F.struct(F.col("id").alias("primary_diagnosis"), F.col("ordinal").cast("string").alias("ordinal")).alias(V.RULE_FIELDS["criteria"]),
+    )
+    place = F.format_string("%019d", F.call_function("div", "ordinal", F.lit(RULES_PER_FILE)))
+    rules = view(spark, sf_dir, "rule_rows").groupBy(place.alias("place")).agg(F.array_sort(F.collect_list(F.struct("ordinal", entry.alias("rule")))).alias("rules"))
     text = F.to_json(F.struct(F.transform("rules", lambda r: r["rule"]).alias(V.RULE_FIELDS["list"])))
-    path = f"{new_folder(spark, 'rules')}/rules.yml"
-    document.select(text.alias("value")).write.text(path)
-    return files.rule_file(spark, path).select("id", "text", F.col("criteria")["primary_diagnosis"].alias("primary_diagnosis"))
+    folder = f"{new_folder(spark, 'rules')}/rules"
+    rules.select(text.alias("value"), F.concat("place", F.lit(".yml")).alias("place")).write.partitionBy("place").text(folder)
+    criteria = F.col("criteria")
+    return files.rule_file(spark, folder).select("id", "text", criteria["primary_diagnosis"].alias("primary_diagnosis"), criteria["ordinal"].cast("int").alias("ordinal"))
 
 
 def source_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """System prompts read from template files, joined to conversation turns as messages."""
-    folder = new_folder(spark, "templates")
-    turns = view(spark, sf_dir, "conversations")
-    name = F.concat(F.lit("template_"), (F.col("conv_id") % 4).cast("string"), F.lit(".txt"))
-    texts = turns.withColumn("template_name", name).groupBy("template_name").agg(F.max("text").alias("text"))
-    for i in range(4):
-        texts.where(F.col("template_name") == f"template_{i}.txt").select("text").coalesce(1).write.text(f"{folder}/template_{i}.txt")
-    asked = turns.where("role = 'user'").select("conv_id", "turn", name.alias("template_name"), F.col("text").alias("scenario"))
+    """System prompts read from template files, one of all turns of each conversation, joined to its turns as messages."""
+    folder = f"{new_folder(spark, 'templates')}/templates"
+    turns = view(spark, sf_dir, "conversations").withColumn("template", F.format_string("%d.txt", "conv_id"))
+    said = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    texts = turns.groupBy("template").agg(F.array_join(said["text"], "\n").alias("value"))
+    texts.write.partitionBy("template").text(folder)
+    asked = turns.where("role = 'user'").select("conv_id", "turn", F.concat(F.lit("template="), "template").alias("template_name"), F.col("text").alias("scenario"))
     out = prompts.with_messages(prompts.with_system_prompt(asked, files.templates(spark, folder)))
     return out.select("conv_id", "turn", F.inline("messages"))
 

@@ -43,9 +43,7 @@ def registry_sql() -> str:
 
 def source_checks() -> dict[str, str]:
     quoted = SYSTEM.replace("'", "''")
-    prompts = (
-        "SELECT 'template_' || (conv_id % 4) || '.txt' AS template_name, max(text) || chr(10) AS system_prompt FROM conversations GROUP BY 1"
-    )
+    prompts = "SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) || chr(10) AS system_prompt FROM conversations GROUP BY 1"
     return {
         "source_csv_ingest": simple(["icd_official"], "SELECT icd_code AS code, icd_code_description AS liblong, 1 AS en_cours FROM icd_official"),
         "source_table_views": simple(
@@ -80,9 +78,11 @@ def source_checks() -> dict[str, str]:
             "SELECT icd_code, '0' AS aut_mco, 'O' AS pos, '0' AS aut_ssr, substr(icd_code_description, 1, 9) AS icd_code_description_short,"
             " icd_code_description FROM icd_official",
         ),
-        "source_rule_file": simple(["rule_rows"], "SELECT id, max(text) AS text, id AS primary_diagnosis FROM rule_rows GROUP BY id"),
+        "source_rule_file": simple(
+            ["rule_rows"], "SELECT id, arg_max(text, ordinal) AS text, id AS primary_diagnosis, max(ordinal) AS ordinal FROM rule_rows GROUP BY id"
+        ),
         "source_templates": f"WITH prompts AS ({prompts}) SELECT conv_id, turn, 'system' AS role, system_prompt AS content FROM conversations"
-        " JOIN prompts ON template_name = 'template_' || (conv_id % 4) || '.txt' WHERE role = 'user'"
+        " JOIN prompts USING (conv_id) WHERE role = 'user'"
         " UNION ALL SELECT conv_id, turn, 'user', text FROM conversations WHERE role = 'user'",
         "build_messages": texts(
             f"SELECT generation_id, 'system' AS role, '{quoted}' AS content FROM texts UNION ALL SELECT generation_id, 'user', scenario FROM texts"

@@ -8,8 +8,10 @@ from casemill.functions.uniform import uniform
 from casemill.operators.associated import draw_associated
 from casemill.operators.draws import draw_per_group, draw_rows, draw_with_replacement
 from casemill.operators.procedures import drawn_procedures
+from casemill.operators.splits import draw_many
 from casemill.operators.stay_length import triangular_days
 from casemill.plans import table_cohort
+from casemill.sources.scratch import written
 from casemill.standins import view, views
 from catalog.sql import SEED
 
@@ -44,6 +46,19 @@ def weighted_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw_with_replacement(dp, "P_DP", table_cohort.ORDER, ids, "stay_id", SEED)
 
 
+def split_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many weighted draws as there are orders, by splitting their number: each group's mass, all stays, and whether
+    the group's share of them lies within six deviations. Which stay falls where comes from generators that SQL lacks."""
+    dp = view(spark, sf_dir, "pmsi_dp").dropna(subset=["DP", "GHM5"])
+    n = stay_ids(spark, sf_dir).count()
+    drawn = written(draw_many(dp, "P_DP", table_cohort.ORDER, n, SEED).groupBy("GHM5").agg(F.count_distinct("stay_id").alias("n_drawn")), "split-groups")
+    masses = dp.groupBy("GHM5").agg(F.sum("P_DP").cast("bigint").alias("w")).where("w > 0")
+    total, stays = masses.agg(F.sum("w")).scalar(), drawn.agg(F.sum("n_drawn")).scalar()
+    share = F.col("w") / total
+    near = F.abs(F.coalesce("n_drawn", F.lit(0)) - n * share) <= 6 * F.sqrt(n * share * (1 - share)) + 6
+    return masses.join(drawn, "GHM5", "full").select(F.col("GHM5").alias("ghm5"), "w", stays.alias("n_stays"), near.alias("near"))
+
+
 SHARES = [1e-12, 1e-9, 1e-6, 1e-3, 0.1, 1.0, 30.0, 1e4, 1e7, 1e9]
 
 
@@ -55,11 +70,13 @@ def fractional_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each order one draw from all parts, and one from the parts of the smallest scale alone."""
-    parts, ids = fractional_parts(spark, sf_dir), stay_ids(spark, sf_dir)
-    every = draw_with_replacement(parts, "P", ["item"], ids, "stay_id", SEED, "every").withColumnRenamed("item", "every_item")
-    small = draw_with_replacement(parts.where("item % 10 = 0"), "P", ["item"], ids, "stay_id", SEED, "small")
-    return every.join(small.withColumnRenamed("item", "small_item"), "stay_id")
+    """For each order one draw from all parts, and one from the parts of one scale alone: the scale of its own last digit."""
+    parts = fractional_parts(spark, sf_dir).withColumn("scale", (F.col("item") % 10).cast("int"))
+    ids = stay_ids(spark, sf_dir)
+    every = draw_with_replacement(parts.drop("scale"), "P", ["item"], ids, "stay_id", SEED, "every").withColumnRenamed("item", "every_item")
+    asked = every.withColumn("scale", (F.col("stay_id") % 10).cast("int"))
+    drawn = draw_per_group(asked, "stay_id", parts, "P", ["scale"], ["item"], SEED, "scale")
+    return drawn.select("stay_id", "every_item", F.col("item").alias("scale_item"))
 
 
 def per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +124,7 @@ def table_queries() -> dict:
     return {
         "draw_weighted_with_replacement": weighted_with_replacement,
         "draw_weighted_fractional": weighted_fractional,
+        "draw_by_splitting": split_draws,
         "draw_per_group": per_group,
         "draw_procedures": procedures,
         "draw_associated_diagnoses": associated,

@@ -21,21 +21,24 @@ STAYS = [
 ]
 
 def fractional() -> str:
-    """Each weight floored on a line of 61 bits, for all parts and for those of the smallest scale."""
+    """Each weight floored on a line of 61 bits: one line for all parts, and one for those of each scale."""
     shares = "[" + ", ".join(f"CAST({x!r} AS DOUBLE)" for x in SHARES) + "]"
-    parts = f"SELECT p_partkey AS item, CAST(p_retailprice AS DOUBLE) * {shares}[p_partkey % 10 + 1] AS p FROM part"
+    parts = f"SELECT p_partkey AS item, p_partkey % 10 AS scale, CAST(p_retailprice AS DOUBLE) * {shares}[p_partkey % 10 + 1] AS p FROM part"
+    bins = "SELECT {0} AS line, CAST(floor(log2(p)) AS INT) AS e, count(*) AS n FROM parts GROUP BY ALL"
+    rows = "SELECT {0} AS line, item, greatest(CAST(floor(p * s) AS BIGINT), 1) AS w FROM parts JOIN {1}_scale ON line = {0}"
     out = []
-    for name, rows in (("every", "TRUE"), ("small", "item % 10 = 0")):
-        bins = f"(SELECT CAST(floor(log2(p)) AS INT) AS e, count(*) AS n FROM parts WHERE {rows} GROUP BY 1)"
+    for name, line, orders_line, digits in (("every", "0", "0", 3), ("scale", "scale", "o_orderkey % 10", 2)):
         out += [
-            (f"{name}_scale", f"SELECT pow(CAST(2 AS DOUBLE), 61 - ceil(log2(sum(n * pow(CAST(2 AS DOUBLE), e + 1))))) AS s FROM {bins}"),
-            (f"{name}_w", f"SELECT item, greatest(CAST(floor(p * s) AS BIGINT), 1) AS w FROM parts, {name}_scale WHERE {rows}"),
-            (f"{name}_laid", laid_out(f"{name}_w", [], [spread("item", digits=3), "item"])),
-            (f"{name}_at", f"SELECT o_orderkey AS stay_id, {below(bits(name, 'o_orderkey'), f'(SELECT max(total) FROM {name}_laid)')} AS t FROM orders"),
-            (name, f"SELECT stay_id, item FROM {name}_at a ASOF JOIN {name}_laid l ON a.t >= l.lo"),
+            (f"{name}_bins", bins.format(line)),
+            (f"{name}_scale", f"SELECT line, pow(CAST(2 AS DOUBLE), 61 - ceil(log2(sum(n * pow(CAST(2 AS DOUBLE), e + 1))))) AS s FROM {name}_bins GROUP BY 1"),
+            (f"{name}_w", rows.format(line, name)),
+            (f"{name}_laid", laid_out(f"{name}_w", ["line"], [spread("item", digits=digits), "item"])),
+            (f"{name}_totals", f"SELECT line, max(total) AS total FROM {name}_laid GROUP BY 1"),
+            (f"{name}_at", f"SELECT o_orderkey AS stay_id, line, {below(bits(name, 'o_orderkey'), 'total')} AS t FROM orders LEFT JOIN {name}_totals ON line = {orders_line}"),
+            (name, f"SELECT stay_id, item FROM {name}_at a ASOF LEFT JOIN {name}_laid l ON a.line = l.line AND a.t >= l.lo"),
         ]
     ctes = ", ".join(f"{name} AS ({body})" for name, body in [("parts", parts), *out])
-    return f"WITH {ctes} SELECT stay_id, e.item AS every_item, s.item AS small_item FROM every e JOIN small s USING (stay_id)"
+    return f"WITH {ctes} SELECT stay_id, e.item AS every_item, s.item AS scale_item FROM every e JOIN scale s USING (stay_id)"
 
 
 CODE_LABELS = [
@@ -175,6 +178,11 @@ def table_checks() -> dict[str, str]:
     return {
         "draw_weighted_with_replacement": with_views(["pmsi_dp"], *STAYS, final="SELECT * FROM stays"),
         "draw_weighted_fractional": fractional(),
+        "draw_by_splitting": with_views(
+            ["pmsi_dp"],
+            final="SELECT GHM5 AS ghm5, CAST(sum(P_DP) AS BIGINT) AS w, (SELECT count(*) FROM orders) AS n_stays, TRUE AS near FROM pmsi_dp"
+            " WHERE DP IS NOT NULL AND GHM5 IS NOT NULL GROUP BY 1 HAVING sum(P_DP) > 0",
+        ),
         "draw_per_group": with_views(
             ["pmsi_dp"],
             *STAYS,

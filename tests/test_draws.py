@@ -51,6 +51,15 @@ def test_fractional_and_absent_weights(spark):
     close(even, {k: 1 / 3 for k in "abc"}, N)
 
 
+def test_groups_keep_their_shares_beside_far_heavier_groups(spark):
+    table = spark.createDataFrame([("x", "a", 1e-12), ("x", "b", 3e-12), ("x", "c", None), ("y", "a", 1e15), ("y", "b", 1e15), ("z", "a", -1.0)], "scale string, k string, w double")
+    asked = stay_ids(spark, 3 * N).withColumn("scale", F.get(F.array(*map(F.lit, "xyz")), (F.col("stay_id") % 3).cast("int")))
+    rows = draw_per_group(asked, "stay_id", table.where("w is not null"), "w", ["scale"], ["k"], 5).collect()
+    close(Counter(r["k"] for r in rows if r["scale"] == "x"), {"a": 0.25, "b": 0.75}, N)
+    close(Counter(r["k"] for r in rows if r["scale"] == "y"), {"a": 0.5, "b": 0.5}, N)
+    assert all(r["k"] is None for r in rows if r["scale"] == "z") and len(rows) == 3 * N
+
+
 @pytest.mark.parametrize("unit", [1e-12, 1e-3, 1e10])
 def test_shares_hold_at_any_size_of_weight(spark, unit):
     table = spark.createDataFrame([("a", unit), ("b", 100 * unit), ("c", 300 * unit)], "k string, w double")

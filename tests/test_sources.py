@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 
 import pytest
@@ -112,6 +113,14 @@ def test_rule_file_keeps_the_last_entry(spark, tmp_path):
     assert [(r["id"], r["text"], r["criteria"]) for r in row] == [("D1", "Second", {"primary_diagnosis": "Z"})]
 
 
+def test_rule_files_of_a_folder_count_in_the_order_of_their_names(spark, tmp_path):
+    field = V.RULE_FIELDS
+    for name, texts in (("b.yml", ["later"]), ("a.yml", ["first", "second"])):
+        rules = [{field["id"]: "D1", field["text"]: text, field["criteria"]: {}} for text in texts]
+        (tmp_path / name).write_text(json.dumps({field["list"]: rules}))
+    assert [r["text"] for r in files.rule_file(spark, str(tmp_path)).collect()] == ["later"]
+
+
 def test_templates(spark, tmp_path):
     write(tmp_path / "a.txt", "Une\nDeux\n")
     write(tmp_path / "b.md", "non")
