@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from casemill.functions import in_sql
 from casemill.functions.text import display, first_letter_upper, parent_code, sex_label
 from casemill.functions.uniform import generation_id, uniform, uniform_int
 from casemill.operators import codesets, conditional, lookups, people, positions, procedures, secondary, stay_length, synonyms
@@ -306,6 +307,27 @@ def draw_age(*at) -> DataFrame:
     return cases.stays(*at).select("stay_id", "cage", age.alias("age"))
 
 
+def sql_ages(*at) -> DataFrame:
+    """``draw_age`` in SQL."""
+    in_sql.register(at[0])
+    return at[0].sql(f"SELECT stay_id, cage, casemill_age(cage, casemill_uniform({SEED}, 'age', stay_id)) AS age FROM {{stays}}", stays=cases.stays(*at))
+
+
+def sql_days_between(*at) -> DataFrame:
+    """``draw_day_between`` in SQL."""
+    in_sql.register(at[0])
+    u, start = f"casemill_uniform({SEED}, 'between', o_orderkey)", "to_date(o_orderdate)"
+    day = f"casemill_day({start}, date_add({start}, CAST(o_custkey % 60 AS INT)), {u})"
+    return at[0].sql(f"SELECT o_orderkey, date_format({day}, 'yyyy-MM-dd') AS day FROM {{orders}}", orders=view(*at, "orders"))
+
+
+def sql_triangular_days(*at) -> DataFrame:
+    """``draw_triangular_days`` in SQL."""
+    in_sql.register(at[0])
+    days = f"casemill_days(dms_shape.left, dms_shape.mode, dms_shape.right, casemill_uniform({SEED}, 'dms', stay_id))"
+    return at[0].sql(f"SELECT stay_id, {days} AS dms FROM {{stays}}", stays=tabled.drawn_profiles(*at))
+
+
 def draw_branches(*at) -> DataFrame:
     delivery, chronic = seeded("delivery", "stay_id"), seeded("chronic_branch", "stay_id")
     return tabled.stay_ids(*at).select(
@@ -355,6 +377,6 @@ def operator_queries() -> dict:
         code_set_membership, rows_with_set_codes, join_rule_text, procedure_weights, diagnosis_pool_totals, main_specialty, synonym_phrases,
         pools_with_mass, normalised_weights, top_procedures, cancer_code_set, chronic_code_set, distinct_codes, orders_with_cancer_code,
         draw_counts, draw_conditional_uniform, draw_conditional_weighted, draw_distinct_chapters, draw_normal_days, draw_day_of_year,
-        draw_day_between, draw_synonym, draw_age, draw_branches, generation_ids, sex_labels, secondary_lines, stay_records,
+        draw_day_between, draw_synonym, draw_age, sql_ages, sql_days_between, sql_triangular_days, draw_branches, generation_ids, sex_labels, secondary_lines, stay_records,
     ]
     return {run.__name__: run for run in named}

@@ -107,7 +107,7 @@ def operator_checks() -> dict[str, str]:
     line_id = "concat_ws('-', l_orderkey, l_linenumber, p_partkey, l_suppkey, qty)"
     phrase_t = below(bits("phrase", line_id, "icd_secondary_code"), "total")
     procedures = dict(T.procedures())
-    return {
+    checks = {
         "filter_active_codes": simple(["cim10"], "SELECT code, max(liblong) AS label FROM cim10 WHERE en_cours = 1 GROUP BY code"),
         "filter_group_roots": simple(["rghm"], dict(T.CODE_LABELS)["ghm_labels"]),
         "filter_group_pattern": simple(
@@ -288,3 +288,4 @@ def operator_checks() -> dict[str, str]:
             " count(*) AS n FROM case_profiles GROUP BY ALL",
         ),
     }
+    return {**checks, "sql_ages": checks["draw_age"], "sql_days_between": checks["draw_day_between"], "sql_triangular_days": T.table_checks()["draw_triangular_days"]}
