@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,8 @@ from pyspark.sql import DataFrame
 from casemill.llm.shipping import ship
 from casemill.llm.words import slices
 
-#: Words with ids that a worker keeps; beyond it starts anew.
-KEPT_WORDS = 500_000
+#: Words with ids that a worker keeps, and their bytes; beyond either it starts anew.
+KEPT_WORDS, KEPT_BYTES = 500_000, 32 << 20
 #: Bytes of text handled at once, and bytes of new words that are laid side by side: their edges take about a hundred times as much.
 TEXT_BYTES, PART_BYTES = 2 << 20, 1 << 19
 #: Longer words are relaxed with a heap, one by one, and not side by side.
@@ -87,6 +88,8 @@ class Model:
             self.bytes[int(self.pieces[at][1:-1], 16)] = at
         self.byte_of = {int(i): bytes([b]) for b, i in enumerate(self.bytes)}
         self.control = set(np.flatnonzero(kinds == 3).tolist())
+        #: what each id is in a text
+        self.spelled = [b" \xe2\x81\x87 " if i == 0 else self.byte_of.get(i) or p.replace(_SPACE.encode(), b" ") for i, p in enumerate(self.pieces)]
         self.normal = np.flatnonzero(kinds == 1)
         self.length = np.array([len(p) for p in self.pieces])
         #: 0 for the highest score; equal scores share a number
@@ -157,7 +160,7 @@ class Model:
 
         alive = np.ones(len(symbol), bool)
         for word in np.flatnonzero(size > SIDE_BY_SIDE):
-            self._relax_long(slice(first[word], first[word] + size[word]), symbol, end, alive, find)
+            self._relax_long(slice(first[word], first[word] + size[word]), symbol, end, alive, keys, ids)
         self._relax(first[(size > 1) & (size <= SIDE_BY_SIDE)], size[(size > 1) & (size <= SIDE_BY_SIDE)], symbol, end, alive, find)
 
         start, upto, owner = symbol[alive], end[alive], word_of[alive]
@@ -212,18 +215,27 @@ class Model:
                 starts = np.cumsum(size) - size
         end[at[live]], alive[at[~live]] = upto[live], False
 
-    def _relax_long(self, own: slice, symbol, end, alive, find) -> None:
-        """One long word: a heap of joins by priority and place."""
+    def _relax_long(self, own: slice, symbol, end, alive, keys, ids) -> None:
+        """One long word: a heap of joins by priority and place, over the edges that lie in the word."""
         start, upto = symbol[own].tolist(), end[own].tolist()
         size = len(start)
         nxt, prv, live = list(range(1, size + 1)), list(range(-1, size - 1)), [True] * size
-
-        def piece(left: int) -> int:
-            return int(find(np.array([start[left]]), np.array([upto[nxt[left]]]))[0])
-
-        joined = find(symbol[own][:-1], end[own][1:])
-        heap = [(int(self.priority[p]), at, upto[at + 1]) for at, p in enumerate(joined) if p >= 0]
-        heapq.heapify(heap)
+        low, high = np.searchsorted(keys, (start[0] << _LENGTH_BITS, upto[-1] << _LENGTH_BITS)).tolist()
+        edges, rank = memoryview(keys[low:high]), memoryview(self.priority[ids[low:high]])
+        count, longest = high - low, (1 << _LENGTH_BITS) - 1
+        heap: list[tuple[int, int, int]] = []
+
+        def offer(left: int) -> None:
+            reach = upto[nxt[left]]
+            span = reach - start[left]
+            if span <= longest:
+                edge = start[left] << _LENGTH_BITS | span
+                at = bisect_left(edges, edge)
+                if at < count and edges[at] == edge:
+                    heapq.heappush(heap, (rank[at], left, reach))
+
+        for left in range(size - 1):
+            offer(left)
         while heap:
             _, left, reach = heapq.heappop(heap)
             right = nxt[left]
@@ -232,32 +244,31 @@ class Model:
             upto[left], live[right], nxt[left] = reach, False, nxt[right]
             if nxt[left] < size:
                 prv[nxt[left]] = left
-            for at in (left, prv[left]):
-                if at >= 0 and nxt[at] < size and (found := piece(at)) >= 0:
-                    heapq.heappush(heap, (int(self.priority[found]), at, upto[nxt[at]]))
+                offer(left)
+            if prv[left] >= 0:
+                offer(prv[left])
         end[own], alive[own] = upto, live
 
     # ---- decoding
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of an id list; control ids are silent, and the space before the first piece is dropped."""
-        parts, spelled = [], []
-        first = True
-        for i in ids.tolist():
-            if (byte := self.byte_of.get(i)) is not None:
-                spelled.append(byte)
-                first = False
-                continue
-            if spelled:
-                parts.append(b"".join(spelled).decode("utf-8", "replace"))
-                spelled.clear()
-            if i in self.control:
-                continue
-            piece = " ⁇ " if i == 0 else self.pieces[i].decode().replace(_SPACE, " ")
-            parts.append(piece[1:] if first and piece.startswith(" ") and i else piece)
-            first = False
-        parts.append(b"".join(spelled).decode("utf-8", "replace"))
-        return "".join(parts)
+        """The text of an id list; control ids are silent, and the space before the first piece is dropped. Bytes that are
+        no text are replaced; a control id ends a run of byte ids."""
+        ids = ids.tolist()
+        if self.control.isdisjoint(ids):
+            runs = [ids]
+        else:
+            runs = [[]]
+            for i in ids:
+                if i in self.control:
+                    runs.append([])
+                else:
+                    runs[-1].append(i)
+            runs = [run for run in runs if run]
+        spelled = self.spelled
+        text = "".join([b"".join([spelled[i] for i in run]).decode("utf-8", "replace") for run in runs])
+        opening = next((run[0] for run in runs if run), 0)
+        return text[1:] if opening and opening not in self.byte_of and text.startswith(" ") else text
 
 
 def suffix_array(word: np.ndarray, size: int, reach: int) -> np.ndarray:
@@ -313,11 +324,12 @@ class Encoder:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.size = 0
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has."""
-        if len(self.index) > KEPT_WORDS:
+        if len(self.index) > KEPT_WORDS or self.size > KEPT_BYTES:
             self.forget()
         find, index = self.model.words.findall, self.index
         split = [find(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
@@ -326,6 +338,7 @@ class Encoder:
             ids, sizes = self.model.encode_words(part)
             for word in part:
                 index[word] = len(index)
+                self.size += len(word)
             self.ids, self.ends = np.concatenate((self.ids, ids)), np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = np.fromiter((index[w] for ws in split for w in ws), np.int64, int(counts.sum()))

@@ -162,3 +162,20 @@ def test_token_files_of_words_of_the_same_make(spark):
     for parts in (1, 8):
         got = {r["doc_id"]: r["ids_crc32"] for r in token_files.token_files(rows.repartition(parts), path).collect()}
         assert [got[i] for i in range(3)] == want
+
+
+def test_long_words_control_ids_and_small_caches_change_no_id(monkeypatch):
+    path = P.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcdefgéhijklmn漢ostrue😀\x01") for _ in range(n)) for n in (47, 48, 49, 700, 20_000)]
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 100)
+    coder = pieces.Encoder(path)
+    for word in [*words, "aa " * 40, *words]:
+        ids, counts = coder.encode([word, None, word])
+        assert ids[: counts[0]].tolist() == library.encode(word) == ids[counts[0] :].tolist()
+        assert coder.model.decode(ids[: counts[0]]) == library.decode(library.encode(word))
+    euro = [int(coder.model.bytes[b]) for b in "€".encode()]
+    assert coder.model.decode(np.array(euro)) == "€" and coder.model.decode(np.array([1, *euro, 2])) == "€"
+    assert "€" not in coder.model.decode(np.array([euro[0], 1, *euro[1:]]))
+    assert coder.model.decode(np.array([0, 0])) == " ⁇  ⁇ " and coder.model.decode(np.zeros(0, int)) == ""
