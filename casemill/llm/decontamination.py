@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from casemill.llm.keys import bounded, without
+from casemill.llm.keys import BROADCAST_KEYS, bounded, without
 from casemill.llm.shipping import ship
 from casemill.llm.words import SIGNS, Words, slices, windows
 from casemill.sources.scratch import written
@@ -30,6 +30,10 @@ LEAST, COVERAGE = 5, 0.5
 FIRST = 32
 #: Bits of the filter over the items' seeds, per seed and at most; it only saves work.
 FILTER_BITS, FILTER_MOST = 64, 1 << 27
+#: Places that a seed's documents are spread over where the seeds are too many to be sent, and items of a document in a row.
+SALTS, ITEMS = 32, 64
+#: Words of items that are sent to the executors with their documents' keys; more are joined by shuffling.
+SENT_WORDS = 4_000_000
 
 
 def tiles(item: list[int], text: list[int], least: int = LEAST, first: int = FIRST) -> list[tuple[int, int, int]]:
@@ -129,7 +133,8 @@ def item_seeds(benchmark: DataFrame, key: str = "item_id", text: str = "text") -
 def seed_pairs(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(``key``, ``item_id``, ``item``) of pairs whose shared seeds could cover enough of the item. ``documents``: ``key``, ``text``."""
     seeds = items.select("item_id", F.inline("seeds"))
-    bits = 1 << max(int(np.ceil(np.log2(max(min(seeds.count() * FILTER_BITS, FILTER_MOST), 1 << 16)))), 16)
+    n_seeds = seeds.count()
+    bits = 1 << max(int(np.ceil(np.log2(max(min(n_seeds * FILTER_BITS, FILTER_MOST), 1 << 16)))), 16)
     slots = seeds.select(F.expr(f"shiftrightunsigned(seed, {64 - int(np.log2(bits))})").alias("slot")).distinct()
     chosen = np.zeros(bits, bool)
     chosen[slots.toPandas()["slot"].to_numpy(np.int64)] = True  # FILTER_MOST at most
@@ -149,7 +154,12 @@ def seed_pairs(documents: DataFrame, items: DataFrame, coverage: float = COVERAG
             once[1:] = (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])
             yield pa.record_batch({"key": rows["key"].take(pa.array(owner[once])), "seed": pa.array(_signed(seeds[once]), pa.int64())})
 
-    shared = documents.select("key", "text").mapInArrow(found, f"key {kind}, seed long").join(seeds, "seed")
+    met = documents.select("key", "text").mapInArrow(found, f"key {kind}, seed long")
+    if n_seeds <= BROADCAST_KEYS:
+        shared = met.join(bounded(seeds, n_seeds), "seed")
+    else:
+        met = met.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        shared = met.join(seeds.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["seed", "salt"])
     pairs = shared.groupBy("key", "item_id", "seed").agg(F.max("places").alias("places")).groupBy("key", "item_id").agg(F.sum("places").alias("shared"))  # a run of n words has n - LEAST + 1 seed places
     pairs = pairs.join(items.select(F.col("item_id").alias("_item_id"), "item"), F.col("item_id").eqNullSafe(F.col("_item_id"))).drop("_item_id")
     return pairs.where(LEAST * F.col("shared") >= coverage * F.size("item")).select("key", "item_id", "item")
@@ -161,8 +171,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     rows = documents.select(documents[key].alias("key"), documents[text].alias("text"))
     items = written(item_seeds(benchmark, item_key, item_text), "test-seeds")
     pairs = written(seed_pairs(rows, items, coverage), "test-pairs")
-    asked = pairs.groupBy(F.col("key").alias("asked")).agg(F.collect_list(F.struct("item_id", "item")).alias("items"))  # a document's items
-    asked = written(asked, "test-asked")
+    sizes = pairs.groupBy(F.col("key").alias("asked")).agg(F.count(F.lit(1)).alias("n"))
+    dealt = pairs.join(sizes, F.col("key").eqNullSafe(F.col("asked"))).withColumn("block", F.pmod(F.xxhash64("item_id"), F.ceil(F.col("n") / ITEMS)))
+    asked = dealt.groupBy("asked", "block").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))  # about ITEMS of a document's items
+    asked = written(asked.drop("block"), "test-asked")
+    if (pairs.agg(F.sum(F.size("item"))).first()[0] or 0) <= SENT_WORDS:
+        asked = bounded(asked)
     kind, item_kind = documents.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
 
     def tiled(batches):
@@ -178,7 +192,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
             columns = list(zip(*out)) or [[]] * 5
             yield pa.record_batch({"key": pa.array(columns[0], rows["key"].type), "item_id": pa.array(columns[1], rows["items"].type.value_type.field(0).type)} | {name: pa.array(column, pa.int64()) for name, column in zip(("n_tiles", "covered", "item_words"), columns[2:])})
 
-    near = rows.join(bounded(asked), rows["key"].eqNullSafe(asked["asked"])).select("key", "text", "items")
+    near = rows.join(asked, rows["key"].eqNullSafe(asked["asked"])).select("key", "text", "items")
     made = near.mapInArrow(tiled, f"key {kind}, item_id {item_kind}, n_tiles long, covered long, item_words long")
     best = made.groupBy("key", "item_id").agg(F.max(F.struct("covered", F.negate("n_tiles").alias("fewer"), "item_words")).alias("best"))
     best = best.select(F.col("key").alias(key), "item_id", F.negate("best.fewer").alias("n_tiles"), "best.covered", "best.item_words")

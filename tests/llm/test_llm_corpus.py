@@ -301,6 +301,19 @@ def test_items_that_repeat_themselves_are_found(spark):
     assert {r["doc_id"] for r in D.decontaminated(docs, items).collect()} == {3, 4}
 
 
+def test_shuffled_seeds_and_blocks_of_items_find_the_same(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"this seed is in every item {i} " + " ".join(f"w{i}x{k}" for k in range(6))) for i in range(30)], "item_id long, text string")
+    texts = [r["text"] for r in items.orderBy("item_id").collect()]
+    rows = [(1, " zz ".join(texts)), (None, texts[3]), (2, " ".join(texts[20:25])), *[(10 + i, "this seed is in every item of none") for i in range(40)]]
+    docs = docs_of(spark, rows)
+    want = {(1, i) for i in range(30)} | {(None, 3)} | {(2, i) for i in range(20, 25)}
+    assert {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items).collect()} == want
+    for name, value in (("BROADCAST_KEYS", 0), ("ITEMS", 2), ("SENT_WORDS", 0), ("SALTS", 3)):
+        monkeypatch.setattr(D, name, value)
+    found = D.contaminated(docs, items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
+
+
 def texts_of(spark, pages):
     rows = [(i, "http://h.example/", page) for i, page in enumerate(pages)]
     return [r["text"] for r in G.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
