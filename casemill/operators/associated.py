@@ -89,11 +89,11 @@ def pool_facts(positions: DataFrame, n_das: int) -> DataFrame:
     taken = (
         groups.where((F.col("n_groups") < n_das) & F.col("wider").isNotNull())
         .select("pool", "wider", "grp")
-        .join(wider, ["wider", "grp"])
+        .join(wider.hint("merge"), ["wider", "grp"])
         .groupBy("pool")
         .agg(F.collect_list(span("wider_lo", "wider_hi")).alias("taken_in_wider"))
     )
-    return pool_totals(positions, ["pool"]).drop("copies").join(taken, "pool", "left")
+    return pool_totals(positions, ["pool"]).drop("copies").join(taken.hint("merge"), "pool", "left")
 
 
 def asked_pools(profiles: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame
     )
     entry = F.struct("level", "pool", "total", "n_groups", "step", "salts", "taken_in_wider")
     levels = (
-        wanted.join(facts, "pool")
+        wanted.join(facts.hint("merge"), "pool")
         .groupBy(profile_key)
         .agg(F.array_sort(F.collect_list(entry)).alias("levels"))
     )
@@ -134,7 +134,7 @@ def attach_das_plans(profiles: DataFrame, profile_key: str, positions: DataFrame
             p["from"].isNotNull(), F.struct(*[p["from"][f].alias(f) for f in fields], p["taken"].alias("taken"))
         ),
     )
-    return profiles.join(plans.withColumn("das_plans", slim), profile_key, "left")
+    return profiles.join(plans.withColumn("das_plans", slim).hint("merge"), profile_key, "left")
 
 
 SLOT_COLUMNS = ["pool", "DAS", "shown", "lo", "hi", "g_lo", "g_hi", "step"]

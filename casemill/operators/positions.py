@@ -181,7 +181,7 @@ def hot_pools(asked: DataFrame, totals: DataFrame) -> DataFrame:
     hot = mass.where(F.col("asked_w") > F.call_function("div", F.col("table_total"), F.lit(HOT_SHARE).cast("bigint")))
     slots = F.ceil(F.col("total") / F.col("step"))
     salts = F.ceil(F.lit(SALTED_SLOTS) / slots).cast("int")
-    return hot.join(totals, "pool").select("pool", salts.alias("salts")).where("salts > 1")
+    return totals.join(F.broadcast(hot), "pool").select("pool", salts.alias("salts")).where("salts > 1")
 
 
 def salted(positions: DataFrame, hot: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def attach_procedure_pools(profiles: DataFrame, ccam: DataFrame, labels: DataFra
             .groupBy(*key)
             .agg(F.array_sort(F.collect_list(entry)).alias(f"ccam_pool_{number}"))
         )
-        out = out.join(arrays, key, "left")
+        out = out.join(arrays.hint("merge"), key, "left")
         names.append(f"ccam_pool_{number}")
     chosen = F.when(is_surgical("GHM5"), F.coalesce(*names))
     level = F.coalesce(*[F.when(F.col(n).isNotNull(), F.lit(i)) for i, n in enumerate(names, start=1)])
