@@ -172,10 +172,16 @@ def procedure_weights(*at) -> DataFrame:
 
 
 def diagnosis_pool_totals(*at) -> DataFrame:
-    rows = layered_rows(view(*at, "pmsi_das"))
-    return rows.groupBy("pool").agg(
-        F.sum("w").alias("total"), F.count_distinct("DAS").alias("codes"), F.count_distinct(parent_code("DAS", 2)).alias("categories")
-    )
+    return pool_sizes(layered_rows(view(*at, "pmsi_das")))
+
+
+def pool_sizes(rows: DataFrame) -> DataFrame:
+    """Mass, codes and categories of each pool. Codes are added up before they are counted, then categories, both where one
+    shuffle brings a category's rows: distinct counts side by side would make three rows of each."""
+    rows = rows.select("pool", "DAS", "w", parent_code("DAS", 2).alias("grp")).repartition("pool", "grp")
+    codes = rows.groupBy("pool", "grp", "DAS").agg(F.sum("w").alias("w"))
+    groups = codes.groupBy("pool", "grp").agg(F.sum("w").alias("w"), F.count("DAS").alias("codes"))
+    return groups.groupBy("pool").agg(F.sum("w").alias("total"), F.sum("codes").alias("codes"), F.count("grp").alias("categories"))
 
 
 def main_specialty(*at) -> DataFrame:

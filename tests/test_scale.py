@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from casemill import standins
+from casemill.functions.text import row_key
 from casemill.operators.associated import attach_das_plans, das_positions
-from casemill.operators.draws import table_positions
+from casemill.operators.draws import keyed_positions, table_positions
 from casemill.operators.procedures import attach_procedure_pools
-from casemill.plans import table_cohort
+from casemill.plans import profile_cohort, table_cohort
 from casemill.sources.scratch import written
+from catalog import operator_queries
 
 
 def plan_of(frame, capsys) -> str:
@@ -54,3 +58,33 @@ def test_plans_and_pools_of_profiles_are_not_sent_whole(spark, capsys):
     lookups = [line for line in plan_of(pooled, capsys).splitlines() if "HashJoin" in line]
     assert all("CCAM" in line for line in lookups)  # labels of codes alone
     assert [r["ccam_pool"][0]["code"] for r in pooled.orderBy("DP").collect()] == ["JQGA001", "JQGA001"]
+
+
+def test_pool_sizes_shuffle_each_row_once(spark, capsys):
+    rows = spark.createDataFrame([("a", "E110", 3), ("a", "E110", 2), ("a", "E119", 1), ("a", "I100", 4), ("b", "I1", 5), ("b", "", 1)], "pool string, DAS string, w long")
+    made = operator_queries.pool_sizes(rows)
+    plan = plan_of(made, capsys).split("Initial Plan")[0]
+    assert "Expand" not in plan and plan.count("Exchange") == 2
+    assert sorted(map(tuple, made.collect())) == [("a", 10, 3, 2), ("b", 6, 2, 2)]
+
+
+def test_key_texts_are_not_shuffled_and_give_the_same_places(spark, capsys):
+    rows = spark.createDataFrame([("a", 1, 3), ("b", None, 5), (None, 2, 1), ("c", 7, 2)], "x string, y int, w long")
+    key = row_key("x", "y")
+    made = keyed_positions(rows, "key", key)
+    same = table_positions(rows.withColumn("key", key), ["key"])
+    assert sorted(map(repr, made.select(*same.columns).collect())) == sorted(map(repr, same.collect()))
+    shuffled = [line for line in plan_of(made, capsys).splitlines() if "Exchange hashpartitioning(grp" in line]
+    assert shuffled and "key" in made.columns
+    assert sum("REPARTITION_BY_COL" in line for line in shuffled) == 2  # rows, and the totals of their groups, from rows dealt out before the key is there
+
+
+def test_profiles_without_own_codes_are_not_shuffled_for_them(spark, capsys):
+    rows = spark.createDataFrame([(["E110", "I10"], 1), ([], 2), (None, 3), (["X"], 4)], "icd_secondary_code array<string>, n int")
+    members = spark.createDataFrame([("E110", ["cancer"])], "code string, sets array<string>")
+    labels = spark.createDataFrame([("I10", "high pressure")], "code string, label string")
+    made = profile_cohort.with_preset(rows, None, members, labels)
+    got = {r["n"]: (r["preset"]["codes"], r["preset"]["lines"], r["preset"]["any_cancer"]) for r in made.collect()}
+    assert got == {1: (["E110", "I10"], ["-  (E110)\n", "- high pressure (I10)\n"], True), 2: ([], [], False), 3: ([], [], False), 4: (["X"], ["-  (X)\n"], False)}
+    bare = made.where(F.size("icd_secondary_code") == 0)
+    assert "none|" not in plan_of(bare, capsys)
