@@ -30,7 +30,8 @@ SAMPLE, SAMPLE_PASSAGES = 3000, 150_000
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY = 24, 16, 8, 64, 0.005, 1e-4
 #: Words, and their characters, whose features a worker keeps.
 KEPT_WORDS, KEPT_CHARS = 250_000, 8 << 20
-TEXT_BYTES = 4 << 20
+#: Text that is worked on at a time, and new words whose features are made at a time.
+TEXT_BYTES, WORDS_AT_ONCE = 1 << 20, 16_384
 _KINDS = 8
 FEATURES = _KINDS + 2 + SHAPES
 _RUNS = re.compile(r"(.)\1+", re.S)
@@ -68,12 +69,15 @@ class Passages:
         split = [(t or "").split() for t in texts]
         new = list({w: None for ws in split for w in ws if w not in index})
         if new:
-            found = [word_features(w) for w in new]
+            kinds, shape = [self.kinds], [self.shape]
+            for begin in range(0, len(new), WORDS_AT_ONCE):  # numbers of Python take ten times the place of the arrays
+                found = [word_features(w) for w in new[begin : begin + WORDS_AT_ONCE]]
+                kinds.append(np.array([k for k, _ in found], np.float32))
+                shape.append(np.array([s for _, s in found], np.int32))
             for word in new:
                 index[word] = len(index)
             self.chars += sum(map(len, new))
-            self.kinds = np.concatenate((self.kinds, np.array([k for k, _ in found], np.float32)))
-            self.shape = np.concatenate((self.shape, np.array([s for _, s in found], np.int32)))
+            self.kinds, self.shape = np.concatenate(kinds), np.concatenate(shape)
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = np.fromiter((index[w] for ws in split for w in ws), np.int64, int(counts.sum()))
         passages = np.maximum(-(-counts // PASSAGE), 1)

@@ -160,3 +160,18 @@ def test_long_words_count_whole_and_all_passages_teach(spark):
         assert 0 < sum(map(len, seen)) <= 2000
     finally:
         Q.fit, Q.SAMPLE_PASSAGES = fit, before
+
+
+def test_word_features_are_made_in_parts(monkeypatch):
+    import numpy as np
+
+    from casemill.llm import quality_classifier
+
+    texts = ["One two, three! 44 five-six", None, "", "two Seven eight. nine TEN 11 one", "a " * 200 + "Zürich"]
+    whole, counts = quality_classifier.Passages().of(texts)
+    monkeypatch.setattr(quality_classifier, "WORDS_AT_ONCE", 3)
+    made = []
+    monkeypatch.setattr(quality_classifier.np, "array", lambda rows, *kind, real=np.array: made.append(len(rows)) or real(rows, *kind))
+    parts, again = quality_classifier.Passages().of(texts)
+    assert (whole == parts).all() and (counts == again).all()
+    assert made and max(made) <= 3
