@@ -246,9 +246,11 @@ def hopeful_pairs(pairs: DataFrame, sizes: DataFrame, column: str) -> DataFrame:
                 keep.append(bool(_linked(shared, n[at], hub_n[at])))
             yield batch.select(["cls", "hub"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sizes.select("cls", "n", F.col(column).alias("sketch"))
-    both = pairs.join(one, "cls").join(one.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch")), "hub")
-    fit = both.where(LEAST * F.greatest("n", "hub_n") <= 100 * F.least("n", "hub_n"))
+    # Sizes are compared before the second sketch is fetched: pairs of unlike sizes are shuffled without sketches.
+    hubs = sizes.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col(column).alias("hub_sketch"))
+    sized = pairs.join(sizes.select("cls", "n"), "cls").join(hubs, "hub")
+    near = sized.where(LEAST * F.greatest("n", "hub_n") <= 100 * F.least("n", "hub_n"))
+    fit = near.join(sizes.select("cls", F.col(column).alias("sketch")), "cls")
     return fit.select("cls", "hub", "n", "hub_n", "sketch", "hub_sketch").mapInArrow(filtered, "cls long, hub long")
 
 

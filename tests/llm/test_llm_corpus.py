@@ -362,6 +362,15 @@ def test_crowded_signatures_miss_no_link(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(rows)
 
 
+def test_pairs_of_unlike_sizes_are_shuffled_without_sketches(spark):
+    sizes = spark.createDataFrame([(1, 10, b"\x05" * 2), (2, 9, b"\x05\x04"), (3, 100, b"\x32" * 2), (4, 10, None)], "cls long, n long, sketch binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 4), (3, 4)], "cls long, hub long")
+    made = J.hopeful_pairs(pairs, sizes, "sketch")
+    joins = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert "greatest" not in joins[0] and "greatest" in joins[1]  # the last sketch is joined after sizes are compared
+    assert sorted(map(tuple, made.collect())) == [(1, 2), (2, 4)]
+
+
 def test_classes_count_as_a_whole_and_never_on_the_content(spark):
     long_ = "words of the article itself, enough of them to be most of what the page says. " * 3
     pages = [
