@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casemill.sources.scratch import new_folder
+from casemill.sources.scratch import CODEC, new_folder
 
 GIVEN = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark", "conversations"}
 
@@ -222,7 +222,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         plan, rows = view_plan(spark, sf_dir, name), max(frame.count() for frame in needed(spark, sf_dir, name).values())
         if rows <= DEALT_ROWS:
             plan = plan.repartition(spark.sparkContext.defaultParallelism)
-        plan.write.parquet(path)
+        plan.write.parquet(path, compression=CODEC)
         _WRITTEN[slot] = path
     return spark.read.parquet(_WRITTEN[slot])
 

@@ -10,7 +10,7 @@ from casemill.operators.associated import attach_das_plans, das_positions
 from casemill.operators.draws import keyed_positions, table_positions
 from casemill.operators.procedures import attach_procedure_pools
 from casemill.plans import profile_cohort, table_cohort
-from casemill.sources.scratch import written
+from casemill.sources.scratch import written, written_in_buckets
 from catalog import operator_queries
 
 
@@ -88,3 +88,9 @@ def test_profiles_without_own_codes_are_not_shuffled_for_them(spark, capsys):
     assert got == {1: (["E110", "I10"], ["-  (E110)\n", "- high pressure (I10)\n"], True), 2: ([], [], False), 3: ([], [], False), 4: (["X"], ["-  (X)\n"], False)}
     bare = made.where(F.size("icd_secondary_code") == 0)
     assert "none|" not in plan_of(bare, capsys)
+
+
+def test_intermediates_are_packed_closely(spark, sf):
+    rows = spark.range(10).selectExpr("id", "id % 3 AS slot")
+    for made in (written(rows, "packed"), written_in_buckets(rows, "packed-buckets", ["slot"]), standins.view(spark, f"{sf}/../{sf.rsplit('/', 1)[1]}", "pmsi_dp")):
+        assert not made.isEmpty() and all(".zstd.parquet" in file for file in made.inputFiles())
