@@ -252,7 +252,7 @@ def acute_draw(stays: DataFrame, laid: DataFrame) -> DataFrame:
 
 
 def draw_conditional_uniform(*at) -> DataFrame:
-    return acute_draw(cases.stays(*at), cases.prepared(*at)["code_slots"])
+    return acute_draw(cases.pooled_stays(*at), cases.prepared(*at)["code_slots"])
 
 
 def draw_conditional_weighted(*at) -> DataFrame:
@@ -273,7 +273,7 @@ def draw_distinct_chapters(*at) -> DataFrame:
     facts = F.col("pools.chronic")
     wanted = conditional.wanted_count(SEED, "chronic", "stay_id", facts["copies"])
     out = conditional.draw_some(
-        cases.stays(*at), "stay_id", cases.prepared(*at)["code_slots"], facts["pool"], facts, wanted, 2,
+        cases.pooled_stays(*at), "stay_id", cases.prepared(*at)["code_slots"], facts["pool"], facts, wanted, 2,
         {"code": "code"}, "chronic", SEED, distinct_groups=True, large=True,
     )
     return out.select("stay_id", F.col("chronic_code_1").alias("first_code"), F.col("chronic_code_2").alias("second_code"))
@@ -281,7 +281,7 @@ def draw_distinct_chapters(*at) -> DataFrame:
 
 def draw_normal_days(*at) -> DataFrame:
     days = stay_length.normal_days(F.col("los_mean"), F.col("los_sd"), SEED, "stay_id")
-    return cases.stays(*at).select("stay_id", days.alias("days"))
+    return cases.grouped_stays(*at).select("stay_id", days.alias("days"))
 
 
 def draw_day_of_year(*at) -> DataFrame:

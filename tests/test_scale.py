@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from casemill import standins
 from casemill.functions.text import row_key
+from casemill.operators import secondary
 from casemill.operators.associated import attach_das_plans, das_positions
 from casemill.operators.draws import keyed_positions, table_positions
 from casemill.operators.procedures import attach_procedure_pools
@@ -90,6 +91,53 @@ def test_profiles_without_own_codes_are_not_shuffled_for_them(spark, capsys):
     assert "none|" not in plan_of(bare, capsys)
 
 
+def test_pools_are_looked_up_for_what_profiles_ask_and_not_for_each_profile(spark):
+    kind = "drg_parent_code string, icd_primary_code string, cage2 string, sexe int, case_management_type string, los int, w long, total long"
+    same = ("28Z14", "C186", None, 1)
+    rows = [(*same, "Z511", 1, 3, 20), (*same, "Z511", 2, 4, 20), (*same, "Z480", 1, 5, 20), (*same, None, 1, 6, 20), ("01C01", None, "[0-18[", 2, "DP", 1, 2, 20)]
+    profiles = spark.createDataFrame(rows, kind)
+    requests = secondary.pool_requests(profiles, F.col("icd_primary_code").startswith("C"))
+    assert sorted((r["treated"], r["w"]) for r in requests.where("icd_primary_code = 'C186'").collect()) == [(False, 11), (True, 7)]
+    requests = secondary.with_pool_keys(requests, F.col("primary_is_cancer"), F.col("treated"))
+    asked = {r["pool"]: r["w"] for r in secondary.asked_pools(requests).groupBy("pool").agg(F.sum("w").alias("w")).collect()}
+    assert asked["treatment|C18"] == 7 and asked["chronic|C186|*|1"] == 18 and asked["acute|01C01|[0-18[|2"] == 2
+    totals = spark.createDataFrame([("treatment|C18", 9, 9, 2, 1, False), ("chronic|C186|*|1", 8, 8, 2, 1, True)], "pool string, total long, copies long, n_groups long, step long, some_cancer boolean")
+    hot = spark.createDataFrame([("chronic|C186|*|1", 4)], "pool string, salts int")
+    found = secondary.found_pools(requests, totals, hot)
+    stays = profiles.withColumn("primary_is_cancer", F.col("icd_primary_code").startswith("C"))
+    made = secondary.attach_pools(secondary.with_pool_keys(stays, F.col("primary_is_cancer"), secondary.is_treated()), found)
+    got = {(r["w"], r["pools"] and r["pools"]["treatment"] and r["pools"]["treatment"]["total"], r["pools"] and (r["pools"]["chronic"]["total"], r["pools"]["chronic"]["salts"])) for r in made.collect()}
+    assert got == {(3, 9, (8, 4)), (4, 9, (8, 4)), (5, None, (8, 4)), (6, None, (8, 4)), (2, None, None)}
+
+
+def test_profiles_are_laid_out_without_their_pools(spark):
+    def frame(kind: str, *rows: tuple):
+        return spark.createDataFrame(list(rows), kind)
+
+    data = {
+        "profiles": frame("drg_parent_code string, icd_primary_code string, case_management_type string, cage string, sexe int, nb long", ("28Z14", "C186", "Z511", "[18-40[", 1, 2), ("01C01", "I10", "DP", "[18-40[", 2, 1)),
+        "secondary_icd": frame("drg_parent_code string, icd_primary_code string, icd_secondary_code string, cage2 string, sexe int, nb long", ("28Z14", "C186", "E119", "[18-80[", 1, 1), ("28Z14", "C186", "E119", "[18-80[", 1, 1)),
+        "procedures": frame("procedure string, drg_parent_code string, icd_primary_code string, cage2 string, sexe int, nb long", ("JQGA001", "28Z14", "C186", "[18-80[", 1, 1)),
+        "icd_official": frame("icd_code string, icd_code_description string", ("C186", "colon"), ("DP", "main")),
+        "procedure_official": frame("procedure string, procedure_description string", ("JQGA001", "act")),
+        "drg_statistics": frame("drg_parent_code string, los_mean double, los_sd double", ("28Z14", 3.0, 1.0)),
+        "drg_parents_groups": frame("drg_parent_code string, drg_parent_description string", ("28Z14", "group")),
+        "specialty": frame("drg_parent_code string, specialty string, ratio double", ("28Z14", "A", 1.0), ("28Z14", "B", 2.0)),
+        "names": frame("prenom string, nom string, sexe int", ("ANNE", "ROUX", 2), ("PAUL", "PETIT", 1)),
+        "hospitals": frame("hospital string", ("H",)),
+        "cancer_codes": frame("CIM10 string", ("C186",)),
+        "chronic": frame("code string, chronic int, libelle string", ("E119", 2, "E119")),
+        "cancer_treatment": frame("icd_parent_code string, primary_site string, histological_type string, TNM string, stage string, biomarkers string, treatment_recommandation string, chemotherapy_regimen string", ("C18", "s", "type", "T1N0M0", "I", None, "t", "c")),
+        "code_sets": frame("set_name string, code string", ("icd_codes_overnight_study", "Z0480")),
+    }
+    ready = profile_cohort.prepare(data)
+    assert not {"pools", "mdp_sets", "los_mean", "specialty", "icd_primary_description"} & set(ready["profile_slots"].columns)
+    stays = profile_cohort.draw_prepared(ready, spark.range(40).withColumnRenamed("id", "stay_id"), seed=3)
+    facts = ("drg_parent_description", "icd_primary_description", "case_management_type_description", "department", "los_mean", "histological_type", "text_procedure")
+    got = {r["icd_primary_code"]: tuple(r[name] for name in facts) for r in stays.collect()}
+    assert got == {"C186": ("group", "colon", "", "B", 3.0, "type", "act"), "I10": (None, "", "main", None, None, None, "")}
+
+
 def test_intermediates_are_packed_closely(spark, sf):
     rows = spark.range(10).selectExpr("id", "id % 3 AS slot")
     for made in (written(rows, "packed"), written_in_buckets(rows, "packed-buckets", ["slot"]), standins.view(spark, f"{sf}/../{sf.rsplit('/', 1)[1]}", "pmsi_dp")):
