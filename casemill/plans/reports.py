@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
-from datetime import datetime, timezone
 from hashlib import sha256
 
 import pandas as pd
@@ -46,9 +46,9 @@ def generate_reports(
         for system, user, row in zip(batch["system"], batch["scenario"], rows):
             messages = [{"role": "system", "content": system}, {"role": "user", "content": user}]
             texts.append(write_report(messages, model, row) if with_row else write_report(messages, model))
-            times.append(pd.Timestamp(datetime.now(timezone.utc)))
+            times.append(time.time_ns() // 1000)
         return pd.DataFrame(
-            {"generation_id": batch["generation_id"], "scenario": batch["scenario"], "report": texts, "model": model, "timestamp": pd.to_datetime(times, utc=True)}
+            {"generation_id": batch["generation_id"], "scenario": batch["scenario"], "report": texts, "model": model, "timestamp": pd.to_datetime(pd.Index(times, dtype="int64"), unit="us", utc=True)}
         )
 
     def journalled(batch: pd.DataFrame) -> pd.DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from casemill import fixed_values as V
 from casemill.plans import prompts, reports
 from casemill.sources import files, registry, report_sink
-from casemill.sources.scratch import new_folder
+from casemill.sources.scratch import new_folder, written
 from casemill.standins import view
 from catalog import profile_queries as cases, table_queries as tabled
 
@@ -220,9 +220,10 @@ def sink_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports written as two batches, one of them twice, and read back: each id is there once."""
+    """Reports written as two batches, one of them twice, and read back: each id is there once. The writer is called once per
+    stay: the reports are kept beside, and each batch is filtered from them."""
     folder = f"{new_folder(spark, 'batches')}/reports"
-    made = generated(spark, sf_dir).withColumn("half", F.when(F.col("generation_id") < "8", "low").otherwise("high"))
+    made = written(generated(spark, sf_dir), "made-reports").withColumn("half", F.when(F.col("generation_id") < "8", "low").otherwise("high"))
     for half in ("low", "high", "low"):
         report_sink.write_batch(made.where(F.col("half") == half).drop("half"), folder, half)
     rows = report_sink.read_batches(spark, folder, reports.REPORT_SCHEMA)

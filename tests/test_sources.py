@@ -244,3 +244,21 @@ def test_schema_of_the_first_rows(spark, tmp_path):
     text = files.csv(spark, str(tmp_path / "t.csv"))
     assert files.inferred_schema(text, 2) == "`a` bigint, `b` double, `c` string, `d` string"
     assert files.inferred_schema(text) == "`a` double, `b` double, `c` string, `d` string"
+
+
+def test_batches_ask_the_writer_once_per_stay(spark, tmp_path, monkeypatch):
+    from catalog import source_queries
+
+    calls = str(tmp_path / "calls")
+
+    def counted(messages: list[dict], model: str) -> str:
+        with open(calls, "a") as file:
+            file.write("x")
+        return messages[1]["content"]
+
+    rows = spark.range(40).selectExpr("md5(CAST(id AS STRING)) AS generation_id", "CONCAT('s', id) AS scenario")
+    monkeypatch.setattr(source_queries.tabled, "short_text", lambda *at: rows)
+    monkeypatch.setattr(source_queries, "stub_writer", counted)
+    got = source_queries.sink_batches(spark, "none").collect()
+    assert {(r["generation_id"], r["report"]) for r in got} == {tuple(r) for r in rows.collect()} and len(got) == 40
+    assert {r["batch"] for r in got} == {"low", "high"} and os.path.getsize(calls) == 40
