@@ -26,6 +26,7 @@ from casemill.operators.positions import (
     span,
     taken_length,
 )
+from casemill.sources.scratch import written
 
 LEVELS = [
     ["GHM5", "AGE", "SEXE", "DP"],
@@ -35,6 +36,8 @@ LEVELS = [
     ["GHM5"],
 ]
 CATEGORY_LENGTH = 2
+#: Keys of at most so many pools are sent to the executors, to find their rows; more are joined by sorting.
+FEW_POOLS = 20_000
 
 
 def pool_keys() -> Column:
@@ -51,26 +54,86 @@ def pool_keys() -> Column:
     return F.array(*pairs)
 
 
-def layered_rows(das: DataFrame) -> DataFrame:
-    """Each distinct (GHM5, AGE, SEXE, DP, DAS) weight once per level it counts in."""
-    base = (
+def distinct_rows(das: DataFrame) -> DataFrame:
+    """The weight of each distinct (GHM5, AGE, SEXE, DP, DAS)."""
+    return (
         das.withColumn("w", int_weight(das, "P_DAS"))
         .where("w > 0 and DAS is not null")
         .groupBy("GHM5", "AGE", "SEXE", "DP", "DAS")
         .agg(F.sum("w").alias("w"))
         .withColumn("DP3", parent_code("DP"))
     )
-    return base.select("DAS", "w", F.inline(pool_keys())).where("pool is not null")
 
 
-def das_positions(das: DataFrame, labels: DataFrame, category_length: int = CATEGORY_LENGTH) -> DataFrame:
-    """Positions of every pool of every level, with the display text of each code."""
+def layered_rows(das: DataFrame) -> DataFrame:
+    """Each distinct (GHM5, AGE, SEXE, DP, DAS) weight once per level it counts in."""
+    return distinct_rows(das).select("DAS", "w", F.inline(pool_keys())).where("pool is not null")
+
+
+def first_categories(base: DataFrame, n_das: int, category_length: int) -> list[DataFrame]:
+    """For each level but the widest its keys with ``cats``: the pool's categories, of which ``n_das`` are enough. A level is
+    gathered from the level before it, not from the rows again: a list that is full stays full, any other is complete."""
+    parts = ["GHM5", "AGE", "SEXE", "DP", "DP3"]
+    pairs = base.select(*parts, parent_code("DAS", category_length).alias("cat")).distinct()
+    levels = [written(pairs.groupBy(*parts).agg(F.slice(F.collect_set("cat"), 1, n_das).alias("cats")), "first-categories")]
+    for key in LEVELS[1:-1]:
+        kept = key + ["DP3"] * ("DP" in key)
+        cats = F.array_distinct(F.flatten(F.collect_list("cats")))
+        levels.append(levels[-1].groupBy(*kept).agg(F.slice(cats, 1, n_das).alias("cats")))
+    return levels
+
+
+def entered_pools(base: DataFrame, profiles: DataFrame, n_das: int, category_length: int) -> list[DataFrame]:
+    """For each level but the finest the keys of the pools that a plan of ``n_das`` picks may enter. A plan leaves a level
+    only where the profile's pool there has fewer categories than picks, so few pools of wide levels are entered where
+    the finest are rich; written, as they are read twice."""
+    asked = profiles.withColumn("DP3", parent_code("DP"))
+    entered = []
+    for key, wider, found in zip(LEVELS, LEVELS[1:], first_categories(base, n_das, category_length)):
+        known = found.select(*key, F.size("cats").alias("n_cats")).dropna(subset=key)
+        kept = list(dict.fromkeys([*wider, *(["DP3"] if "DP" in wider else [])]))
+        poor = asked.join(known.hint("merge"), key, "left").where(F.coalesce("n_cats", F.lit(0)) < n_das)
+        asked = written(poor.select(*kept).distinct(), "entered-pools")
+        entered.append(asked.select(*wider).dropna())
+    return entered
+
+
+def entered_rows(base: DataFrame, entered: list[DataFrame]) -> DataFrame:
+    """``layered_rows`` of the distinct rows ``base`` with their number ``copies``, equal codes of a pool added up: all pools
+    of the finest level, and of wider levels the pools in ``entered``. The keys of at most ``FEW_POOLS`` pools are sent whole."""
+
+    def named(rows: DataFrame, level: int) -> DataFrame:
+        pair = pool_keys()[level]
+        return rows.select(pair["pool"].alias("pool"), pair["wider"].alias("wider"), "DAS", "w").where("pool is not null")
+
+    wide = None
+    for level, pools in enumerate(entered, start=1):
+        few = pools.limit(FEW_POOLS + 1).count() <= FEW_POOLS
+        met = base.join(F.broadcast(pools) if few else pools.hint("merge"), LEVELS[level], "left_semi")
+        wide = named(met, level) if wide is None else wide.unionByName(named(met, level))
+    wide = wide.groupBy("pool", "wider", "DAS").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("copies"))
+    return named(base, 0).withColumn("copies", F.lit(1).cast("bigint")).unionByName(wide)
+
+
+def das_positions(
+    das: DataFrame, labels: DataFrame, category_length: int = CATEGORY_LENGTH, profiles: DataFrame | None = None, n_das: int = 0
+) -> DataFrame:
+    """Positions of every pool of every level, with the display text of each code. With ``profiles`` (GHM5, AGE, SEXE, DP) the
+    pools that none of their plans of ``n_das`` picks can enter are left out."""
+    if profiles is None:
+        rows, copies, distinct = layered_rows(das), None, False
+    else:
+        base = written(distinct_rows(das), "das-rows")
+        rows = entered_rows(base, entered_pools(base, profiles, n_das, category_length))
+        copies, distinct = F.col("copies"), True
     positions = lay_out(
-        layered_rows(das),
+        rows,
         ["pool"],
         ["DAS"],
         F.col("w"),
         parent_code("DAS", category_length),
+        copies,
+        distinct=distinct,
         nomenclature=True,
         keep=("wider",),
     )
@@ -147,6 +210,7 @@ def draw_associated(
     buckets, which no pick shuffles; without them they are cut here, and shuffled by each pick."""
     slots = slotted(salted(positions.select(*SLOT_COLUMNS), hot)) if slots is None else slots
     out = stays.withColumn("das_wanted", uniform_int(uniform(seed, "das_count", id_col), 0, n_das))
+    out = out.withColumn("das_plans", F.slice("das_plans", F.lit(1), F.col("das_wanted").cast("int")))  # the others are not shuffled
     for pick in range(1, n_das + 1):
         plan = F.get("das_plans", F.lit(pick - 1))
         taken = plan["taken"]

@@ -14,7 +14,7 @@ stretch of the line: a pool has about as many slots as items, so each position m
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casemill.functions.uniform import as_column, key_hash
 from casemill.sources.scratch import written_in_buckets
@@ -30,17 +30,12 @@ SALTED_SLOTS = 256
 def mass_scale(df: DataFrame, name: str) -> Column:
     """A power of two that brings the sum of the finite positive weights of ``df`` just below 2**MASS_BITS. The sum is
     bounded from the numbers of weights between powers of two, added in their order, so it is the same on every run. The
-    column is read once, before the query that uses the scale: without a shuffle for whole numbers, which have 64 powers,
-    otherwise by a count of at most 2 100 groups. The query then holds a number, not the rows' lineage once more."""
+    column is read once, before the query that uses the scale, by a count of at most 2 100 groups, 64 for whole numbers. The
+    query then holds a number, not the rows' lineage once more."""
     weight = F.col(name).cast("double")
     power = F.floor(F.log2(weight)).cast("int")
     rows = df.select(name).where((weight > 0) & (weight < float("inf")))
-    if df.schema[name].dataType.typeName() in WHOLE:
-        seen = Observation()
-        rows.observe(seen, *[F.count_if(power == e).alias(str(e)) for e in range(64)]).write.format("noop").mode("overwrite").save()
-        bins = [(e, seen.get[str(e)]) for e in range(64)]
-    else:
-        bins = sorted((row["e"], row["n"]) for row in rows.groupBy(power.alias("e")).agg(F.count(F.lit(1)).alias("n")).collect())
+    bins = sorted((row["e"], row["n"]) for row in rows.groupBy(power.alias("e")).agg(F.count(F.lit(1)).alias("n")).collect())
     bound = 0.0
     for e, n in bins:
         bound += n * 2.0 ** (e + 1)

@@ -32,17 +32,19 @@ def profile_key() -> Column:
 def prepare(tables: dict[str, DataFrame], n_das: int = 3, ghm5_pattern: str | None = None) -> dict[str, DataFrame | int]:
     """Everything that depends on the input tables alone, written once and shared by any number of draws:
     the positions of the associated diagnoses, and the distinct profiles with their positions, labels,
-    procedure pool, plan of associated diagnoses and length-of-stay shape."""
+    procedure pool, plan of associated diagnoses and length-of-stay shape. Labels, procedures and shapes are looked up once
+    per group and main diagnosis."""
     codes = active_labels(tables["cim10"])
-    das = written(das_positions(tables["das"], codes), "das-positions")
-    profiles = table_positions(eligible_profiles(tables["dp"], ghm5_pattern), ORDER)
+    profiles = written(table_positions(eligible_profiles(tables["dp"], ghm5_pattern), ORDER), "profile-positions")
+    das = written(das_positions(tables["das"], codes, profiles=profiles.select(*PROFILE), n_das=n_das), "das-positions")
     hot = written(hot_pools(asked_pools(profiles), pool_totals(das, ["pool"])), "hot-pools")
     profiles = profiles.withColumn("profile_key", profile_key())
-    profiles = attach_das_plans(profiles, "profile_key", das, n_das, hot)
-    profiles = attach_procedure_pools(profiles, tables["ccam"], active_labels(tables["ccam_ref"]))
-    profiles = profiles.join(triangular_parameters(tables["dms"]), "GHM5", "left")
-    profiles = with_label(profiles, "GHM5", group_root_labels(tables["rghm"]), "ghm5_label")
-    profiles = with_label(profiles, "DP", codes, "dp_label").drop("profile_key", "ccam_level")
+    pairs = attach_procedure_pools(profiles.select("GHM5", "DP").distinct(), tables["ccam"], active_labels(tables["ccam_ref"]))
+    pairs = pairs.join(triangular_parameters(tables["dms"]), "GHM5", "left")
+    pairs = with_label(pairs, "GHM5", group_root_labels(tables["rghm"]), "ghm5_label")
+    pairs = with_label(pairs, "DP", codes, "dp_label").drop("ccam_level")
+    profiles = attach_das_plans(profiles, "profile_key", das, n_das, hot).drop("profile_key")
+    profiles = profiles.join(pairs.hint("merge"), ["GHM5", "DP"], "left")
     slots = bucketed_slots(das.select(*SLOT_COLUMNS), hot, "das-slots")
     line = bucketed_line(profiles, "profiles")
     return {"das": das, "hot": hot, "das_slots": slots, "profiles": uncut(line), "profile_slots": line, "n_das": n_das}
@@ -56,10 +58,8 @@ def draw_prepared(
     if n_das > prepared["n_das"]:
         raise ValueError(f"prepared for {prepared['n_das']} associated diagnoses, {n_das} asked for")
     stays = draw_rows(ids, id_col, prepared["profile_slots"], seed, empty_message="no profile matches the request")
-    stays = draw_associated(stays, id_col, prepared["das"], prepared["hot"], n_das, seed, prepared["das_slots"])
-    return stays.select(
+    stays = stays.select(  # what the lookups of associated diagnoses carry along
         id_col,
-        generation_id(seed, id_col).alias("generation_id"),
         "AGE",
         "SEXE",
         F.col("ghm5_label").alias("GHM5"),
@@ -67,9 +67,12 @@ def draw_prepared(
         F.col("dp_label").alias("DP"),
         F.col("DP").alias("DP_CODE"),
         drawn_procedures(seed, id_col, n_ccam).alias("CCAM"),
-        "DAS",
         triangular_days(uniform(seed, "dms", id_col), F.col("dms_shape")).alias("DMS"),
+        "das_plans",
     )
+    stays = draw_associated(stays, id_col, prepared["das"], prepared["hot"], n_das, seed, prepared["das_slots"])
+    named = stays.withColumn("generation_id", generation_id(seed, id_col))
+    return named.select(id_col, "generation_id", "AGE", "SEXE", "GHM5", "GHM5_CODE", "DP", "DP_CODE", "CCAM", "DAS", "DMS")
 
 
 def draw_stays(

@@ -37,13 +37,13 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 def written_in_buckets(df: DataFrame, purpose: str, keys: list[str]) -> DataFrame:
     """``written`` as a table in buckets by ``keys``, as many as the session has shuffle partitions: joins on exactly these
-    columns read it without an exchange, however often. The table is named in the session's catalog and its files lie with the others."""
+    columns read it without an exchange, however often, and sort rows that lie in order already. The table is named in the session's catalog and its files lie with the others."""
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_folder(spark, purpose)
     name = f"casemill_{re.sub('[^a-z0-9]', '_', path.rsplit('/', 1)[1])}"
     rows = df.repartition(buckets, *keys)  # the buckets' own hash: each task writes one file
-    rows.write.format("parquet").option("path", path).option("compression", CODEC).bucketBy(buckets, *keys).saveAsTable(name)
+    rows.write.format("parquet").option("path", path).option("compression", CODEC).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
     return spark.table(name)
 
 

@@ -142,3 +142,52 @@ def test_intermediates_are_packed_closely(spark, sf):
     rows = spark.range(10).selectExpr("id", "id % 3 AS slot")
     for made in (written(rows, "packed"), written_in_buckets(rows, "packed-buckets", ["slot"]), standins.view(spark, f"{sf}/../{sf.rsplit('/', 1)[1]}", "pmsi_dp")):
         assert not made.isEmpty() and all(".zstd.parquet" in file for file in made.inputFiles())
+
+
+def test_pools_that_no_plan_enters_are_not_laid_out(spark, monkeypatch):
+    from random import Random
+
+    from casemill.operators import associated
+
+    rng = Random(5)
+    any_of = lambda *values: values[min(int(rng.random() * (len(values) + 0.2)), len(values) - 1)]
+    rows = [(any_of("G1", "G2", "G3"), any_of("a", "b", None), any_of(1, 2, None), any_of("D100", "D101", "D20", None), f"{any_of(*'XYZ')}{rng.randrange(2)}{rng.randrange(3)}", rng.randrange(3)) for _ in range(150)]
+    rows += [("G4", "a", 1, "D100", f"{c}00", 1) for c in "XYZ"]  # three categories in the finest pool
+    das = spark.createDataFrame(rows, "GHM5 string, AGE string, SEXE int, DP string, DAS string, P_DAS long")
+    keys = {(g, a, s, d) for g in ("G1", "G2", "G4", "G9") for a in ("a", "b", None) for s in (1, None) for d in ("D100", "D101", "D209", "E1") if g != "G4" or (a, s, d) == ("a", 1, "D100")}
+    profiles = spark.createDataFrame(sorted(keys, key=repr), "GHM5 string, AGE string, SEXE int, DP string").withColumn("profile_key", row_key("GHM5", "AGE", "SEXE", "DP"))
+    labels = spark.createDataFrame([("X00", "x")], "code string, label string")
+
+    def plans(positions) -> list:
+        planned = attach_das_plans(profiles, "profile_key", written(positions, "some-positions"), 3).collect()
+        return sorted(repr((r["profile_key"], [p and {**p.asDict(), "taken": sorted(p["taken"])} for p in r["das_plans"] or []])) for r in planned)
+
+    whole = das_positions(das, labels)
+    want, pools = plans(whole), {r["pool"] for r in whole.select("pool").distinct().collect()}
+    for few in (associated.FEW_POOLS, 0):  # sent whole, or joined by sorting
+        monkeypatch.setattr(associated, "FEW_POOLS", few)
+        some = das_positions(das, labels, profiles=profiles.drop("profile_key"), n_das=3)
+        assert plans(some) == want
+        kept = {r["pool"] for r in some.select("pool").distinct().collect()}
+        assert kept < pools and "1|G4|a|1|D100" in kept and not any(p[0] != "1" and ("G3" in p or "G4" in p) for p in kept)
+
+
+def test_lookups_of_people_are_not_fused_into_one_method(spark):
+    from casemill.operators import people
+
+    names = spark.createDataFrame([("ANNE", "ROUX", 2), ("PAUL", "PETIT", 1)], "prenom string, nom string, sexe int")
+    laid = written(people.people_positions(names, spark.createDataFrame([("H",)], "hospital string")), "few-people")
+    stays = people.draw_people(spark.range(9).selectExpr("id AS stay_id", "CAST(id % 2 + 1 AS INT) AS sexe"), "stay_id", laid, 3)
+    assert {(r["sexe"], r["first_name"]) for r in stays.collect()} == {(1, "Paul"), (2, "Anne")}
+    run = stays._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = [line.split("*(")[1].split(")")[0] for line in run.splitlines() if "HashJoin" in line]
+    assert len(joins) == len(set(joins)) == 5
+
+
+def test_the_finest_level_of_a_lattice_is_worked_out_once(spark, capsys):
+    from casemill.operators.conditional import pool_lattice
+
+    rows = spark.createDataFrame([(1, "x", "i", 2), (1, "y", "i", 3)], "a int, b string, item string, rows long").repartition(3)
+    levels = pool_lattice(rows, ["a", "b"], ["item"], [0, 2, 3])
+    assert all("RoundRobin" not in plan_of(level, capsys) for level in levels.values())
+    assert [(r["a"], r["rows"]) for r in levels[2].collect()] == [(1, 5)]
